@@ -146,7 +146,7 @@ def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         accepted.withColumn("verdict", F.lit("accepted"))
         .unionAll(rejected.withColumn("verdict", F.lit("rejected")))
-        .select("feed", "id", F.length("payload").alias("characters"), "verdict")
+        .select("feed", "id", F.length("payload").cast("bigint").alias("characters"), "verdict")
     )
 
 

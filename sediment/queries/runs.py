@@ -1,7 +1,7 @@
 """Whole pipeline runs: three days of deliveries that together hold the whole tables.
 
-Orders and their items are delivered by age on three run dates. The orders of 1997 are
-delivered a second time on the last date, with a new amount and status.
+Orders and their items are delivered by age on three run dates. The orders of December
+1997 are delivered a second time on the last date, with a new amount and status.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def _delivery(day: str) -> Column:
 
 def _land_orders(spark: SparkSession, sf_dir: str, landing: str) -> None:
     orders = landing_orders(spark, sf_dir).withColumn("delivered", _delivery("order_date"))
-    again = orders.filter(F.year("order_date") == 1997).withColumns(
+    again = orders.filter(F.date_format("order_date", "yyyy-MM") == "1997-12").withColumns(
         {
             "total_amount": F.col("total_amount") + 1,
             "status": F.lit("Returned"),
@@ -141,7 +141,7 @@ QUERIES = {
     "orders_by_day_partition": orders_by_day_partition,
 }
 
-_AGAIN = "extract(year from order_date) = 1997"
+_AGAIN = "strftime(order_date, '%Y-%m') = '1997-12'"
 _FINAL_ORDERS = f"""
   select order_id, customer_id, order_date,
          case when {_AGAIN} then total_amount + 1 else total_amount end as total_amount,

@@ -18,9 +18,11 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Writing many small day folders costs time per file, not per byte: keep all cores busy
     # on small shuffles. Large shuffles are sized by the advisory partition size as before.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
 }
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def session(
     app_name: str = "sediment",
@@ -38,13 +40,22 @@ def session(
         builder = builder.master(master)
     for name, value in {**DEFAULTS, **(options or {})}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if LISTING_TASKS not in (options or {}):
+        _bound_listing(spark)
+    return spark
+
+
+def _bound_listing(spark: SparkSession) -> None:
+    """List folders in a few tasks per core instead of one task per folder."""
+    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
 
 
 def apply_defaults(spark: SparkSession) -> None:
     """Give a session started elsewhere the settings above."""
     for name, value in DEFAULTS.items():
         spark.conf.set(name, value)
+    _bound_listing(spark)
 
 
 def scratch_dir(spark: SparkSession) -> str:

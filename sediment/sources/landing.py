@@ -79,7 +79,7 @@ def read_snapshots(
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed file: its path and its whole text."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
 
 
