@@ -23,17 +23,17 @@ def _same_key(left: str, right: str, keys: Sequence[str], null_safe: bool) -> Co
 def seen_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Distinct keys of `source` that `target` holds.
 
-    Only the key columns of the (large) target are read. With a source below the broadcast
-    threshold the target is not shuffled at all; beyond it both sides shuffle keys only.
-    `distinct` combines on the map side, so a key repeated any number of times on either
-    side never gathers in one task.
+    Only the key columns of the (large) target are read. If the source keys can be broadcast,
+    the optimizer moves the semi join below the target's `distinct`, and the target is not
+    shuffled. If not, both sides are first made distinct (combined on the map side), so that
+    a key repeated any number of times on either side never gathers in one task.
     """
     columns = [F.col(quoted(key)) for key in keys]
     wanted = source.select(columns).distinct()
-    held = target.select(columns).alias("held")
-    return held.join(
+    held = target.select(columns).distinct()
+    return held.alias("held").join(
         wanted.alias("wanted"), _same_key("held", "wanted", keys, null_safe), "left_semi"
-    ).distinct()
+    )
 
 
 def unseen(

@@ -4,20 +4,24 @@
     WHEN MATCHED THEN UPDATE SET <some columns>
     WHEN NOT MATCHED THEN INSERT *
 
-The result is not computed by a full outer join: that shuffles the whole target for any
-source, and neither NULL keys nor a repeated key can be split over tasks. Instead
-
-* source rows whose key repeats are set aside first; they either clash with a target row,
-  which is an error, or are all inserted,
-* target rows look up the remaining source (a left join: a small source is broadcast and
-  the target stays where it is, a hot target key is split by adaptive execution),
-* source rows unknown to the target are appended (an anti join on keys only),
-* rows with a NULL key pass by on either side, since NULL never equals anything.
+Rows that cannot match are set aside before any join, where they would all land in one
+task: rows with a NULL key, which equals nothing, and source rows whose key repeats, which
+either clash with a target row (an error) or are all inserted. Every remaining source key is
+unique. Three plans for the rest give the same result:
+
+ONE_PASS      a full outer join. Each side is read and shuffled once. For a target whose key
+              is (nearly) unique, such as a primary key.
+HOT_TARGET    a left join for the updates and an anti join for the inserts. Adaptive
+              execution can split a target key that fills many tasks, which it cannot do in
+              a full outer join; the target's key column is read a second time.
+SMALL_SOURCE  as HOT_TARGET, but the anti join only meets the target keys that the source
+              asks for. A source below the broadcast threshold moves no target row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from enum import Enum
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +29,17 @@ from pyspark.sql import functions as F
 from sediment.operators.keys import quoted, unseen
 from sediment.sinks.staging import staged
 
-_FOUND = "__found"
+_STORED = "__stored"
+_INCOMING = "__incoming"
 _NEW = "__new_"
 
 
+class MergePlan(Enum):
+    ONE_PASS = "one_pass"
+    HOT_TARGET = "hot_target"
+    SMALL_SOURCE = "small_source"
+
+
 @dataclass(frozen=True)
 class MergeSpec:
     """Key column and the columns overwritten on a match; all other columns are kept."""
@@ -58,10 +69,11 @@ def split_source(
     """
     key = F.col(quoted(spec.key))
     keyed, keyless = source.filter(key.isNotNull()), source.filter(key.isNull())
-    repeated = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    if repeated.isEmpty():
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+    most = counts.agg(F.max("copies")).first()[0]
+    if most is None or most == 1:
         return keyed, keyless
-    repeated = staged(repeated.select(key))
+    repeated = staged(counts.filter("copies > 1").select(key))
     clash = target.select(key).join(repeated, spec.key, "left_semi").first()
     if clash is not None:
         raise MergeConflict(f"more than one source row matches {spec.key} = {clash[0]}")
@@ -71,36 +83,50 @@ def split_source(
     )
 
 
-def update_matched(target: DataFrame, unique_source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """All target rows, with the update columns taken from the source where the key matches."""
+def _meet(target: DataFrame, unique_source: DataFrame, spec: MergeSpec, how: str) -> DataFrame:
+    """Target rows with a key joined to the source, and each column settled."""
     key = F.col(quoted(spec.key))
-    lookup = unique_source.select(
-        key, F.lit(True).alias(_FOUND), *[F.col(quoted(c)).alias(_NEW + c) for c in spec.update]
+    names = [c for c in target.columns if c != spec.key]
+    if how == "left":
+        names = [c for c in names if c in spec.update]
+    incoming = unique_source.select(
+        key, F.lit(True).alias(_INCOMING), *[F.col(quoted(c)).alias(_NEW + c) for c in names]
     )
-    joined = target.filter(key.isNotNull()).join(lookup, spec.key, "left")
-    updated = joined.select(
-        [
-            F.when(F.col(_FOUND), F.col(quoted(_NEW + c))).otherwise(F.col(quoted(c))).alias(c)
-            if c in spec.update
-            else F.col(quoted(c))
-            for c in target.columns
-        ]
+    stored = target.filter(key.isNotNull()).withColumn(_STORED, F.lit(True))
+    joined = stored.join(incoming, spec.key, how)
+
+    def settled(name: str):
+        old = F.col(quoted(name))
+        if name not in names:
+            return old
+        new = F.col(quoted(_NEW + name))
+        take_new = F.col(_INCOMING) if name in spec.update else F.col(_STORED).isNull()
+        return F.when(take_new, new).otherwise(old).alias(name)
+
+    return joined.select([settled(name) for name in target.columns])
+
+
+def update_matched(target: DataFrame, unique_source: DataFrame, spec: MergeSpec) -> DataFrame:
+    """All target rows, with the update columns taken from the source where the key matches."""
+    return _meet(target, unique_source, spec, "left").unionAll(
+        target.filter(F.col(quoted(spec.key)).isNull())
     )
-    return updated.unionAll(target.filter(key.isNull()))
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, spec: MergeSpec, small_source: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    spec: MergeSpec,
+    plan: MergePlan = MergePlan.HOT_TARGET,
 ) -> DataFrame:
     """The target after the merge.
 
-    The source is read several times: stage it first if it is costly to compute. Set
-    `small_source` when the source is a small part of a large target.
+    The source is read several times: stage it first if it is costly to compute.
     """
     incoming = aligned(source, target)
     unique, inserts = split_source(target, incoming, spec)
-    return (
-        update_matched(target, unique, spec)
-        .unionAll(unseen(unique, target, [spec.key], small_source=small_source))
-        .unionAll(inserts)
-    )
+    if plan is MergePlan.ONE_PASS:
+        keyless = target.filter(F.col(quoted(spec.key)).isNull())
+        return _meet(target, unique, spec, "full").unionAll(keyless).unionAll(inserts)
+    fresh = unseen(unique, target, [spec.key], small_source=plan is MergePlan.SMALL_SOURCE)
+    return update_matched(target, unique, spec).unionAll(fresh).unionAll(inserts)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.operators import gold
-from sediment.operators.upsert import merge_upsert
+from sediment.operators.upsert import MergePlan, merge_upsert
 from sediment.plans import tables
 from sediment.queries import shapes
 from sediment.sinks.staging import staged
@@ -46,6 +46,7 @@ def merge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         ),
         tables.CUSTOMERS.merge,
+        MergePlan.ONE_PASS,
     )
 
 
@@ -62,6 +63,7 @@ def merge_products(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         ),
         tables.PRODUCTS.merge,
+        MergePlan.ONE_PASS,
     )
 
 
@@ -79,6 +81,7 @@ def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         ),
         tables.ORDERS.merge,
+        MergePlan.ONE_PASS,
     )
 
 
@@ -98,6 +101,7 @@ def merge_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         ),
         tables.ORDER_ITEMS.merge,
+        MergePlan.ONE_PASS,
     )
 
 
@@ -107,6 +111,7 @@ def merge_gold_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         staged(gold.daily_sales(_history(orders, "order_date"), at(OLD))),
         staged(gold.daily_sales(_feed(orders, "order_date"), at(NEW))),
         tables.GOLD_DAILY_SALES.merge,
+        MergePlan.ONE_PASS,
     )
 
 
@@ -120,6 +125,7 @@ def merge_gold_customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ),
         tables.GOLD_CUSTOMER_METRICS.merge,
+        MergePlan.ONE_PASS,
     )
 
 
@@ -133,6 +139,7 @@ def merge_gold_category_performance(spark: SparkSession, sf_dir: str) -> DataFra
             )
         ),
         tables.GOLD_CATEGORY_PERFORMANCE.merge,
+        MergePlan.ONE_PASS,
     )
 
 

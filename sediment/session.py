@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -58,6 +59,11 @@ def apply_defaults(spark: SparkSession) -> None:
     _bound_listing(spark)
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="sediment-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder for staged data, under the folder named by spark.checkpoint.dir.
 
@@ -68,6 +74,5 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="sediment-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

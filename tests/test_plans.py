@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from sediment.operators import report
 from sediment.operators.keys import seen_keys
-from sediment.operators.upsert import MergeSpec, merge_upsert
+from sediment.operators.upsert import MergePlan, MergeSpec, merge_upsert
 from sediment.sources import conform
 from tests.conftest import SF_DIR, plan, rows
 
@@ -51,11 +51,21 @@ def test_products_are_pre_aggregated_before_the_shuffle(spark, without_broadcast
 
 
 def test_a_small_source_leaves_the_target_in_place(spark):
-    target = spark.range(1000).select(F.col("id").alias("k"), F.lit(0).alias("v"))
-    source = spark.range(5).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    text = plan(seen_keys(target, source, ["k"]), "simple")
-    assert "BroadcastHashJoin" in text
+    target = conform.order_items(spark, SF_DIR)
+    source = conform.orders(spark, SF_DIR)
+    text = plan(seen_keys(target, source, ["order_id"]), "simple")
     assert "SortMergeJoin" not in text
+    # The target's first shuffle is above the semi join, so it moves matching keys only.
+    assert text.index("Exchange hashpartitioning") < text.index("BroadcastHashJoin")
+
+
+def test_a_large_source_meets_distinct_target_keys(spark, without_broadcast):
+    target = conform.order_items(spark, SF_DIR)
+    source = conform.orders(spark, SF_DIR)
+    text = plan(seen_keys(target, source, ["order_id"]), "simple")
+    above, below = text.split("SortMergeJoin")
+    assert "HashAggregate" not in above
+    assert below.count("HashAggregate") == 4  # partial and final on either side
 
 
 def test_hot_order_is_split_over_tasks(spark, without_broadcast):
@@ -87,6 +97,6 @@ def test_hot_order_is_split_over_tasks(spark, without_broadcast):
 def test_merge_result_is_the_same_without_broadcast(spark, without_broadcast):
     target = spark.range(0, 300).select(F.col("id").alias("k"), F.lit(0).alias("v"))
     source = spark.range(200, 400).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    for small in (False, True):
-        merged = merge_upsert(target, source, MergeSpec("k", ("v",)), small)
+    for how in MergePlan:
+        merged = merge_upsert(target, source, MergeSpec("k", ("v",)), how)
         assert rows(merged.groupBy("v").count()) == [(0, 200), (1, 200)]

@@ -234,3 +234,19 @@ def test_merge_statement_is_valid_sql(spark, namespace):
         spark.table(table).createOrReplaceTempView("incoming")
         with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
             spark.sql(merge_statement(table, "incoming", spec.merge))
+
+
+def test_command_line(spark, landing, namespace, capsys):
+    from sediment.main import arguments, run
+
+    for argv in (
+        ["silver", "--landing", str(landing), "--namespace", namespace, "--date", "2026-06-10"],
+        ["gold", "--namespace", namespace],
+        ["backfill", "--landing", str(landing), "--namespace", namespace, "--first", "2026-06-11", "--last", "2026-06-12"],
+        ["explore", "--namespace", namespace],
+    ):
+        run(spark, arguments(argv))
+    assert "total_revenue" in capsys.readouterr().out
+    assert spark.table(f"{namespace}.orders").count() == 3
+    with pytest.raises(SystemExit):
+        arguments(["silver", "--landing", "x", "--namespace", "y", "--date", "10.06.2026"])

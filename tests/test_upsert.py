@@ -3,31 +3,31 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 
-from sediment.operators.upsert import MergeConflict, MergeSpec, merge_upsert
+from sediment.operators.upsert import MergeConflict, MergePlan, MergeSpec, merge_upsert
 from tests.conftest import rows
 
 SCHEMA = "k string, kept int, changed string"
 SPEC = MergeSpec("k", ("changed",))
 
 
-def merge(spark, target, source, small_source=False):
+def merge(spark, target, source, plan=MergePlan.HOT_TARGET):
     return rows(
         merge_upsert(
             spark.createDataFrame(target, SCHEMA),
             spark.createDataFrame(source, SCHEMA),
             SPEC,
-            small_source,
+            plan,
         )
     )
 
 
-@pytest.mark.parametrize("small_source", [False, True])
-def test_insert_update_and_untouched(spark, small_source):
+@pytest.mark.parametrize("plan", MergePlan)
+def test_insert_update_and_untouched(spark, plan):
     found = merge(
         spark,
         [("a", 1, "x"), ("b", 2, "y")],
         [("b", 20, "new"), ("c", 30, "z")],
-        small_source,
+        plan,
     )
     assert found == [("a", 1, "x"), ("b", 2, "new"), ("c", 30, "z")]
 
@@ -36,8 +36,9 @@ def test_match_overwrites_with_null_and_without_regard_to_age(spark):
     assert merge(spark, [("a", 1, "newer")], [("a", 9, None)]) == [("a", 1, None)]
 
 
-def test_null_keys_never_match(spark):
-    found = merge(spark, [(None, 1, "z")], [(None, 2, "n"), (None, 3, "n")])
+@pytest.mark.parametrize("plan", MergePlan)
+def test_null_keys_never_match(spark, plan):
+    found = merge(spark, [(None, 1, "z")], [(None, 2, "n"), (None, 3, "n")], plan)
     assert found == [(None, 1, "z"), (None, 2, "n"), (None, 3, "n")]
 
 
@@ -51,8 +52,9 @@ def test_repeated_source_key_without_a_match_is_inserted(spark):
     assert found == [("a", 1, "u"), ("c", 2, "p"), ("c", 3, "q")]
 
 
-def test_repeated_target_key_is_updated_in_every_row(spark):
-    found = merge(spark, [("a", 1, "x"), ("a", 2, "y")], [("a", 9, "u")])
+@pytest.mark.parametrize("plan", MergePlan)
+def test_repeated_target_key_is_updated_in_every_row(spark, plan):
+    found = merge(spark, [("a", 1, "x"), ("a", 2, "y")], [("a", 9, "u")], plan)
     assert found == [("a", 1, "u"), ("a", 2, "u")]
 
 
@@ -99,13 +101,13 @@ def brute_force(target, source):
     return result + [row for row in source if row[0] not in held]
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(target=st.lists(cells, max_size=8), source=st.lists(cells, max_size=8), small=st.booleans())
-def test_equals_brute_force(spark, target, source, small):
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=st.lists(cells, max_size=8), source=st.lists(cells, max_size=8), plan=st.sampled_from(MergePlan))
+def test_equals_brute_force(spark, target, source, plan):
     expected = brute_force(target, source)
     if expected is None:
         with pytest.raises(MergeConflict):
-            merge(spark, target, source, small)
+            merge(spark, target, source, plan)
     else:
-        found = merge(spark, target, source, small)
+        found = merge(spark, target, source, plan)
         assert sorted(map(str, found)) == sorted(map(str, expected))
