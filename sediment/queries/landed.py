@@ -23,7 +23,7 @@ from sediment.sources.landing import (
     split_payloads,
 )
 
-RUN_DATE = datetime.date(1998, 3, 2)
+RUN_DATE = datetime.date(1998, 3, 22)
 INGESTED_AT = "2026-06-10 06:30:00"
 
 
