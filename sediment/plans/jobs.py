@@ -82,16 +82,24 @@ def load_prices(
 ) -> None:
     """Flatten, deduplicate and append the price snapshots below `root`.
 
-    Every run reads all snapshots. `skip_stored` leaves out rows the table already holds;
-    without it a repeated run appends them again.
+    Every run reads all snapshots; `sediment.streaming.incremental.append_new_snapshots` reads
+    new files only. `skip_stored` leaves out rows the table already holds; without it a
+    repeated run appends them again.
     """
     schema = prices.snapshot_schema(entities) if entities else None
     snapshots = read_snapshots(spark, root, schema, one_object_per_file)
+    store_prices(snapshots, table, skip_stored, provider)
+
+
+def store_prices(
+    snapshots: DataFrame, table: str, skip_stored: bool = True, provider: str = "parquet"
+) -> None:
+    """Flatten and deduplicate wide snapshots and append them to the price table."""
+    spark = snapshots.sparkSession
     batch = prices.dedup(prices.flatten(snapshots))
     create_namespace(spark, table.rsplit(".", 1)[0])
     if skip_stored and spark.catalog.tableExists(table):
-        batch = staged(batch)
-        batch = prices.not_yet_stored(batch, spark.table(table))
+        batch = prices.not_yet_stored(staged(batch), spark.table(table))
     create_or_append(batch, table, provider)
 
 

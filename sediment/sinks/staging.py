@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from sediment.session import scratch_dir
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
     """Write the frame as parquet to the shared scratch folder and read it back.
 
     Unlike a cache the copy survives the loss of executors, and its file sizes tell the
-    planner how big it is, so a broadcast is decided on the real size.
+    planner how big it is, so a broadcast is decided on the real size. `reader` is the session
+    of the returned frame, by default that of the given one.
     """
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(path)

@@ -1,8 +1,9 @@
-"""Merge whatever days have landed since the last run, tracked by a stream checkpoint."""
+"""Take in whatever has landed since the last run, tracked by a stream checkpoint."""
 
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sediment.functions.parsing import parse_timestamps
-from sediment.plans.jobs import day_of_insert
+from sediment.operators.prices import snapshot_schema
+from sediment.plans.jobs import day_of_insert, store_prices
 from sediment.schemas import Feed
 from sediment.sinks.staging import staged
 from sediment.sinks.tables import TableSpec, create_namespace, create_table, upsert
@@ -45,7 +47,9 @@ def merge_new_days(
     table = create_table(spark, namespace, spec, provider)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = staged(batch)
+        # The batch belongs to a clone of the session. Tables are read and written through
+        # the caller's session, whose file listings a write then refreshes.
+        rows = staged(batch, spark)
         # One row per landed day: bounded by the calendar, not by the data.
         days = sorted(tuple(row) for row in rows.select(*DAY_COLUMNS).distinct().collect())
         for year, month, day in days:
@@ -64,3 +68,33 @@ def merge_new_days(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def append_new_snapshots(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    entities: Sequence[str],
+    checkpoint: str,
+    one_object_per_file: bool = False,
+    provider: str = "parquet",
+) -> StreamingQuery:
+    """Start a run that appends the prices of snapshot files not seen before.
+
+    Prices the table already holds are left out, so a repeated batch appends nothing.
+    """
+    snapshots = (
+        spark.readStream.schema(snapshot_schema(entities))
+        .option("multiLine", one_object_per_file)
+        .json(root)
+    )
+
+    def append_batch(batch: DataFrame, batch_id: int) -> None:
+        store_prices(staged(batch, spark), table, provider=provider)
+
+    return (
+        snapshots.writeStream.foreachBatch(append_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -68,8 +68,9 @@ def test_a_large_source_meets_distinct_target_keys(spark, without_broadcast):
     assert below.count("HashAggregate") == 4  # partial and final on either side
 
 
-def test_hot_order_is_split_over_tasks(spark, without_broadcast):
-    """A third of all items on one order: adaptive execution must split its partition."""
+@pytest.fixture
+def small_partitions(spark, without_broadcast):
+    """Adaptive thresholds scaled down to the test tables."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -78,20 +79,48 @@ def test_hot_order_is_split_over_tasks(spark, without_broadcast):
     old = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        items = conform.order_items(spark, SF_DIR).repartition(8)
-        hot = items.withColumn("order_id", F.when(F.col("order_id") % 3 == 0, 7).otherwise(F.col("order_id")))
-        result = report.country_category_revenue(
-            hot,
-            conform.orders(spark, SF_DIR),
-            conform.customers(spark, SF_DIR),
-            conform.products(spark, SF_DIR),
-        )
-        result.collect()
-        assert "SortMergeJoin(skew=true)" in plan(result, "simple")
-    finally:
-        for name, value in old.items():
-            spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+def a_third_on(column, value):
+    return F.when(F.col(column) % 3 == 0, value).otherwise(F.col(column)).alias(column)
+
+
+def test_hot_order_is_split_over_tasks(spark, small_partitions):
+    """A third of all items on one order: adaptive execution must split its partition."""
+    items = conform.order_items(spark, SF_DIR).repartition(8)
+    result = report.country_category_revenue(
+        items.withColumn("order_id", a_third_on("order_id", 7)),
+        conform.orders(spark, SF_DIR),
+        conform.customers(spark, SF_DIR),
+        conform.products(spark, SF_DIR),
+    )
+    result.collect()
+    assert "SortMergeJoin(skew=true)" in plan(result, "simple")
+
+
+def test_hot_product_is_split_over_tasks(spark, small_partitions):
+    items = conform.order_items(spark, SF_DIR).repartition(8)
+    result = report.country_category_revenue(
+        items.withColumn("product_id", a_third_on("product_id", 7)),
+        conform.orders(spark, SF_DIR),
+        conform.customers(spark, SF_DIR),
+        conform.products(spark, SF_DIR),
+    )
+    result.collect()
+    assert "SortMergeJoin(skew=true)" in plan(result, "simple")
+
+
+def test_hot_target_key_is_split_over_tasks(spark, small_partitions):
+    target = conform.order_items(spark, SF_DIR).repartition(8).select(
+        a_third_on("order_id", 7).alias("k"), F.col("order_item_id").alias("v")
+    )
+    source = conform.orders(spark, SF_DIR).select(F.col("order_id").alias("k"), F.col("status").alias("v"))
+    merged = merge_upsert(target, source, MergeSpec("k", ("v",)), MergePlan.HOT_TARGET)
+    merged.collect()
+    assert "SortMergeJoin(skew=true)" in plan(merged, "simple")
 
 
 def test_merge_result_is_the_same_without_broadcast(spark, without_broadcast):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sediment.operators import prices
 from sediment.plans.jobs import load_prices
 from sediment.sources.landing import read_snapshots
+from sediment.streaming.incremental import append_new_snapshots
 from tests.conftest import plan, rows
 
 EPOCH = 1781049600  # 2026-06-10 00:00:00 UTC
@@ -100,3 +101,26 @@ def test_price_job_can_be_repeated(spark, landing, namespace):
     assert spark.table(table).count() == 5
     load_prices(spark, landing, table, entities=["bitcoin", "ethereum", "solana"], skip_stored=False)
     assert spark.table(table).count() == 10
+
+
+def test_price_stream_reads_each_file_once(spark, landing, namespace, tmp_path):
+    table = f"{namespace}.crypto_prices"
+
+    def run():
+        append_new_snapshots(
+            spark, landing, table, ["bitcoin", "ethereum", "solana"], str(tmp_path / "progress")
+        ).awaitTermination()
+        return rows(spark.table(table).select("coin_id", "price_usd", "timestamp"))
+
+    first = run()
+    assert len(first) == 5
+    assert run() == first
+    folder = tmp_path / "crypto_data" / "year=2026" / "month=06" / "day=11"
+    folder.mkdir()
+    (folder / "snapshot.json").write_text(f'{{"bitcoin":{coin(70000, EPOCH + 60)},"solana":{coin(150)}}}\n')
+    assert run() == rows(
+        spark.createDataFrame(
+            [*first, ("bitcoin", 70000.0, AT + datetime.timedelta(minutes=1))],
+            "coin_id string, price_usd double, timestamp timestamp",
+        )
+    )

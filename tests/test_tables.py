@@ -201,8 +201,13 @@ def test_stream_equals_backfill_and_sees_each_file_once(spark, landing, namespac
     both = [("ORD_1", 11.0, DAYS[0]), ("ORD_2", 20.0, DAYS[0]), ("ORD_3", 30.0, DAYS[1])]
     assert run() == both
     assert run() == both
-    write(landing / "orders" / folder(DAYS[2]) / "orders.json", order(2, DAYS[2], 21.0, "Shipped"))
-    assert run() == [both[0], ("ORD_2", 21.0, DAYS[0]), both[2]]
+    late = order(4, DAYS[2], 40.0, "Pending", ordered=DAYS[0])
+    write(landing / "orders" / folder(DAYS[2]) / "orders.json", order(2, DAYS[2], 21.0, "Shipped"), late)
+    grown = [both[0], ("ORD_2", 21.0, DAYS[0]), both[2], ("ORD_4", 40.0, DAYS[0])]
+    assert run() == grown
+    next_day = DAYS[2] + datetime.timedelta(days=1)
+    write(landing / "orders" / folder(next_day) / "orders.json", order(4, next_day, 41.0, "Shipped"))
+    assert run() == [*grown[:3], ("ORD_4", 41.0, DAYS[0])]
 
 
 def test_create_then_append_by_name(spark, namespace):
