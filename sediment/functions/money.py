@@ -1,10 +1,13 @@
 """Exact, order-independent sums of money held as DOUBLE.
 
-A sum of doubles depends on the order in which partitions arrive. Money is therefore
-summed as whole cents. One BIGINT sum of cents can overflow on a table of 10^12 rows and
-a DECIMAL sum costs an object per row, so the cents are summed as two BIGINT halves
-(high part and low 20 bits), which stays inside code generation and leaves room for
-2^43 rows per group; only the one value per group becomes a DECIMAL.
+A sum of doubles depends on the order in which partitions arrive. Amounts that are whole
+cents, which is what money is, are therefore summed as integers. One BIGINT sum of cents can
+overflow on a table of 10^12 rows and a DECIMAL sum costs an object per row, so the cents are
+summed as two BIGINT halves (high part and low 20 bits), which stays inside code generation
+and leaves room for 2^43 rows per group; only one value per group becomes a DECIMAL.
+
+An amount that is not whole cents (a fraction of a cent, NaN, an infinity, a huge value) is
+not rounded: such amounts are summed as doubles beside the others and added at the end.
 """
 
 from __future__ import annotations
@@ -13,34 +16,44 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LOW_BITS = 20
+LARGEST_CENTS = 1 << 53  # up to here every whole number is a double
+LARGEST_PRICE_CENTS = 1 << 31  # times any INT quantity this fits a BIGINT
 
 
-def cents(amount: Column) -> Column:
-    """DOUBLE amount -> whole cents as BIGINT. Out-of-range or NaN amounts raise under ANSI."""
-    return F.rint(amount * 100).cast("bigint")
+def _split(amount: Column, limit: int) -> tuple[Column, Column]:
+    cents = F.rint(amount * 100)
+    whole = (F.abs(cents) < limit) & (cents / 100 == amount)
+    return F.when(whole, cents.cast("bigint")), F.when(~whole, amount)
 
 
-def halves(value: Column) -> tuple[Column, Column]:
-    """High part and low bits of a BIGINT; both can be summed and summed again."""
-    return F.shiftright(value, LOW_BITS), value.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+def split(amount: Column) -> tuple[Column, Column]:
+    """Whole cents as BIGINT, or else the amount itself; exactly one of the two is not NULL."""
+    return _split(amount, LARGEST_CENTS)
 
 
-def from_halves(high: Column, low: Column) -> Column:
-    """Summed halves of cents -> DOUBLE amount."""
-    return (high.cast("decimal(38,0)") * (1 << LOW_BITS) + low).cast("double") / 100
+def split_line(quantity: Column, unit_price: Column) -> tuple[Column, Column]:
+    """The same for INT quantity x unit price."""
+    cents, rest = _split(unit_price, LARGEST_PRICE_CENTS)
+    return quantity.cast("bigint") * cents, quantity * rest
 
 
-def sum_cents(value: Column) -> Column:
-    """Exact sum of a BIGINT cents column, returned as a DOUBLE amount (NULL if all are NULL)."""
-    high, low = halves(value)
-    return from_halves(F.sum(high), F.sum(low))
+def partial_sums(cents: Column, rest: Column) -> tuple[Column, Column, Column]:
+    """Aggregates that may be summed again over larger groups before `total`."""
+    low = cents.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    return F.sum(F.shiftright(cents, LOW_BITS)), F.sum(low), F.sum(rest)
+
+
+def total(high: Column, low: Column, rest: Column) -> Column:
+    """Summed parts -> DOUBLE amount; NULL if there was no amount at all."""
+    exact = (high.cast("decimal(38,0)") * (1 << LOW_BITS) + low).cast("double") / 100
+    return F.coalesce(exact + rest, exact, rest)
 
 
 def sum_money(amount: Column) -> Column:
-    """Exact sum of a DOUBLE money column."""
-    return sum_cents(cents(amount))
+    """Sum of a DOUBLE money column."""
+    return total(*partial_sums(*split(amount)))
 
 
-def line_cents(quantity: Column, unit_price: Column) -> Column:
-    """quantity x unit price in whole cents."""
-    return quantity.cast("bigint") * cents(unit_price)
+def sum_lines(quantity: Column, unit_price: Column) -> Column:
+    """Sum of quantity x unit price."""
+    return total(*partial_sums(*split_line(quantity, unit_price)))

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.functions.money import from_halves, halves, line_cents, sum_money
+from sediment.functions.money import partial_sums, split_line, sum_money, total
 
 # Fixed value: the order status that counts as a cancellation.
 CANCELLED = "Cancelled"
@@ -74,16 +74,16 @@ def category_performance(
     The sums are additive, so the items are reduced to one row per product first: a best
     seller shrinks on the map side, and the join and the category step see one row per product.
     """
-    high, low = halves(line_cents(F.col("quantity"), F.col("unit_price")))
+    high, low, rest = partial_sums(*split_line(F.col("quantity"), F.col("unit_price")))
     per_product = order_items.groupBy("product_id").agg(
-        F.sum("quantity").alias("units"), F.sum(high).alias("high"), F.sum(low).alias("low")
+        F.sum("quantity").alias("units"), high.alias("high"), low.alias("low"), rest.alias("rest")
     )
     result = (
         per_product.join(products.select("product_id", "category"), "product_id")
         .groupBy("category")
         .agg(
             F.sum("units").alias("units_sold"),
-            from_halves(F.sum("high"), F.sum("low")).alias("revenue_generated"),
+            total(F.sum("high"), F.sum("low"), F.sum("rest")).alias("revenue_generated"),
         )
     )
     return stamped(result, run_ts)

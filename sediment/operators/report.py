@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.functions.money import line_cents, sum_cents
+from sediment.functions.money import sum_lines
 from sediment.operators.gold import CANCELLED
 
 
@@ -26,15 +26,15 @@ def country_category_revenue(
         .join(customers.select("customer_id", "country"), "customer_id")
         .select("order_id", "country")
     )
-    lines = order_items.select(
-        "order_id", "product_id", "quantity", line_cents(F.col("quantity"), F.col("unit_price")).alias("line")
-    ).join(products.select("product_id", "category"), "product_id")
+    lines = order_items.select("order_id", "product_id", "quantity", "unit_price").join(
+        products.select("product_id", "category"), "product_id"
+    )
     return (
         lines.join(sold, "order_id")
         .groupBy("country", "category")
         .agg(
             F.sum("quantity").alias("total_units_sold"),
-            F.round(sum_cents(F.col("line")), 2).alias("total_revenue"),
+            F.round(sum_lines(F.col("quantity"), F.col("unit_price")), 2).alias("total_revenue"),
         )
     )
 

@@ -17,10 +17,8 @@ from sediment.sources.landing import (
     DAY_COLUMNS,
     is_json_object,
     manifest,
-    manifest_changes,
     read_days,
     read_feed,
-    split_payloads,
 )
 
 RUN_DATE = datetime.date(1998, 3, 22)
@@ -142,11 +140,13 @@ def payload_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accepted, rejected = split_payloads(payload_texts(spark, sf_dir))
-    return (
-        accepted.withColumn("verdict", F.lit("accepted"))
-        .unionAll(rejected.withColumn("verdict", F.lit("rejected")))
-        .select("feed", "id", F.length("payload").cast("bigint").alias("characters"), "verdict")
+    """Every payload with its length and verdict, marked in one pass."""
+    payload = F.col("payload")
+    return payload_texts(spark, sf_dir).select(
+        "feed",
+        "id",
+        F.length(payload).cast("bigint").alias("characters"),
+        F.when(is_json_object(payload), "accepted").otherwise("rejected").alias("verdict"),
     )
 
 

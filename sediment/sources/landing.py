@@ -89,7 +89,11 @@ def is_json_object(payload: Column) -> Column:
 
 
 def split_payloads(payloads: DataFrame, column: str = "payload") -> tuple[DataFrame, DataFrame]:
-    """Payload rows that are JSON objects, and the rejected rest."""
+    """Payload rows that are JSON objects, and the rejected rest.
+
+    Each half reads the payloads; where one result can hold both, `is_json_object` marks the
+    rows in one pass.
+    """
     accepted = is_json_object(F.col(column))
     return payloads.filter(accepted), payloads.filter(~accepted)
 

@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from sediment.functions.money import sum_money
+from sediment.functions.money import sum_lines, sum_money
 from sediment.operators import gold, report
 from tests.conftest import rows
 
@@ -90,3 +90,18 @@ def test_money_is_exact_and_does_not_overflow(spark):
     )
     assert mixed.agg(sum_money(F.col("m"))).first()[0] == 0.1
     assert spark.createDataFrame([(None,)], "m double").agg(sum_money(F.col("m"))).first()[0] is None
+
+
+def test_amounts_that_are_not_whole_cents_are_not_rounded(spark):
+    def total(*amounts):
+        df = spark.createDataFrame([(a,) for a in amounts], "m double")
+        return df.agg(sum_money(F.col("m"))).first()[0]
+
+    assert total(0.125, 0.125, 1.1) == 1.35
+    assert total(0.001) == 0.001
+    assert total(1e300, 1.0) == 1e300
+    assert str(total(float("nan"), 1.0)) == "nan"
+    assert total(float("inf"), 1.0) == float("inf")
+
+    lines = spark.createDataFrame([(1000, 0.005), (3, 0.1), (2, None), (None, 5.0), (2, 3e7)], "q int, p double")
+    assert lines.agg(sum_lines(F.col("q"), F.col("p"))).first()[0] == 6e7 + 5.3
