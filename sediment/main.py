@@ -1,9 +1,9 @@
 """Command line for spark-submit: one subcommand per job.
 
-spark-submit sediment/main.py silver  --landing s3a://bucket/landing --namespace shop --date 2026-06-10
-spark-submit sediment/main.py gold    --namespace shop
-spark-submit sediment/main.py prices  --landing s3a://bucket/landing/crypto_data --table market.crypto_prices
-spark-submit sediment/main.py explore --namespace shop
+spark-submit run_job.py silver  --landing s3a://bucket/landing --namespace shop --date 2026-06-10
+spark-submit run_job.py gold    --namespace shop
+spark-submit run_job.py prices  --landing s3a://bucket/landing/crypto_data --table market.crypto_prices
+spark-submit run_job.py explore --namespace shop
 
 Catalog and object-store settings come from spark-submit (--conf, --properties-file).
 """
@@ -71,6 +71,10 @@ def run(spark, args: argparse.Namespace) -> None:
         report.ranked(report.country_category_revenue(*silver)).show(20, truncate=False)
 
 
-if __name__ == "__main__":
-    parsed = arguments()
-    run(session(f"sediment-{parsed.job}"), parsed)
+def main() -> None:
+    args = arguments()
+    spark = session(f"sediment-{args.job}")
+    try:
+        run(spark, args)
+    finally:
+        spark.stop()

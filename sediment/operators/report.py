@@ -17,8 +17,9 @@ def country_category_revenue(
 ) -> DataFrame:
     """Units and revenue per customer country and product category, cancelled orders left out.
 
-    Both sides are narrowed before they meet: orders take the country at order level and
-    items take the category, so the wide shuffle happens once, on order_id.
+    Orders take the country at order level, before they meet the much larger items; the
+    category comes last, so only lines of orders that count are looked up. The items are
+    shuffled by order_id once, and by product_id only if the products are too big to broadcast.
     """
     sold = (
         orders.filter(F.col("status") != CANCELLED)
@@ -26,11 +27,10 @@ def country_category_revenue(
         .join(customers.select("customer_id", "country"), "customer_id")
         .select("order_id", "country")
     )
-    lines = order_items.select("order_id", "product_id", "quantity", "unit_price").join(
-        products.select("product_id", "category"), "product_id"
-    )
+    lines = order_items.select("order_id", "product_id", "quantity", "unit_price")
     return (
         lines.join(sold, "order_id")
+        .join(products.select("product_id", "category"), "product_id")
         .groupBy("country", "category")
         .agg(
             F.sum("quantity").alias("total_units_sold"),
