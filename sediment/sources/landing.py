@@ -84,8 +84,19 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def is_json_object(payload: Column) -> Column:
-    """True for text holding a JSON object; false for other JSON, junk, empty text and NULL."""
-    return F.json_object_keys(payload).isNotNull()
+    """True for text holding one JSON object; false for other JSON, junk, empty text and NULL.
+
+    A JSON reader stops at the end of the first value. Read as the only element of an array,
+    the text must hold nothing else.
+    """
+    parsed = F.from_json(
+        F.concat(F.lit("["), payload, F.lit("]")),
+        "array<map<string, string>>",
+        {"allowSingleQuotes": "false"},
+    )
+    single = (F.size(parsed) == 1) & F.get(parsed, F.lit(0)).isNotNull()
+    closed = F.rtrim(payload, F.lit(" \t\r\n")).endswith("}")
+    return F.coalesce(closed & single, F.lit(False))
 
 
 def split_payloads(payloads: DataFrame, column: str = "payload") -> tuple[DataFrame, DataFrame]:

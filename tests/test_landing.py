@@ -122,8 +122,8 @@ def test_read_mode_follows_the_file_shape(spark, tmp_path):
     assert rows(read_snapshots(spark, str(tmp_path / "pretty"), one_object_per_file=True).select("a.usd")) == [(1,)]
 
 
-OBJECTS = ['{"a":1}', "{}", ' {"a":{"b":[1]}}\n', '{\n "a": 1\n}']
-OTHERS = ["[1,2]", '[{"a":1}]', '"text"', "12", "null", "junk", "", None, '{"a":', '{"a":tru}']
+OBJECTS = ['{"a":1}', "{}", '{"a":NaN}', '{"a":1,"a":2}', '{"a":"]}"}', ' {"a":{"b":[1]}}\n', '{\n "a": 1\n}']
+OTHERS = ["[1,2]", '[{"a":1}]', '"text"', "12", "null", "junk", "", None, "{'a':1}", '{"a":1} x', '{"a":1} {"b":2}', '{"a":1},{"b":2}', '{"a":1}] x', "}", '{"a":', '{"a":tru}']
 
 
 def test_only_json_objects_are_accepted(spark):
