@@ -43,6 +43,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     silver.add_argument("--date", type=parse_run_date, default=now().date())
     days.add_argument("--first", type=parse_run_date, required=True)
     days.add_argument("--last", type=parse_run_date, required=True)
+    days.add_argument(
+        "--changed-days-only", action="store_true", help="recompute daily sales of changed days only"
+    )
     prices.add_argument("--table", required=True)
     prices.add_argument("--coins", nargs="*", help="known coins; without them the schema is inferred")
     prices.add_argument("--one-object-per-file", action="store_true")
@@ -57,7 +60,15 @@ def run(spark, args: argparse.Namespace) -> None:
     elif args.job == "backfill":
         span = (args.last - args.first).days + 1
         dates = [args.first + datetime.timedelta(days=n) for n in range(span)]
-        backfill(spark, args.landing, args.namespace, dates, lambda _: now(), args.provider)
+        backfill(
+            spark,
+            args.landing,
+            args.namespace,
+            dates,
+            lambda _: now(),
+            args.provider,
+            args.changed_days_only,
+        )
     elif args.job == "prices":
         load_prices(
             spark, args.landing, args.table, args.coins, args.one_object_per_file, provider=args.provider

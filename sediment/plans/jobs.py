@@ -12,7 +12,7 @@ from sediment import schemas
 from sediment.operators import gold, prices
 from sediment.plans import tables
 from sediment.sinks.staging import staged
-from sediment.sinks.tables import create_namespace, create_or_append, create_table, upsert
+from sediment.sinks.tables import create_namespace, create_or_append, create_table, in_values, upsert
 from sediment.sources.landing import read_feed, read_snapshots
 
 
@@ -31,11 +31,12 @@ def bronze_to_silver(
     namespace: str,
     run_date: datetime.date,
     provider: str = "parquet",
-) -> None:
+) -> set[datetime.date | None] | None:
     """Merge the customer and product snapshots and one day of orders and items into silver.
 
     All four feeds are opened before the first table changes, so a missing feed stops the
-    run early. A day without files merges nothing.
+    run early. A day without files merges nothing. Returns the order days whose orders may
+    have changed, or None where the table format does not tell.
     """
     create_namespace(spark, namespace)
     feeds = (
@@ -44,11 +45,15 @@ def bronze_to_silver(
         (schemas.ORDERS_FEED, tables.ORDERS),
         (schemas.ORDER_ITEMS_FEED, tables.ORDER_ITEMS),
     )
+    order_days = None
     opened = [(read_feed(spark, landing, feed, run_date), spec) for feed, spec in feeds]
     for rows, spec in opened:
         if provider == "parquet":
             rows = day_of_insert(rows, spec, run_date)
-        upsert(spark, create_table(spark, namespace, spec, provider), rows, spec)
+        changed = upsert(spark, create_table(spark, namespace, spec, provider), rows, spec)
+        if spec is tables.ORDERS:
+            order_days = changed
+    return order_days
 
 
 def silver_to_gold(
@@ -56,14 +61,20 @@ def silver_to_gold(
     namespace: str,
     run_ts: datetime.datetime,
     provider: str = "parquet",
+    order_days: set[datetime.date | None] | None = None,
 ) -> None:
-    """Recompute the three gold tables from silver and merge them."""
+    """Recompute the three gold tables from silver and merge them.
+
+    With `order_days` (as `bronze_to_silver` returns them) the daily sales read only the
+    folders of those days. Their values are the same; days left out keep their `updated_at`.
+    """
     orders, order_items, customers, products = (
         spark.table(f"{namespace}.{spec.name}")
         for spec in (tables.ORDERS, tables.ORDER_ITEMS, tables.CUSTOMERS, tables.PRODUCTS)
     )
+    changed = orders if order_days is None else orders.filter(in_values("order_day", order_days))
     results = (
-        (tables.GOLD_DAILY_SALES, gold.daily_sales(orders, run_ts)),
+        (tables.GOLD_DAILY_SALES, gold.daily_sales(changed, run_ts)),
         (tables.GOLD_CUSTOMER_METRICS, gold.customer_metrics(orders, customers, run_ts)),
         (tables.GOLD_CATEGORY_PERFORMANCE, gold.category_performance(order_items, products, run_ts)),
     )
@@ -110,8 +121,10 @@ def backfill(
     dates: Iterable[datetime.date],
     run_ts: Callable[[datetime.date], datetime.datetime],
     provider: str = "parquet",
+    changed_days_only: bool = False,
 ) -> None:
     """Daily runs in date order; `run_ts` gives the timestamp stamped on each run's gold rows."""
     for run_date in sorted(dates):
-        bronze_to_silver(spark, landing, namespace, run_date, provider)
-        silver_to_gold(spark, namespace, run_ts(run_date), provider)
+        order_days = bronze_to_silver(spark, landing, namespace, run_date, provider)
+        only = order_days if changed_days_only else None
+        silver_to_gold(spark, namespace, run_ts(run_date), provider, only)

@@ -10,9 +10,10 @@ versions stay until an operator removes them.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -102,7 +103,7 @@ def replace_table(df: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def replace_partitions(df: DataFrame, table: str, column: str, values: list) -> None:
+def replace_partitions(df: DataFrame, table: str, column: str, values: Collection) -> None:
     """Write new content for the listed partitions; all other partitions are untouched."""
     spark = df.sparkSession
     location = _next_location(spark, table)
@@ -125,26 +126,35 @@ def merge_statement(table: str, source: str, merge: MergeSpec) -> str:
     )
 
 
-def upsert(spark: SparkSession, table: str, source: DataFrame, spec: TableSpec) -> None:
-    """Merge the source into the table."""
+def in_values(column: str, values: Collection) -> Column:
+    """The column holds one of the values; None stands for NULL."""
+    held = F.col(quoted(column)).isin([value for value in values if value is not None])
+    return held | F.col(quoted(column)).isNull() if None in values else held
+
+
+def upsert(spark: SparkSession, table: str, source: DataFrame, spec: TableSpec) -> set | None:
+    """Merge the source into the table.
+
+    Returns the partitions that may have changed, or None where they are not known.
+    """
     provider = _described(spark, f"DESCRIBE TABLE EXTENDED {table}").get("Provider", "").lower()
     if provider != "parquet":
         view = f"incoming_{uuid.uuid4().hex}"
         source.createOrReplaceTempView(view)
         spark.sql(merge_statement(table, view, spec.merge))
         spark.catalog.dropTempView(view)
-        return
+        return None
     target = spark.table(table)
     incoming = staged(aligned(source, target))
     if spec.partitioning is None:
         # Snapshots and gold results: the source is about as large as the table and its key
         # is the table's primary key, so one pass over both is the shortest plan.
         replace_table(merge_upsert(target, incoming, spec.merge, MergePlan.ONE_PASS), table)
-        return
-    _upsert_partitions(spark, table, incoming, spec)
+        return None
+    return _upsert_partitions(spark, table, incoming, spec)
 
 
-def _upsert_partitions(spark: SparkSession, table: str, incoming: DataFrame, spec: TableSpec) -> None:
+def _upsert_partitions(spark: SparkSession, table: str, incoming: DataFrame, spec: TableSpec) -> set:
     """Rewrite the partitions that hold matched rows, then append the new rows.
 
     Both steps may be repeated after a failure between them: the first writes the same
@@ -154,14 +164,16 @@ def _upsert_partitions(spark: SparkSession, table: str, incoming: DataFrame, spe
     target = spark.table(table)
     unique, inserts = split_source(target, incoming, spec.merge)
     matched = target.select(key, column).join(unique.select(key), key, "left_semi")
-    # One value per folder of the table: bounded by the calendar, not by the data.
-    touched = [row[0] for row in matched.select(column).distinct().collect()]
+    touched = _partition_values(matched, column)
     if touched:
-        held = F.col(column).isin([value for value in touched if value is not None])
-        if None in touched:
-            held = held | F.col(column).isNull()
-        rewritten = update_matched(target.filter(held), unique, spec.merge)
+        rewritten = update_matched(target.filter(in_values(column, touched)), unique, spec.merge)
         replace_partitions(rewritten, table, column, touched)
     stored = spark.table(table)
     fresh = unseen(unique, stored, [key], small_source=True).unionAll(inserts)
     fresh.select(stored.columns).hint("rebalance", column).write.insertInto(table)
+    return touched | _partition_values(incoming, column)
+
+
+def _partition_values(df: DataFrame, column: str) -> set:
+    """One value per folder of the table: bounded by the calendar, not by the data."""
+    return {row[0] for row in df.select(column).distinct().collect()}

@@ -130,6 +130,22 @@ def test_backfill(spark, landing, namespace):
     assert daily.agg(F.sum("orders_count")).first()[0] == orders.count()
 
 
+def test_changed_days_give_the_same_daily_sales(spark, landing, namespace):
+    assert bronze_to_silver(spark, str(landing), namespace, DAYS[0]) == {DAYS[0]}
+    silver_to_gold(spark, namespace, stamped(DAYS[0]))
+    changed = bronze_to_silver(spark, str(landing), namespace, DAYS[1])
+    assert changed == set(DAYS[:2])  # order 1 is matched in its old folder
+    silver_to_gold(spark, namespace, stamped(DAYS[1]), order_days=changed)
+    sales = spark.table(f"{namespace}.gold_daily_sales")
+    full = gold.daily_sales(spark.table(f"{namespace}.orders"))
+    assert rows(sales.drop("updated_at")) == rows(full)
+    assert bronze_to_silver(spark, str(landing), namespace, DAYS[2]) == set()
+    silver_to_gold(spark, namespace, stamped(DAYS[2]), order_days=set())
+    found = spark.table(f"{namespace}.gold_daily_sales")
+    assert rows(found.drop("updated_at")) == rows(full)
+    assert rows(found.select("updated_at").distinct()) == [(stamped(DAYS[1]),)]
+
+
 def test_running_a_day_again_changes_nothing(spark, landing, namespace):
     for _ in range(2):
         bronze_to_silver(spark, str(landing), namespace, DAYS[0])
