@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 WHITESPACE = b" \t\n\x0b\x0c\r"
 CHUNK_BYTES = 1 << 20
+LARGE_CHUNK_BYTES = 4 << 20
 
 
 def quoted(name: str) -> str:
@@ -75,13 +76,14 @@ def map_texts(
     column: str,
     per_slice: Callable[[pa.RecordBatch, list[bytes]], Iterable[pa.RecordBatch]],
     schema: str,
+    limit: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Run a function over the rows of a frame, about a megabyte of text at a time."""
+    """Run a function over the rows of a frame, about `limit` bytes of text at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch.column(column))
-            for start, end in slices(texts):
+            for start, end in slices(texts, limit):
                 yield from per_slice(batch.slice(start, end - start), texts[start:end])
 
     return arrow_map(docs, run, schema)
@@ -126,11 +128,17 @@ def split_words(texts: Sequence[bytes]) -> Words:
     counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
     if not len(starts):
         return Words(np.zeros(0, np.uint64), starts, ends, counts, buffer)
+    return Words(range_hashes(buffer, starts, ends), starts, ends, counts, buffer)
+
+
+def range_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range; ranges are in order, apart from each other and not empty."""
     lengths = ends - starts
-    place = ranges(np.zeros(len(starts), np.int64), lengths)
-    values = _BYTE_VALUES[buffer[inside]] * powers(int(lengths.max()))[place]
-    hashes = mix(np.add.reduceat(values, starts_of(lengths)) + lengths.astype(np.uint64))
-    return Words(hashes, starts, ends, counts, buffer)
+    held = buffer[ranges(starts, lengths)] if len(starts) else buffer[:0]
+    if not len(held):
+        return np.zeros(0, np.uint64)
+    values = _BYTE_VALUES[held] * powers(int(lengths.max()))[ranges(np.zeros(len(starts), np.int64), lengths)]
+    return mix(np.add.reduceat(values, starts_of(lengths)) + lengths.astype(np.uint64))
 
 
 def repeated(keys: np.ndarray) -> np.ndarray:
@@ -168,6 +176,13 @@ def starts_of(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(lengths)))[:-1].astype(np.int64)
 
 
+def sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sum of each group of consecutive values; an empty group has 0."""
+    total = np.concatenate(([0], np.cumsum(values)))
+    ends = np.cumsum(lengths)
+    return (total[ends] - total[ends - lengths]).astype(np.int64)
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for every group, concatenated."""
     return np.repeat(starts - starts_of(lengths), lengths) + np.arange(int(lengths.sum()))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sediment.llm import binary_output, bpe, packing, quality
 from sediment.llm import line_dedup as lines
-from sediment.llm import quality
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +24,30 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encoded(table(spark, sf_dir, "documents"), WORD_BPE)
+    return encoded.select(
+        "doc_id",
+        F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.line_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.best_fit_packing(table(spark, sf_dir, "documents"), BYTE_BPE, with_ids=False)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_output.packed_rows(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 OP7_SQL = r"""
 WITH lines AS (
     SELECT doc_id, position, line, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -48,7 +71,10 @@ FROM marked GROUP BY doc_id
 
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_binary_output": op9_binary_output,
 }
 
 ORACLES = {
