@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import binary_output, bpe, packing, quality
+from sediment.llm import binary_output, bpe, packing, quality, topk, warc
 from sediment.llm import line_dedup as lines
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return verdicts.select(
@@ -48,6 +57,37 @@ def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_output.packed_rows(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+OP2_SQL = r"""
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+),
+digests AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM payloads
+),
+firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM firsts
+"""
+
+OP3_SQL = r"""
+WITH vectors AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 OP7_SQL = r"""
 WITH lines AS (
     SELECT doc_id, position, line, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -70,6 +110,8 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES = {
+    "op2_warc": op2_warc,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_quality_rules": op4_quality_rules,
     "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
@@ -78,5 +120,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_warc": OP2_SQL,
+    "op3_exact_top_k": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
 }
