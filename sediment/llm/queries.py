@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import binary_output, bpe, packing, quality, topk, warc
+from sediment.llm import binary_output, bpe, minhash, packing, quality, topk, warc
 from sediment.llm import line_dedup as lines
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encoded(table(spark, sf_dir, "documents"), WORD_BPE)
     return encoded.select(
@@ -113,6 +117,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_quality_rules": op4_quality_rules,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
