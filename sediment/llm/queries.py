@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import binary_output, bpe, minhash, packing, quality, topk, warc
+from sediment.llm import binary_output, bpe, minhash, packing, quality, recompression, topk, warc
 from sediment.llm import line_dedup as lines
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,11 @@ def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_output.packed_rows(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = recompression.substring_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 OP2_SQL = r"""
 WITH payloads AS (
     SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -113,6 +118,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP10_SQL = r"""
+WITH split AS (
+    SELECT doc_id, [w FOR w IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words FROM documents
+),
+numbered AS (
+    SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM split
+),
+windows AS (
+    SELECT doc_id, pos, words[pos] AS word,
+           CASE WHEN pos + 49 <= len(words) THEN md5(array_to_string(words[pos:pos + 49], ' ')) END AS key
+    FROM numbered
+),
+firsts AS (
+    SELECT key, min(doc_id) AS first_doc FROM windows WHERE key IS NOT NULL GROUP BY key
+),
+marked AS (
+    SELECT doc_id, pos, word,
+           max(CASE WHEN first_doc < doc_id THEN 1 ELSE 0 END)
+               OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM windows LEFT JOIN firsts USING (key)
+)
+SELECT split.doc_id, len(words) AS n_words, count(*) FILTER (gone = 1) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0), '')) AS kept_sha256
+FROM split LEFT JOIN marked ON split.doc_id = marked.doc_id GROUP BY split.doc_id, len(words)
+"""
+
 QUERIES = {
     "op2_warc": op2_warc,
     "op3_exact_top_k": op3_exact_top_k,
@@ -122,10 +153,12 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_binary_output": op9_binary_output,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES = {
     "op2_warc": OP2_SQL,
     "op3_exact_top_k": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op10_substring_dedup": OP10_SQL,
 }
