@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import binary_output, bpe, minhash, packing, quality, recompression, topk, warc
+from sediment.llm import binary_output, bpe, minhash, packing, pii, quality, recompression, topk, warc
 from sediment.llm import line_dedup as lines
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"), with_text=False)
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in pii.KINDS],
+        F.sha2(pii.written(base), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archived(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -145,6 +160,7 @@ FROM split LEFT JOIN marked ON split.doc_id = marked.doc_id GROUP BY split.doc_i
 """
 
 QUERIES = {
+    "op1_personal_data": op1_personal_data,
     "op2_warc": op2_warc,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_quality_rules": op4_quality_rules,
