@@ -1,6 +1,71 @@
+"""From raw documents to packed sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir), where docs is what its predecessor kept, with the
+columns of `documents`, and returns what it keeps in the same columns; the last returns the
+pieces of documents with their places in sequences.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sediment.llm import line_dedup, minhash, packing, pii, quality
+from sediment.sinks.staging import staged
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+CARRIED = ("lang", "source")
+
+
+def _documents(rows: DataFrame, text: str) -> DataFrame:
+    """The columns of documents, with a new text and its length."""
+    return rows.withColumn("text", F.col(text)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules and the isolation forests."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    kept = quality.judged(docs, labels).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that an earlier document holds."""
+    return _documents(line_dedup.line_dedup(docs, carry=CARRIED), "kept_text")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by the name of its kind."""
+    return _documents(pii.personal_data(docs, carry=CARRIED), "clean_text")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their ids and places: doc_id, piece, start, length, ids, sequence_id, offset."""
+    return packing.best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup),
+    ("personal_data", personal_data),
+    ("best_fit_packing", best_fit_packing),
+]
+
+# Forest verdicts, similarity links, the field's spans and packing have no SQL; the tests
+# compare every stage with a brute-force version.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
