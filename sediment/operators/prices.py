@@ -35,8 +35,12 @@ def snapshot_schema(entities: Iterable[str]) -> StructType:
 
 
 def entity_columns(snapshots: DataFrame) -> list[str]:
-    """Struct columns are coins; partition columns and the corrupt-record text are not."""
-    names = [f.name for f in snapshots.schema.fields if isinstance(f.dataType, StructType)]
+    """Struct columns with a price field are coins; other structs, such as an ingest record, are not."""
+    names = [
+        f.name
+        for f in snapshots.schema.fields
+        if isinstance(f.dataType, StructType) and set(PRICE_FIELDS) & set(f.dataType.names)
+    ]
     if not names:
         raise ValueError("no struct column found: the frame holds no coin")
     return names
@@ -76,11 +80,48 @@ def flatten(
     return flat
 
 
+def _coins(value: Column) -> Column:
+    """Coin -> its fields as text, for JSON text of a snapshot; values without a price field are left out."""
+    fields = F.array(*[F.lit(name) for name in PRICE_FIELDS])
+    parsed = F.transform_values(
+        F.from_json(value, "map<string, string>"), lambda _, text: F.from_json(text, "map<string, string>")
+    )
+    return F.map_filter(parsed, lambda _, held: F.coalesce(F.arrays_overlap(F.map_keys(held), fields), F.lit(False)))
+
+
+def coins_of(texts: DataFrame, column: str = "value") -> list[str]:
+    """The coins that any snapshot text holds; one short name per coin reaches the driver."""
+    names = texts.select(F.explode(F.map_keys(_coins(F.col(column)))).alias("coin_id")).distinct()
+    return sorted(row[0] for row in names.collect())
+
+
+def flatten_text(texts: DataFrame, always: Sequence[str] = (), column: str = "value") -> DataFrame:
+    """One row per snapshot text and coin it holds, whatever the coins are.
+
+    A snapshot without one of the coins in `always` gives a row of NULLs for it. The plan does
+    not grow with the number of coins, and no schema is inferred.
+    """
+    held = texts.select(_coins(F.col(column)).alias("coins")).filter("coins is not null")
+    stated = F.array(*[F.lit(name) for name in always]).cast("array<string>")
+    long = held.select("coins", F.explode(F.array_union(stated, F.map_keys("coins"))).alias("coin_id"))
+    metrics = F.try_element_at("coins", F.col("coin_id"))
+
+    def field(name: str, data_type: str) -> Column:
+        return F.try_element_at(metrics, F.lit(name)).try_cast(data_type)
+
+    return long.select(
+        "coin_id",
+        *[field(name, "double").alias(renamed) for name, renamed in PRICE_FIELDS.items()],
+        epoch_to_timestamp(field(EPOCH_FIELD, "bigint")).alias("timestamp"),
+    )
+
+
 def dedup(
     prices: DataFrame, keys: Sequence[str] = PRICE_KEY, order_by: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """One row per coin and timestamp. Without an order the smallest values win."""
-    order = order_by or [F.col(quoted(c)) for c in prices.columns if c not in keys]
+    """One row per coin and timestamp. Without an order the smallest values win, and any value
+    wins over NULL."""
+    order = order_by or [F.col(quoted(c)).asc_nulls_last() for c in prices.columns if c not in keys]
     return first_per_key(prices, keys, order)
 
 

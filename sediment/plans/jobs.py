@@ -13,7 +13,7 @@ from sediment.operators import gold, prices
 from sediment.plans import tables
 from sediment.sinks.staging import staged
 from sediment.sinks.tables import create_namespace, create_or_append, create_table, in_values, upsert
-from sediment.sources.landing import read_feed, read_snapshots
+from sediment.sources.landing import read_feed, read_snapshot_texts
 
 
 def day_of_insert(df: DataFrame, spec, run_date: datetime.date) -> DataFrame:
@@ -91,23 +91,26 @@ def load_prices(
     skip_stored: bool = True,
     provider: str = "parquet",
 ) -> None:
-    """Flatten, deduplicate and append the price snapshots below `root`.
+    """Flatten, deduplicate and append the price snapshots below `root`, with all coins they hold.
 
+    A snapshot without one of `entities` gives a row of NULLs for it; by default these are the
+    coins that any snapshot holds, which takes a pass of its own, and with an empty list there
+    are no such rows.
     Every run reads all snapshots; `sediment.streaming.incremental.append_new_snapshots` reads
     new files only. `skip_stored` leaves out rows the table already holds; without it a
     repeated run appends them again.
     """
-    schema = prices.snapshot_schema(entities) if entities else None
-    snapshots = read_snapshots(spark, root, schema, one_object_per_file)
-    store_prices(snapshots, table, skip_stored, provider)
+    texts = read_snapshot_texts(spark, root, one_object_per_file)
+    always = prices.coins_of(texts) if entities is None else entities
+    store_prices(prices.flatten_text(texts, always), table, skip_stored, provider)
 
 
 def store_prices(
-    snapshots: DataFrame, table: str, skip_stored: bool = True, provider: str = "parquet"
+    flat: DataFrame, table: str, skip_stored: bool = True, provider: str = "parquet"
 ) -> None:
-    """Flatten and deduplicate wide snapshots and append them to the price table."""
-    spark = snapshots.sparkSession
-    batch = prices.dedup(prices.flatten(snapshots))
+    """Deduplicate flat price rows and append them to the price table."""
+    spark = flat.sparkSession
+    batch = prices.dedup(flat)
     create_namespace(spark, table.rsplit(".", 1)[0])
     if skip_stored and spark.catalog.tableExists(table):
         batch = prices.not_yet_stored(staged(batch), spark.table(table))

@@ -61,14 +61,21 @@ def landing_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REVENUE_SQL = f"""
-  select c.country, p.category, cast(sum(i.quantity) as bigint) as total_units_sold,
-         round(cast(sum(i.quantity * cast(i.unit_price as decimal(18,2))) as double), 2) as total_revenue
-  from ({shapes.ORDER_ITEMS}) i
-  join ({shapes.ORDERS}) o on i.order_id = o.order_id
-  join ({shapes.CUSTOMERS}) c on o.customer_id = c.customer_id
-  join ({shapes.PRODUCTS}) p on i.product_id = p.product_id
-  where o.status <> 'Cancelled'
-  group by 1, 2"""
+  with sold as (
+    select customers.country, orders.order_id
+    from ({shapes.CUSTOMERS}) customers, ({shapes.ORDERS}) orders
+    where orders.customer_id = customers.customer_id and orders.status is not null
+      and not orders.status = 'Cancelled'
+  ),
+  lines as (
+    select products.category, items.order_id, items.quantity as units,
+           cast(items.unit_price as decimal(18, 2)) * items.quantity as amount
+    from ({shapes.PRODUCTS}) products, ({shapes.ORDER_ITEMS}) items
+    where items.product_id = products.product_id
+  )
+  select country, category, sum(units)::bigint as total_units_sold, round(sum(amount)::double, 2) as total_revenue
+  from lines, sold where lines.order_id = sold.order_id
+  group by country, category"""
 
 LANDED_SQL = "select distinct o_custkey from orders where o_orderdate >= timestamp '2001-01-01'"
 

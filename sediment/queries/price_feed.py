@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.operators import prices
+from sediment.plans.jobs import load_prices, store_prices
 from sediment.queries.landed import without_zone
 from sediment.session import scratch_dir
 from sediment.sinks.tables import create_namespace, create_or_append
 from sediment.sources import conform
 from sediment.sources.landing import read_snapshots
 
-# The event types of the events table.
+# The coins that prices_flatten_known states; its feed holds no others.
 ENTITIES = ("click", "error", "purchase", "signup", "view")
 
 
@@ -30,7 +31,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         _epoch("ts").alias("last_updated_at"),
     )
     events = conform.table(spark, sf_dir, "events")
-    return events.groupBy("ts").pivot("event_type", list(ENTITIES)).agg(F.max(metrics))
+    return events.groupBy("ts").pivot("event_type").agg(F.max(metrics))
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
@@ -53,6 +54,16 @@ def prices_flatten_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(prices.flatten(wide, drop_empty=True))
 
 
+def prices_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price table after its job has run twice over the landed feed."""
+    landed, root = _landed(spark, sf_dir), scratch_dir(spark)
+    namespace = f"prices_{root.rsplit('/', 1)[1]}"
+    create_namespace(spark, namespace, root)
+    for _ in range(2):
+        load_prices(spark, landed, f"{namespace}.crypto_prices")
+    return without_zone(spark.table(f"{namespace}.crypto_prices"))
+
+
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = conform.table(spark, sf_dir, "events")
     return events.select(
@@ -95,29 +106,34 @@ def append_new_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _hourly(spark, sf_dir)
     first = prices.dedup(feed.filter(_before("2024-01-20")).drop("ts"), order_by=["event_id"])
     again = prices.dedup(feed.filter(~_before("2024-01-10")).drop("ts"), order_by=[F.desc("event_id")])
-    return _stored(spark, first, prices.not_yet_stored(again, first))
+    root = scratch_dir(spark)
+    table = f"prices_{root.rsplit('/', 1)[1]}.crypto_prices"
+    create_namespace(spark, table.split(".")[0], root)
+    for batch in (first, again):
+        store_prices(batch, table)
+    return spark.table(table)
 
 
 QUERIES = {
     "prices_flatten": prices_flatten,
     "prices_flatten_known": prices_flatten_known,
+    "prices_job": prices_job,
     "prices_dedup": prices_dedup,
     "create_or_append_prices": create_or_append_prices,
     "append_new_prices": append_new_prices,
 }
 
 
-def _coin_sql(entity: str) -> str:
-    """One row per instant: the largest event of that type then, or NULLs."""
-    return f"""
-  select '{entity}' as coin_id, m.usd as price_usd, m.cap as market_cap_usd, m.vol as volume_24h_usd,
+# Every instant with every event type: the largest event of the type then, or NULLs.
+_FLAT_SQL = """
+  select c.coin_id, m.usd as price_usd, m.cap as market_cap_usd, m.vol as volume_24h_usd,
          m.chg as change_24h_percent, to_timestamp(m.epoch)::timestamptz at time zone 'UTC' as timestamp
-  from (select ts, max({{'usd': value, 'cap': value * 1000, 'vol': cast(user_id as double), 'chg': value - 10,
-                         'epoch': cast(floor(epoch(ts)) as bigint)}}) filter (where event_type = '{entity}') as m
-        from events group by ts)"""
-
-
-_FLAT_SQL = " union all ".join(_coin_sql(entity) for entity in ENTITIES)
+  from (select distinct ts from events) t
+  cross join (select distinct event_type as coin_id from events) c
+  left join (
+    select ts, event_type, max({'usd': value, 'cap': value * 1000, 'vol': cast(user_id as double), 'chg': value - 10,
+                                'epoch': cast(floor(epoch(ts)) as bigint)}) as m
+    from events group by ts, event_type) e on e.ts = t.ts and e.event_type = c.coin_id"""
 _HOURLY_SQL = """
   select event_type as coin_id, date_trunc('hour', ts) as timestamp, value as price_usd, event_id, ts
   from events"""
@@ -136,6 +152,11 @@ _EARLY, _LATE = "ts < timestamp '2024-01-20'", "ts >= timestamp '2024-01-10'"
 ORACLES = {
     "prices_flatten": _FLAT_SQL,
     "prices_flatten_known": f"select * from ({_FLAT_SQL}) where timestamp is not null",
+    "prices_job": f"""
+  select * from ({_FLAT_SQL})
+  qualify row_number() over (
+    partition by coin_id, timestamp
+    order by price_usd nulls last, market_cap_usd nulls last, volume_24h_usd nulls last, change_24h_percent nulls last) = 1""",
     "prices_dedup": _first_sql("true", "event_id"),
     "create_or_append_prices": f"""
   select * exclude (ts) from ({_HOURLY_SQL}) where {_EARLY}

@@ -17,13 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Writing many small day folders costs time per file, not per byte: keep all cores busy
-    # on small shuffles. Large shuffles are sized by the advisory partition size as before.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
 }
 
-LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-
 
 def session(
     app_name: str = "sediment",
@@ -33,30 +28,24 @@ def session(
     """Start (or fetch) a session.
 
     `options` carries everything that belongs to one deployment: object-store access,
-    a table-format catalog, shuffle sizing. They override `DEFAULTS`. `master` stays
-    unset on a cluster, where spark-submit decides it.
+    a table-format catalog, shuffle sizing. What they or spark-submit set stays; `DEFAULTS`
+    fill in the rest. `master` stays unset on a cluster, where spark-submit decides it.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for name, value in {**DEFAULTS, **(options or {})}.items():
+    for name, value in (options or {}).items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
-    if LISTING_TASKS not in (options or {}):
-        _bound_listing(spark)
+    apply_defaults(spark)
     return spark
 
 
-def _bound_listing(spark: SparkSession) -> None:
-    """List folders in a few tasks per core instead of one task per folder."""
-    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
-
-
 def apply_defaults(spark: SparkSession) -> None:
-    """Give a session started elsewhere the settings above."""
+    """Give a session the settings above where it has none of its own."""
     for name, value in DEFAULTS.items():
-        spark.conf.set(name, value)
-    _bound_listing(spark)
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
 
 
 @functools.cache

@@ -77,6 +77,11 @@ def read_snapshots(
     return reader.json(root)
 
 
+def read_snapshot_texts(spark: SparkSession, root: str, one_object_per_file: bool = False) -> DataFrame:
+    """The snapshots below `root` as JSON text in the column `value`, all days."""
+    return spark.read.text(root, wholetext=one_object_per_file).select("value")
+
+
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed file: its path and its whole text."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
@@ -87,7 +92,8 @@ def is_json_object(payload: Column) -> Column:
     """True for text holding one JSON object; false for other JSON, junk, empty text and NULL.
 
     A JSON reader stops at the end of the first value. Read as the only element of an array,
-    the text must hold nothing else.
+    the text must hold nothing else, unless it closes the array itself; then it does not close
+    an object around it, so it is read as the only field of one as well.
     """
     parsed = F.from_json(
         F.concat(F.lit("["), payload, F.lit("]")),
@@ -95,8 +101,13 @@ def is_json_object(payload: Column) -> Column:
         {"allowSingleQuotes": "false"},
     )
     single = (F.size(parsed) == 1) & F.get(parsed, F.lit(0)).isNotNull()
+    field = F.from_json(
+        F.concat(F.lit('{"x":'), payload, F.lit("}")),
+        "x map<string, string>",
+        {"allowSingleQuotes": "false"},
+    )
     closed = F.rtrim(payload, F.lit(" \t\r\n")).endswith("}")
-    return F.coalesce(closed & single, F.lit(False))
+    return F.coalesce(closed & single & field["x"].isNotNull(), F.lit(False))
 
 
 def split_payloads(payloads: DataFrame, column: str = "payload") -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sediment.functions.parsing import parse_timestamps
-from sediment.operators.prices import snapshot_schema
+from sediment.operators.prices import flatten_text
 from sediment.plans.jobs import day_of_insert, store_prices
 from sediment.schemas import Feed
 from sediment.sinks.staging import staged
@@ -79,18 +79,15 @@ def append_new_snapshots(
     one_object_per_file: bool = False,
     provider: str = "parquet",
 ) -> StreamingQuery:
-    """Start a run that appends the prices of snapshot files not seen before.
+    """Start a run that appends the prices of snapshot files not seen before, whatever their coins.
 
+    A snapshot without one of `entities` gives a row of NULLs for it.
     Prices the table already holds are left out, so a repeated batch appends nothing.
     """
-    snapshots = (
-        spark.readStream.schema(snapshot_schema(entities))
-        .option("multiLine", one_object_per_file)
-        .json(root)
-    )
+    snapshots = spark.readStream.option("wholetext", one_object_per_file).text(root)
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        store_prices(staged(batch, spark), table, provider=provider)
+        store_prices(flatten_text(staged(batch.select("value"), spark), entities), table, provider=provider)
 
     return (
         snapshots.writeStream.foreachBatch(append_batch)

@@ -20,6 +20,9 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            # Many small day folders: keep the cores busy and list in few tasks.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
         },

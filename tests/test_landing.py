@@ -123,7 +123,7 @@ def test_read_mode_follows_the_file_shape(spark, tmp_path):
 
 
 OBJECTS = ['{"a":1}', "{}", '{"a":NaN}', '{"a":1,"a":2}', '{"a":"]}"}', ' {"a":{"b":[1]}}\n', '{\n "a": 1\n}']
-OTHERS = ["[1,2]", '[{"a":1}]', '"text"', "12", "null", "junk", "", None, "{'a':1}", '{"a":1} x', '{"a":1} {"b":2}', '{"a":1},{"b":2}', '{"a":1}] x', "}", '{"a":', '{"a":tru}']
+OTHERS = ["[1,2]", '[{"a":1}]', '"text"', "12", "null", "junk", "", None, "{'a':1}", '{"a":1} x', '{"a":1} {"b":2}', '{"a":1},{"b":2}', '{"a":1}] x', "}", '{"a":', '{"a":tru}', '{"a":1}][{"b":2}', '{"a":1}]junk}', '{"a":1}]}', '{"a":1}] [}', '{"a":1},"y":{"b":2}', '{"a":1}}']
 
 
 def test_only_json_objects_are_accepted(spark):

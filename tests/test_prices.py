@@ -87,6 +87,26 @@ def test_flatten_of_wide_is_the_original(spark):
     assert rows(flat) == rows(expected)
 
 
+def test_a_value_wins_over_null(spark):
+    df = spark.createDataFrame([("a", AT, None), ("a", AT, 5.0)], "coin_id string, timestamp timestamp, price double")
+    assert rows(prices.dedup(df)) == [("a", AT, 5.0)]
+
+
+def test_a_struct_without_prices_is_no_coin(spark):
+    df = spark.createDataFrame([((1.0,), ("x",))], "bitcoin struct<usd: double>, metadata struct<city: string>")
+    assert [row[0] for row in prices.flatten(df).collect()] == ["bitcoin"]
+    texts = spark.createDataFrame([('{"bitcoin":{"usd":1},"metadata":{"city":"x"},"n":3}',), ("junk",), (None,)], "value string")
+    assert [tuple(row)[:2] for row in prices.flatten_text(texts).collect()] == [("bitcoin", 1.0)]
+    assert prices.coins_of(texts) == ["bitcoin"]
+
+
+def test_unlisted_coins_are_kept(spark, landing, namespace, tmp_path):
+    load_prices(spark, landing, f"{namespace}.batch", entities=["bitcoin"])
+    append_new_snapshots(spark, landing, f"{namespace}.stream", ["bitcoin"], str(tmp_path / "p")).awaitTermination()
+    for name in ("batch", "stream"):
+        assert [row[0] for row in rows(spark.table(f"{namespace}.{name}").select("coin_id"))] == ["bitcoin", "ethereum", "solana"]
+
+
 def test_null_timestamp_is_not_appended_twice(spark):
     schema = "coin_id string, timestamp timestamp, price double"
     stored = spark.createDataFrame([("a", None, 1.0), ("a", AT, 1.0)], schema)
