@@ -9,12 +9,12 @@ coordinates estimate the Jaccard similarity with the concentration of independen
 
 `BANDS` bands of `ROWS` coordinates give bucket keys; two sets with similarity 0.85 share no
 bucket with probability 0.0000004. Documents with equal sets are one class, and only the
-smallest id of a class goes on. Inside a bucket not all pairs are formed: a leader is compared
-with the others on full sets, verified links join components, and only buckets whose members
-are still in different components go on with further leaders, taken from the components that
-are not the bucket's largest. A bucket is closed when all members that have not been compared
-with every other lie in one component, so no link between components is lost and large groups
-of near copies need about one comparison a member.
+smallest id of a class goes on. Inside a bucket not all pairs are formed: the member with the
+fewest shingles of its own, the most central one, is compared with the others on full sets,
+and verified links join components. Where a bucket's members are still in different
+components, what may link them is found by their rarest shingles (`_sharing_rare`), which
+loses no pair, and verified as well. So a large group of near copies needs about one
+comparison a member, and no link between components is lost.
 
 Shingles are 64-bit hashes; sets are compared by their hashes and classes by 128 bits.
 
@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sediment.llm.common import arrow_map, grams, map_texts, mix, narrowed, split_words, starts_of
@@ -151,69 +151,139 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(arrow_map(joined, run, "a long, b long").distinct())
 
 
-def _alike(a: str, b: str, percent: int):
-    """Whether the sizes allow the similarity."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _exploded(sets: DataFrame) -> DataFrame:
+    """doc_id, shingle: one row per element."""
+
+    def explode(batches):
+        for batch in batches:
+            held = batch.column("shingles").to_pylist()
+            counts = np.array([len(own) // 8 for own in held], np.int64)
+            owner = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(held)), counts)))
+            yield pa.RecordBatch.from_arrays([owner, pa.array(np.frombuffer(b"".join(held), "<i8"))], ["doc_id", "shingle"])
+
+    return arrow_map(sets, explode, "doc_id long, shingle long")
+
+
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """rep, n, c: the size of each set, and how many of its shingles another set has too."""
+    alone = (
+        _exploded(sets)
+        .groupBy("shingle")
+        .agg(F.min("doc_id").alias("only"), F.count(F.lit(1)).alias("held"))
+        .filter("held = 1")
+        .groupBy("only")
+        .agg(F.count(F.lit(1)).alias("alone"))
+    )
+    sizes = sets.groupBy("doc_id").agg(F.max(F.expr("length(shingles) div 8")).alias("n"))
+    joined = sizes.join(alone, F.col("doc_id") == F.col("only"), "left")
+    return staged(joined.select(F.col("doc_id").alias("rep"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")))
+
+
+def _possible(percent: int):
+    """Whether sizes and shared sizes allow two members the similarity."""
+    common = F.least("c", "leader_c")
+    return 100 * common >= percent * (F.col("n") + F.col("leader_n") - common)
 
 
 def linked_components(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
-    """node, component over the links among bucket members (band, rep, n); None without buckets."""
+    """node, component over the links among bucket members (band, rep); None without buckets."""
+    shared = staged(members.groupBy("band").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("band"))
+    candidates = staged(members.join(shared, "band"))
+    if candidates.isEmpty():
+        return None
+    wanted = staged(candidates.select(F.col("rep").alias("wanted")).distinct())
+    sets = staged(full_sets(docs.join(wanted, F.col("doc_id") == F.col("wanted")).select("doc_id", "text")))
+    # A set that has too few of its shingles in common with all others has no link.
+    sizes = shared_sizes(sets).filter(100 * F.col("c") >= percent * F.col("n"))
+    able = staged(candidates.join(sizes, "rep"))
+    # The leader is the member with the least of its own, the most central one.
+    own_share = (F.col("n") - F.col("c")) / F.col("n")
     buckets = staged(
-        members.groupBy("band")
-        .agg(F.min(F.struct("rep", "n")).alias("first"), F.count(F.lit(1)).alias("held"))
+        able.groupBy("band")
+        .agg(F.min(F.struct(own_share.alias("share"), "rep", "n", "c")).alias("first"), F.count(F.lit(1)).alias("held"))
         .filter("held > 1")
-        .select("band", F.col("first.rep").alias("leader"), F.col("first.n").alias("leader_n"))
+        .select(
+            "band",
+            F.col("first.rep").alias("leader"),
+            F.col("first.n").alias("leader_n"),
+            F.col("first.c").alias("leader_c"),
+        )
     )
-    open_members = staged(members.join(buckets, "band"))
-    if open_members.isEmpty():
-        return None
-    wanted = staged(open_members.select(F.col("rep").alias("wanted")).distinct())
-    sets = staged(full_sets(docs.join(wanted, F.col("doc_id") == F.col("wanted")).select("doc_id", "text")))
+    waiting = staged(able.join(buckets, "band"))
     pairs = staged(
-        open_members.filter(F.col("rep") != F.col("leader"))
-        .filter(_alike("n", "leader_n", percent))
-        .select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+        waiting.filter((F.col("rep") != F.col("leader")) & _possible(percent))
+        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
         .distinct()
     )
-    # Members that have not been compared with all others of their bucket.
-    waiting = open_members.filter(F.col("rep") != F.col("leader")).select("band", "rep", "n")
-    links, tested, leaders = verified(pairs, sets, percent), pairs, 1
-    while True:
-        found = components(links)
-        labelled = staged(
-            waiting.join(found, F.col("rep") == F.col("node"), "left").select(
-                "band", "rep", "n", F.coalesce("component", "rep").alias("component")
-            )
+    links = verified(pairs, sets, percent)
+    found = components(links)
+    labelled = staged(
+        waiting.join(found, F.col("rep") == F.col("node"), "left").select(
+            "band", "rep", F.coalesce("component", "rep").alias("component")
         )
-        sizes = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("held"))
-        largest = staged(
-            sizes.groupBy("band")
-            .agg(F.max_by("component", "held").alias("largest"), F.count(F.lit(1)).alias("parts"))
-            .filter("parts > 1")
-            .drop("parts")
-        )
-        going = staged(labelled.join(largest, "band"))
-        if going.isEmpty():
-            return found
-        ranked = Window.partitionBy("band").orderBy("rep")
-        chosen = staged(
-            going.filter("component <> largest")
-            .withColumn("rank", F.row_number().over(ranked))
-            .filter(F.col("rank") <= leaders)
-            .select("band", F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("component").alias("own"))
-        )
-        fresh = (
-            going.join(chosen, "band")
-            .filter((F.col("component") != F.col("own")) & _alike("n", "leader_n", percent))
-            .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-            .distinct()
+    )
+    split = staged(
+        labelled.groupBy("band")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low < high")
+        .select("band")
+    )
+    unsettled = staged(labelled.join(split, "band").select("rep", "component").distinct())
+    if unsettled.isEmpty():
+        return found
+    rest = staged(_sharing_rare(unsettled, sets, percent).join(pairs, ["a", "b"], "left_anti"))
+    return components(links.union(verified(rest, sets, percent)))
+
+
+def _sharing_rare(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) from different components (rep, component) that can still be linked.
+
+    Order the shingles of each set from rare to frequent. Sets of sizes n and m with the
+    similarity have at least `common` = percent * (n + m) / (100 + percent) shingles in common,
+    so the first n - common + 1 of one and m - common + 1 of the other share one. Far from
+    their centre, near copies begin with shingles of their own changes, which few share. Of
+    the sets that share a shingle, only those outside the most frequent component search.
+    """
+    shingles = staged(_exploded(sets.join(unsettled, F.col("doc_id") == F.col("rep"), "left_semi")).distinct())
+    frequency = staged(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")))
+    ordered = (
+        shingles.join(frequency, "shingle")
+        .groupBy("doc_id")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("all"))
+        .withColumn("n", F.size("all"))
+        .withColumn("longest", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    )
+    prefixes = staged(
+        ordered.select("doc_id", "n", F.posexplode(F.slice("all", F.lit(1), F.col("longest"))).alias("pos", "entry"))
+        .select(F.col("doc_id").alias("rep"), "n", "pos", F.col("entry.shingle").alias("shingle"))
+        .join(unsettled, "rep")
+    )
+    parts = prefixes.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("held"))
+    largest = staged(
+        parts.groupBy("shingle")
+        .agg(F.max_by("component", "held").alias("largest"), F.count(F.lit(1)).alias("parts"))
+        .filter("parts > 1")
+        .drop("parts")
+    )
+    met = staged(prefixes.join(largest, "shingle"))
+    searching = met.filter("component <> largest").select(
+        "shingle",
+        F.col("rep").alias("other"),
+        F.col("component").alias("other_component"),
+        F.col("n").alias("m"),
+        F.col("pos").alias("other_pos"),
+    )
+    common = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
+    return (
+        met.join(searching, "shingle")
+        .filter(
+            (F.col("component") != F.col("other_component"))
+            & (F.col("pos") <= F.col("n") - common)
+            & (F.col("other_pos") <= F.col("m") - common)
         )
-        pairs = staged(fresh.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.union(pairs)
-        links = links.union(verified(pairs, sets, percent))
-        compared = chosen.select("band", F.col("leader").alias("rep"))
-        waiting = staged(going.select("band", "rep", "n").join(compared, ["band", "rep"], "left_anti"))
-        leaders *= 4
+        .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
+        .distinct()
+    )
 
 
 def near_duplicates(
@@ -227,7 +297,7 @@ def near_duplicates(
     members = (
         able.join(classes, ["s1", "s2"])
         .filter(F.col("doc_id") == F.col("rep"))
-        .select(F.explode("bands").alias("band"), "rep", F.col("n_shingles").alias("n"))
+        .select(F.explode("bands").alias("band"), "rep")
         .distinct()
     )
     found = linked_components(members, source, percent)
