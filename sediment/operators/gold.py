@@ -74,16 +74,17 @@ def category_performance(
     The sums are additive, so the items are reduced to one row per product first: a best
     seller shrinks on the map side, and the join and the category step see one row per product.
     """
-    high, low, rest = partial_sums(*split_line(F.col("quantity"), F.col("unit_price")))
+    parts = ("high", "middle", "low", "rest")
+    sums = partial_sums(*split_line(F.col("quantity"), F.col("unit_price")))
     per_product = order_items.groupBy("product_id").agg(
-        F.sum("quantity").alias("units"), high.alias("high"), low.alias("low"), rest.alias("rest")
+        F.sum("quantity").alias("units"), *[own.alias(part) for own, part in zip(sums, parts)]
     )
     result = (
         per_product.join(products.select("product_id", "category"), "product_id")
         .groupBy("category")
         .agg(
             F.sum("units").alias("units_sold"),
-            total(F.sum("high"), F.sum("low"), F.sum("rest")).alias("revenue_generated"),
+            total(*partial_sums(*map(F.col, parts))).alias("revenue_generated"),
         )
     )
     return stamped(result, run_ts)

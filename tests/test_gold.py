@@ -105,3 +105,20 @@ def test_amounts_that_are_not_whole_cents_are_not_rounded(spark):
 
     lines = spark.createDataFrame([(1000, 0.005), (3, 0.1), (2, None), (None, 5.0), (2, 3e7)], "q int, p double")
     assert lines.agg(sum_lines(F.col("q"), F.col("p"))).first()[0] == 6e7 + 5.3
+
+
+def test_lines_above_any_former_limit_are_exact_in_any_partitioning(spark):
+    lines = spark.range(100_000).selectExpr("cast(id % 97 + 1 as int) q", "30000000.0 + id / 100 p")
+    expected = sum((i % 97 + 1) * (3_000_000_000 + i) for i in range(100_000)) / 100
+    totals = {lines.repartition(n).agg(sum_lines(F.col("q"), F.col("p"))).first()[0] for n in (1, 3, 5, 7)}
+    assert totals == {expected}
+
+
+def test_huge_lines_do_not_overflow(spark):
+    many = spark.range(3_000_000).selectExpr("2147483647 q", "21474836.47D p")
+    assert many.agg(sum_lines(F.col("q"), F.col("p"))).first()[0] == 3_000_000 * (2**31 - 1) ** 2 / 100
+    price = 2**53 - 1
+    assert price / 100 * 100 == price
+    few = spark.createDataFrame([(2**31 - 1, price / 100), (-(2**31), price / 100), (-7, -0.01)], "q int, p double")
+    assert few.agg(sum_lines(F.col("q"), F.col("p"))).first()[0] == (-price + 7) / 100
+    assert few.agg(sum_money(F.col("p"))).first()[0] == (2 * price - 1) / 100
