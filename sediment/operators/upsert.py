@@ -23,7 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from enum import Enum
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.operators.keys import quoted, unseen
@@ -59,28 +59,49 @@ def aligned(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def _key_hash(key: Column) -> Column:
+    return F.xxhash64(key)
+
+
+def _repeated_keys(keyed: DataFrame, key: Column) -> DataFrame | None:
+    """Keys of more than one row. Hashes are counted first, which shuffles 8 bytes a key;
+    the keys themselves only where a hash repeats."""
+    hashes = keyed.groupBy(_key_hash(key).alias("hash")).agg(F.count(F.lit(1)).alias("copies"))
+    most = hashes.agg(F.max("copies")).first()[0]
+    if most is None or most == 1:
+        return None
+    suspects = staged(hashes.filter("copies > 1").select("hash"))
+    alike = keyed.select(key).join(suspects, _key_hash(key) == F.col("hash"), "left_semi")
+    return staged(alike.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select(key))
+
+
 def split_source(
-    target: DataFrame, source: DataFrame, spec: MergeSpec
+    target: DataFrame, source: DataFrame, spec: MergeSpec, repeatable: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Divide the source into rows with a unique key and rows to insert unseen.
 
-    Runs a job: keys are counted (combined on the map side). Normally none repeats. If some
+    Runs a job that counts keys (combined on the map side). Normally none repeats. If some
     do, they are written out, and raise `MergeConflict` when the target holds one of them.
+    With `repeatable`, repeated keys of which the target holds exactly the source's rows are
+    left out instead: an earlier try of the same merge has inserted them.
     """
     key = F.col(quoted(spec.key))
     keyed, keyless = source.filter(key.isNotNull()), source.filter(key.isNull())
-    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    most = counts.agg(F.max("copies")).first()[0]
-    if most is None or most == 1:
+    repeated = _repeated_keys(keyed, key)
+    if repeated is None:
         return keyed, keyless
-    repeated = staged(counts.filter("copies > 1").select(key))
-    clash = target.select(key).join(repeated, spec.key, "left_semi").first()
+    copies = keyed.join(repeated, spec.key, "left_semi").select(source.columns)
+    if repeatable:
+        stored = staged(target.select(source.columns).join(repeated, spec.key, "left_semi").select(source.columns))
+        held = stored.select(key).distinct()
+        asked = copies.join(held, spec.key, "left_semi").select(source.columns)
+        clash = stored.exceptAll(asked).unionAll(asked.exceptAll(stored)).select(key).first()
+        copies = copies.join(held, spec.key, "left_anti").select(source.columns)
+    else:
+        clash = target.select(key).join(repeated, spec.key, "left_semi").first()
     if clash is not None:
         raise MergeConflict(f"more than one source row matches {spec.key} = {clash[0]}")
-    return (
-        keyed.join(repeated, spec.key, "left_anti").select(source.columns),
-        keyless.unionAll(keyed.join(repeated, spec.key, "left_semi").select(source.columns)),
-    )
+    return keyed.join(repeated, spec.key, "left_anti").select(source.columns), keyless.unionAll(copies)
 
 
 def _meet(target: DataFrame, unique_source: DataFrame, spec: MergeSpec, how: str) -> DataFrame:
@@ -121,7 +142,8 @@ def merge_upsert(
 ) -> DataFrame:
     """The target after the merge.
 
-    The source is read several times: stage it first if it is costly to compute.
+    Runs a job over the source's keys when it is called (`split_source`). The source is read
+    several times: stage it first if it is costly to compute.
     """
     incoming = aligned(source, target)
     unique, inserts = split_source(target, incoming, spec)

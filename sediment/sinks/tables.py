@@ -158,11 +158,12 @@ def _upsert_partitions(spark: SparkSession, table: str, incoming: DataFrame, spe
     """Rewrite the partitions that hold matched rows, then append the new rows.
 
     Both steps may be repeated after a failure between them: the first writes the same
-    values again, and the second finds the rows already appended.
+    values again, and the second finds the rows already appended, also those of a new key
+    that the source holds more than once. Rows without a key are appended again.
     """
     key, column = spec.merge.key, spec.partitioning.column
     target = spark.table(table)
-    unique, inserts = split_source(target, incoming, spec.merge)
+    unique, inserts = split_source(target, incoming, spec.merge, repeatable=True)
     matched = target.select(key, column).join(unique.select(key), key, "left_semi")
     touched = _partition_values(matched, column)
     if touched:

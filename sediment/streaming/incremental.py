@@ -40,8 +40,9 @@ def merge_new_days(
     """Start a run over all files not seen before; it stops when they are merged.
 
     Days inside a batch are merged one after the other in date order, as in a backfill: an
-    order delivered again on a later day updates the earlier one. A batch repeated after a
-    failure merges to the same table, except that rows without a key are inserted again.
+    order delivered again on a later day updates the earlier one. Finished days are noted
+    beside the stream's progress, and a batch repeated after a failure goes on with the first
+    day not noted; of that day, rows without a key may be inserted again.
     """
     create_namespace(spark, namespace)
     table = create_table(spark, namespace, spec, provider)
@@ -52,14 +53,20 @@ def merge_new_days(
         rows = staged(batch, spark)
         # One row per landed day: bounded by the calendar, not by the data.
         days = sorted(tuple(row) for row in rows.select(*DAY_COLUMNS).distinct().collect())
+        notes = f"{checkpoint}/finished_days/{batch_id}"
+        spark.createDataFrame([], "day date").write.mode("append").parquet(notes)
+        finished = {row[0] for row in spark.read.parquet(notes).collect()}
         for year, month, day in days:
             run_date = datetime.date(year, month, day)
+            if run_date in finished:
+                continue
             of_day = rows.filter(
                 (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
             ).drop(*DAY_COLUMNS)
             if provider == "parquet":
                 of_day = day_of_insert(of_day, spec, run_date)
             upsert(spark, table, of_day, spec)
+            spark.createDataFrame([(run_date,)], "day date").coalesce(1).write.mode("append").parquet(notes)
 
     return (
         read_feed_stream(spark, landing, feed)

@@ -4,7 +4,7 @@ import datetime
 import json
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from sediment import schemas
@@ -13,6 +13,7 @@ from sediment.operators.upsert import MergeConflict
 from sediment.plans import tables
 from sediment.plans.jobs import backfill, bronze_to_silver, silver_to_gold
 from sediment.sinks.tables import create_or_append, create_table, merge_statement, upsert
+from sediment.streaming import incremental
 from sediment.streaming.incremental import merge_new_days
 from tests.conftest import rows
 
@@ -226,6 +227,34 @@ def test_stream_equals_backfill_and_sees_each_file_once(spark, landing, namespac
     assert run() == [*grown[:3], ("ORD_4", 41.0, DAYS[0])]
 
 
+def test_a_batch_stopped_after_an_upsert_can_be_repeated(spark, landing, namespace, tmp_path, monkeypatch):
+    twice = [order(8, DAYS[1], amount, "Pending") for amount in (80.0, 81.0)]
+    write(landing / "orders" / folder(DAYS[1]) / "more.json", *twice)
+    write(landing / "orders" / folder(DAYS[2]) / "more.json", order(8, DAYS[2], 82.0, "Shipped"))
+    calls = []
+
+    def stopped(*arguments):
+        upsert(*arguments)
+        calls.append(arguments)
+        if len(calls) in (2, 4):  # right after the second day, then right after the third
+            raise RuntimeError("stopped")
+
+    monkeypatch.setattr(incremental, "upsert", stopped)
+
+    def run():
+        merge_new_days(
+            spark, str(landing), schemas.ORDERS_FEED, namespace, tables.ORDERS, str(tmp_path / "progress")
+        ).awaitTermination()
+
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            run()
+    run()
+    found = spark.table(f"{namespace}.orders").filter("order_id = 'ORD_8'").select("total_amount")
+    assert rows(found) == [(82.0,), (82.0,)]
+    assert len(calls) == 5  # days 1 and 2, 2 and 3, 3
+
+
 def test_create_then_append_by_name(spark, namespace):
     table = f"{namespace}.t"
     create_or_append(spark.createDataFrame([(1, "x")], "a int, b string"), table)

@@ -2,7 +2,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
+from sediment.operators import upsert
 from sediment.operators.upsert import MergeConflict, MergePlan, MergeSpec, merge_upsert
 from tests.conftest import rows
 
@@ -47,6 +49,13 @@ def test_repeated_source_key_on_a_match_is_an_error(spark):
         merge(spark, [("a", 1, "x")], [("a", 2, "p"), ("a", 3, "q")])
 
 
+def test_different_keys_of_one_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "_key_hash", lambda key: F.lit(7).cast("long"))
+    assert merge(spark, [("a", 1, "x")], [("a", 2, "p"), ("b", 3, "q")]) == [("a", 1, "p"), ("b", 3, "q")]
+    with pytest.raises(MergeConflict, match="k = a"):
+        merge(spark, [("a", 1, "x")], [("a", 2, "p"), ("a", 3, "q"), ("b", 3, "q")])
+
+
 def test_repeated_source_key_without_a_match_is_inserted(spark):
     found = merge(spark, [("a", 1, "x")], [("c", 2, "p"), ("c", 3, "q"), ("a", 0, "u")])
     assert found == [("a", 1, "u"), ("c", 2, "p"), ("c", 3, "q")]
