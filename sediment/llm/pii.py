@@ -6,6 +6,9 @@ matches (groups of 7 to 19 digits with any separators, addresses spelled with "(
 "(dot)"). Its potentials are log-linear and trained on the corpus, with the base labels as the
 teacher: how often a shape of candidate bears a label, which labels follow each other, and how
 far candidates with the same key agree (the last seven digits, or the normalised address).
+A loose candidate that shares a key with a base span is counted under the label of that span.
+What a shape says against a label is bounded below what one repeat says for it, so whether a
+repeat is found does not depend on how many documents there are.
 Neighbours in the text share the chain potential; repeated or similar candidates, however far
 apart, share the skip potential. Loopy message passing makes the labels of a document agree;
 a loose candidate that repeats something found becomes a span of its kind. Only candidates
@@ -38,6 +41,8 @@ KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)  # label of a candidate that is none of them
 LABELS = len(KINDS) + 1
 ROUNDS = 12
+CHAIN = 0.5  # largest chain potential: a neighbour moves the odds of two labels by twice that
+MARGIN = 0.5
 LEAST_DIGITS, MOST_DIGITS, KEY_DIGITS = 7, 19, 7
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -161,6 +166,17 @@ def skip_edges(nodes: list[Candidate]) -> list[tuple[int, int]]:
     return edges
 
 
+def taught(nodes: list[Candidate]) -> list[int]:
+    """The labels that training counts: of a loose candidate the most frequent kind of the base
+    spans with its key, or OTHER without one."""
+    kinds: dict[str, Counter] = {}
+    for node in nodes:
+        if node.kind != OTHER:
+            kinds.setdefault(node.key, Counter())[node.kind] += 1
+    main = {key: own.most_common(1)[0][0] for key, own in kinds.items()}
+    return [main.get(node.key, OTHER) if node.kind == OTHER else node.kind for node in nodes]
+
+
 @dataclass
 class Field:
     """Trained potentials."""
@@ -214,11 +230,11 @@ def trained(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 nodes = candidates(text) if text else []
-                counts.update(("shape", node.shape, node.kind) for node in nodes)
-                counts.update(("chain", str(x.kind), y.kind) for x, y in zip(nodes, nodes[1:]))
-                for x, y in skip_edges(nodes):
-                    if OTHER not in (nodes[x].kind, nodes[y].kind):
-                        counts["skip", "", int(nodes[x].kind == nodes[y].kind)] += 1
+                labels = taught(nodes)
+                counts.update(("shape", node.shape, label) for node, label in zip(nodes, labels))
+                counts.update(("chain", str(x), y) for x, y in zip(labels, labels[1:]))
+                base = [node for node in nodes if node.kind != OTHER]
+                counts.update(("skip", "", int(base[x].kind == base[y].kind)) for x, y in skip_edges(base))
         rows = [(*what, n) for what, n in counts.items()]
         columns = list(zip(*rows)) if rows else [[], [], [], []]
         types = [pa.string(), pa.string(), pa.int64(), pa.int64()]
@@ -240,10 +256,12 @@ def trained(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             agreement[label] += n
     follows = np.log(chain / chain.sum(axis=1, keepdims=True)) - np.log(chain.sum(axis=0) / chain.sum())
     weight = float(np.clip(np.log(agreement[1] / agreement[0]), 3.0, 8.0))
+    # Both neighbours and the shape together stay below one repeat.
+    against = weight - 4 * CHAIN - MARGIN
     return Field(
-        {shape: np.log(own / own.sum()) for shape, own in shapes.items()},
+        {shape: np.maximum(np.log(own / own.sum()), np.log(own.max() / own.sum()) - against) for shape, own in shapes.items()},
         np.log(np.full(LABELS, 1 / LABELS)),
-        np.clip(follows, -0.5, 0.5),
+        np.clip(follows, -CHAIN, CHAIN),
         weight * np.eye(LABELS),
     )
 

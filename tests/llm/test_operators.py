@@ -190,6 +190,17 @@ def test_a_number_that_only_repeats_itself_is_left_alone(spark):
     assert pii.personal_data(df).first()["spans"] == []
 
 
+def test_repeats_are_found_however_large_the_corpus(spark):
+    """Numbers that repeat nothing, in the same shapes, must not outvote a repeat."""
+    text = "+1 (017) 555-7713, again 017 555 7713, 0175557713"
+    for n in (10, 100_000):
+        others = spark.range(n).selectExpr(
+            "id + 2 as doc_id", "concat(format_string('%03d 666 %04d', id % 1000, id % 10000), ' or 0123', 100000 + id) as text"
+        )
+        field = pii.trained(others.union(spark.createDataFrame([(1, text)], others.schema)))
+        assert field.labels(pii.candidates(text)) == [3, 3, 3]
+
+
 def test_bpe_equals_the_library(docs, none):
     library = Tokenizer.from_file(queries.WORD_BPE)
     found = by_id(bpe.encoded(docs, queries.WORD_BPE))
