@@ -9,9 +9,11 @@ far candidates with the same key agree (the last seven digits, or the normalised
 A loose candidate that shares a key with a base span is counted under the label of that span.
 What a shape says against a label is bounded below what one repeat says for it, so whether a
 repeat is found does not depend on how many documents there are.
-Neighbours in the text share the chain potential; repeated or similar candidates, however far
-apart, share the skip potential. Loopy message passing makes the labels of a document agree;
-a loose candidate that repeats something found becomes a span of its kind. Only candidates
+Neighbours in the text share the chain potential. Every loose candidate shares the skip
+potential with each base span of its key, however far apart and however many, and with one hub
+of its key, which the base spans inform as well and which makes the repeats agree. Message
+passing runs until the messages settle; a loose candidate that repeats something found becomes
+a span of its kind. Only candidates
 that share a key with a base span can: a number that merely repeats itself adds nothing.
 
 Training counts over all documents; what reaches the driver is a table of shapes and labels.
@@ -40,7 +42,7 @@ from sediment.llm.common import arrow_map, map_texts, narrowed, quoted
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)  # label of a candidate that is none of them
 LABELS = len(KINDS) + 1
-ROUNDS = 12
+MOST_ROUNDS, CLOSE = 500, 1e-4  # message passing ends when no message moves by more than CLOSE
 CHAIN = 0.5  # largest chain potential: a neighbour moves the odds of two labels by twice that
 MARGIN = 0.5
 LEAST_DIGITS, MOST_DIGITS, KEY_DIGITS = 7, 19, 7
@@ -155,25 +157,22 @@ def candidates(text: str) -> list[Candidate]:
     return [Candidate(*span, *shape_and_key(text[span[0] : span[2]])) for span in sorted(found + loose)]
 
 
-def skip_edges(nodes: list[Candidate]) -> list[tuple[int, int]]:
-    """Each candidate and the next one with its key: a chain per key, however many repeats."""
-    last: dict[str, int] = {}
-    edges = []
+def key_groups(nodes: list[Candidate]) -> tuple[dict[str, Counter], dict[str, list[int]]]:
+    """By key: the kinds of its base spans, and the positions of its loose candidates."""
+    found: dict[str, Counter] = {}
+    loose: dict[str, list[int]] = {}
     for i, node in enumerate(nodes):
-        if node.key in last:
-            edges.append((last[node.key], i))
-        last[node.key] = i
-    return edges
+        if node.kind == OTHER:
+            loose.setdefault(node.key, []).append(i)
+        else:
+            found.setdefault(node.key, Counter())[node.kind] += 1
+    return found, loose
 
 
 def taught(nodes: list[Candidate]) -> list[int]:
     """The labels that training counts: of a loose candidate the most frequent kind of the base
     spans with its key, or OTHER without one."""
-    kinds: dict[str, Counter] = {}
-    for node in nodes:
-        if node.kind != OTHER:
-            kinds.setdefault(node.key, Counter())[node.kind] += 1
-    main = {key: own.most_common(1)[0][0] for key, own in kinds.items()}
+    main = {key: kinds.most_common(1)[0][0] for key, kinds in key_groups(nodes)[0].items()}
     return [main.get(node.key, OTHER) if node.kind == OTHER else node.kind for node in nodes]
 
 
@@ -188,36 +187,42 @@ class Field:
 
     def labels(self, nodes: list[Candidate]) -> list[int]:
         """The label of every candidate by loopy belief propagation; base labels are given."""
-        skips = skip_edges(nodes)
+        found, loose = key_groups(nodes)
         kinds = np.array([node.kind for node in nodes])
-        found = {node.key for node in nodes if node.kind != OTHER}
-        touched = [i for i, node in enumerate(nodes) if node.kind == OTHER and node.key in found]
+        touched = [i for key in found for i in loose.get(key, [])]
         if not touched:
             return kinds.tolist()
-        unary = np.stack([self.shapes.get(node.shape, self.unseen) for node in nodes])
-        given = kinds != OTHER
+        # A hub for each key, behind the candidates. What base spans say is given, so it is added.
+        unary = np.zeros((len(nodes) + len(loose), LABELS))
+        unary[: len(nodes)] = [self.shapes.get(node.shape, self.unseen) for node in nodes]
+        given = np.flatnonzero(kinds != OTHER)
         unary[given] = -50.0
         unary[given, kinds[given]] = 0.0
         pairs = [(i, i + 1) for i in range(len(nodes) - 1)]
-        potentials = np.concatenate([np.tile(self.chain, (len(pairs), 1, 1)), np.tile(self.skip, (len(skips), 1, 1))])
-        a, b = np.array(pairs + skips, np.int64).reshape(-1, 2).T
+        spokes = []
+        for hub, (key, own) in enumerate(loose.items(), len(nodes)):
+            for kind, held in found.get(key, {}).items():
+                unary[[*own, hub]] += held * self.skip[kind]
+            spokes += [(i, hub) for i in own]
+        potentials = np.concatenate([np.tile(self.chain, (len(pairs), 1, 1)), np.tile(self.skip, (len(spokes), 1, 1))])
+        a, b = np.array(pairs + spokes, np.int64).T
         # One message each way along every edge: sources, targets, potential from source to target.
         source, target = np.concatenate([a, b]), np.concatenate([b, a])
         potential = np.concatenate([potentials, potentials.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
         messages = np.zeros((len(source), LABELS))
-        for _ in range(ROUNDS):
+        for _ in range(MOST_ROUNDS):
             belief = unary.copy()
             np.add.at(belief, target, messages)
             before = belief[source] - messages[back]
             sent = np.logaddexp.reduce(before[:, :, None] + potential, axis=1)
             sent -= np.logaddexp.reduce(sent, axis=1, keepdims=True)
-            if np.abs(sent - messages).max() < 1e-6:
+            if np.abs(sent - messages).max() < CLOSE:
                 break
             messages = 0.5 * messages + 0.5 * sent  # damped: the graph has loops
         belief = unary.copy()
         np.add.at(belief, target, messages)
-        best = belief.argmax(axis=1)
+        best = belief[: len(nodes)].argmax(axis=1)
         kinds[touched] = best[touched]
         return kinds.tolist()
 
@@ -233,8 +238,9 @@ def trained(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
                 labels = taught(nodes)
                 counts.update(("shape", node.shape, label) for node, label in zip(nodes, labels))
                 counts.update(("chain", str(x), y) for x, y in zip(labels, labels[1:]))
-                base = [node for node in nodes if node.kind != OTHER]
-                counts.update(("skip", "", int(base[x].kind == base[y].kind)) for x, y in skip_edges(base))
+                for kinds in key_groups(nodes)[0].values():  # of base spans with one key
+                    counts["skip", "", 1] += max(kinds.values()) - 1
+                    counts["skip", "", 0] += kinds.total() - max(kinds.values())
         rows = [(*what, n) for what, n in counts.items()]
         columns = list(zip(*rows)) if rows else [[], [], [], []]
         types = [pa.string(), pa.string(), pa.int64(), pa.int64()]

@@ -201,6 +201,19 @@ def test_repeats_are_found_however_large_the_corpus(spark):
         assert field.labels(pii.candidates(text)) == [3, 3, 3]
 
 
+def test_every_repeat_in_a_document_is_found():
+    """One found number and up to 50 repeats, whatever the repeats' shapes say and weigh."""
+    for weight in (3.0, 8.0):
+        prior = np.array([0.0, 0.0, 0.0, 0.0, weight - 4 * 0.5 - 0.5])
+        shapes = {"digits 10 groups 3": prior, "digits 10 groups 1": prior}
+        chain = 0.5 * np.where(np.arange(pii.LABELS) == pii.OTHER, 1, -1) * np.ones((pii.LABELS, 1))
+        field = pii.Field(shapes, np.zeros(pii.LABELS), chain, weight * np.eye(pii.LABELS))
+        for repeats in (1, 2, 3, 13, 50):
+            text = "+1 (017) 555-7713" + "; 017 555 7713; x 0175557713" * repeats
+            nodes = pii.candidates(text)
+            assert len(nodes) == 1 + 2 * repeats and field.labels(nodes) == [3] * len(nodes)
+
+
 def test_bpe_equals_the_library(docs, none):
     library = Tokenizer.from_file(queries.WORD_BPE)
     found = by_id(bpe.encoded(docs, queries.WORD_BPE))
