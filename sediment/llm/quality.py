@@ -7,9 +7,9 @@ by the splits of the others. Trees are grown from a bounded sample (`sample_rows
 hash of the id, so the choice does not depend on partitioning); every document is scored.
 
 Each forest's threshold is calibrated on all labelled documents: among the scores that reject
-at most `max_good_rejected` of those labelled good, the one that separates good from bad best,
-and of equal ones the most lenient. A forest counts only if it rejects bad documents at least
-`min_ratio` times as often as good ones. The score histograms have `SCORE_BINS` bins per
+at most `max_good_rejected` of those labelled good, and bad documents at least `min_ratio` times
+as often as good ones, the one that separates good from bad best, and of equal ones the most
+lenient. A forest without such a score rejects nothing. The score histograms have `SCORE_BINS` bins per
 forest, so what reaches the driver is bounded.
 
 Defined results: a null or empty text has no words and fails the word-count rule; without any
@@ -201,9 +201,10 @@ def calibrated_thresholds(
             continue
         good_rejected = np.cumsum(own_good[::-1])[::-1] / own_good.sum()
         bad_rejected = np.cumsum(own_bad[::-1])[::-1] / own_bad.sum()
-        gain = np.where(good_rejected <= max_good_rejected, bad_rejected - good_rejected, -1.0)
+        allowed = (good_rejected <= max_good_rejected) & (bad_rejected >= min_ratio * good_rejected)
+        gain = np.where(allowed, bad_rejected - good_rejected, -1.0)
         best = int(np.flatnonzero(gain == gain.max())[-1])
-        if gain[best] > 0 and bad_rejected[best] >= min_ratio * good_rejected[best]:
+        if gain[best] > 0:
             thresholds[-1] = best / SCORE_BINS
     return thresholds
 

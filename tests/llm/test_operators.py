@@ -107,6 +107,17 @@ def test_quality_statistics_and_forests(spark, docs, none):
     assert right >= 0.95 * len(held_out)
 
 
+def test_a_forest_takes_the_best_score_that_keeps_the_ratio(spark):
+    """From 0.8 on 11% of the bad and 0.1% of the good, from 0.9 on 10% of the bad and no good one."""
+    bad = [0.9] * 100 + [0.8] * 10 + [0.2] * 890
+    rows = [(i, 0, [score, 0.5]) for i, score in enumerate(bad)]
+    rows += [(i, 1, [score, 0.5]) for i, score in enumerate([0.8] + [0.2] * 999, 1000)]
+    scored = spark.createDataFrame(rows, "doc_id long, quality int, scores array<double>").withColumn("base_failed", F.lit(False))
+    labels = scored.select("doc_id", "quality")
+    found = quality.calibrated_thresholds(scored.drop("quality"), labels, 2, 0.002, 200.0)
+    assert 0.8 < found[0] <= 0.9 and found[1] > 1
+
+
 def test_near_duplicates(docs, none, odd, small):
     for texts, df in ((TEXTS, docs), (small, docs.sparkSession.read.parquet(f"{SF_DIR}/documents.parquet"))):
         expected = brute.near_duplicates(texts)
