@@ -36,8 +36,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    """The document with the smallest id of each group of near duplicates, linked from 0.8 on."""
+    kept = minhash.near_duplicates(docs, percent=80).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
 
 

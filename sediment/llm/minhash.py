@@ -1,14 +1,15 @@
 """Near-duplicate documents by fast similarity sketching, banding and exact verification.
 
-A document is the set of its five-word shingles (A-Z lower-cased). Its sketch has `BINS`
-coordinates, filled in rounds: in each of the first `BINS` rounds every shingle is hashed into a
-bin with a value, in round `BINS` + j every shingle goes to bin j, and a bin keeps its least
+A document is the set of its five-word shingles (A-Z lower-cased). Its sketch has `bins`
+coordinates, filled in rounds: in each of the first `bins` rounds every shingle is hashed into a
+bin with a value, in round `bins` + j every shingle goes to bin j, and a bin keeps its least
 value, where earlier rounds are less than later ones. A document stops once all its bins are
 filled, which the second kind of round guarantees, after about one pass over large sets. Equal
 coordinates estimate the Jaccard similarity with the concentration of independent ones.
 
-`BANDS` bands of `ROWS` coordinates give bucket keys; two sets with similarity 0.85 share no
-bucket with probability 0.0000004. Documents with equal sets are one class, and only the
+Bands of several coordinates give bucket keys. Their number and rows follow from the similarity
+asked for, so that two sets that just have it share no bucket with a probability of at most
+`MISS` (25 bands of 5 rows at 0.85, 28 of 4 at 0.80). Documents with equal sets are one class, and only the
 smallest id of a class goes on. Inside a bucket not all pairs are formed: the member with the
 fewest shingles of its own, the most central one, is compared with the others on full sets,
 and verified links join components. Where a bucket's members are still in different
@@ -26,6 +27,8 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +40,7 @@ from sediment.sinks.staging import staged
 
 SHINGLE = 5
 BINS = 128
-ROWS, BANDS = 5, 25
+MISS = 4.3e-7
 EMPTY = np.uint64(2**64 - 1)
 SKETCHES = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
 
@@ -68,16 +71,32 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key[new], np.bincount(owner[new], minlength=len(texts))
 
 
-def similarity_sketches(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """texts x BINS; rows of texts without shingles stay EMPTY."""
-    sketch = np.full((len(counts), BINS), EMPTY)
+def banding(percent: int) -> tuple[int, int]:
+    """Rows a band and bands: the most rows whose bands fit BINS and miss a similarity of
+    `percent` with a probability of at most MISS; one row where even that takes more bins."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, not {percent}")
+    best = None
+    for rows in range(1, BINS + 1):
+        equal = min((percent / 100) ** rows, 1 - 1e-9)
+        bands = math.ceil(math.log(MISS) / math.log1p(-equal))
+        if best is None or rows * bands <= BINS:
+            best = rows, bands
+    return best
+
+
+def similarity_sketches(keys: np.ndarray, counts: np.ndarray, size: int = BINS) -> np.ndarray:
+    """texts x size; rows of texts without shingles stay EMPTY."""
+    sketch = np.full((len(counts), size), EMPTY)
     flat, owner = sketch.reshape(-1), np.repeat(np.arange(len(counts)), counts)
-    for number in range(2 * BINS):
+    round_bits = (2 * size - 1).bit_length()
+    for number in range(2 * size):
         if not len(keys):
             break
         values = mix(keys + np.uint64((number + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        bins = (values % np.uint64(BINS)).astype(np.int64) if number < BINS else number - BINS
-        np.minimum.at(flat, owner * BINS + bins, (values >> np.uint64(8)) | np.uint64(number << 56))
+        bins = (values % np.uint64(size)).astype(np.int64) if number < size else number - size
+        least = (values >> np.uint64(round_bits)) | np.uint64(number << (64 - round_bits))
+        np.minimum.at(flat, owner * size + bins, least)
         unfilled = np.zeros(len(counts), bool)
         present = np.unique(owner)
         unfilled[present] = (sketch[present] == EMPTY).any(axis=1)
@@ -86,11 +105,11 @@ def similarity_sketches(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return sketch
 
 
-def bucket_keys(sketch: np.ndarray) -> np.ndarray:
-    """texts x BANDS; the band's number is part of the key."""
-    coordinates = sketch[:, : ROWS * BANDS].reshape(len(sketch), BANDS, ROWS)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sketch), BANDS)).copy()
-    for row in range(ROWS):
+def bucket_keys(sketch: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    """texts x bands; the band's number is part of the key."""
+    coordinates = sketch[:, : rows * bands].reshape(len(sketch), bands, rows)
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(sketch), bands)).copy()
+    for row in range(rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + coordinates[:, :, row])
     return key
 
@@ -104,13 +123,15 @@ def _set_hashes(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return halves[0], halves[1]
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, percent: int) -> DataFrame:
     """SKETCHES for a frame with doc_id and text."""
+    rows, bands_held = banding(percent)
+    size = max(BINS, rows * bands_held)
 
     def run(batch, texts):
         keys, counts = shingle_sets(texts)
         s1, s2 = _set_hashes(keys, counts)
-        bands = bucket_keys(similarity_sketches(keys, counts)).view(np.int64)
+        bands = bucket_keys(similarity_sketches(keys, counts, size), rows, bands_held).view(np.int64)
         bands = pa.array([own if n else None for own, n in zip(list(bands), counts.tolist())], pa.list_(pa.int64()))
         columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(s1), pa.array(s2), bands]
         yield pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in SKETCHES.split(", ")])
@@ -291,7 +312,7 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links), kept."""
     source = narrowed(docs, doc_id=id_column, text=text_column)
-    sketched = staged(sketches(source))
+    sketched = staged(sketches(source, percent))
     able = sketched.filter("n_shingles > 0 and doc_id is not null")
     classes = staged(able.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
     members = (

@@ -142,6 +142,20 @@ def test_near_copies_of_one_base_lose_no_link(spark):
     assert {k: (r["n_shingles"], r["component_id"]) for k, r in found.items()} == brute.near_duplicates(texts)
 
 
+@pytest.mark.parametrize("percent", [5, 50, 80])
+def test_bands_follow_the_similarity(spark, percent):
+    """Pairs just at the similarity: without links between pairs, every one must be found."""
+    rng, texts = random.Random(percent), {}
+    for i in range(300):
+        shared = [f"s{i}w{j}" for j in range(104)]  # 100 shingles
+        rest = 100 * 100 // percent - 100  # union of that many more
+        texts[2 * i] = " ".join([*shared, *(f"a{i}w{j}" for j in range(rest // 2))])
+        texts[2 * i + 1] = " ".join([*shared, *(f"b{rng.random()}w{j}" for j in range(rest - rest // 2))])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = by_id(minhash.near_duplicates(df, percent=percent))
+    assert all(found[k]["component_id"] == k - k % 2 for k in texts)
+
+
 def test_sketch_estimates_similarity_and_fills():
     keys = minhash.mix(np.arange(1, 2000, dtype=np.uint64))
     both = np.concatenate([keys[:1000], keys[200:1200], keys[:2]])

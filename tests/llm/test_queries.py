@@ -59,6 +59,18 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF_DIR).count() == docs.count()
 
 
+def test_near_dedup_of_the_pipeline_links_from_four_fifths_on(spark):
+    """Four words changed far apart: 176 of 216 shingles, 0.815."""
+    own = [f"w{i}" for i in range(200)]
+    changed = [f"x{i}" if i in (20, 70, 120, 170) else word for i, word in enumerate(own)]
+    texts = {1: " ".join(own), 2: " ".join(changed), 3: " ".join(own[:160])}
+    rows = [(k, text, "en", "s", len(text)) for k, text in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect()}
+    expected = {k for k, (_, component) in brute.near_duplicates(texts, 80).items() if k == component}
+    assert kept == expected == {1, 3}
+
+
 def test_no_bucket_means_no_component(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (2, "u v w x y z")], "doc_id long, text string")
     assert sorted(tuple(r) for r in minhash.near_duplicates(df).collect()) == [(1, 2, 1, True), (2, 2, 2, True)]
