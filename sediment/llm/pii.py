@@ -3,7 +3,8 @@
 The base patterns find e-mail addresses, IP addresses, card numbers and phone numbers. The
 field labels every candidate of a document: the base spans, whose labels are given, and looser
 matches (groups of 7 to 19 digits with any separators, addresses spelled with "(at)" and
-"(dot)"). Its potentials are log-linear and trained on the corpus, with the base labels as the
+"(dot)"). A run of such groups is cut at base spans, and where groups inside it end with the
+digits of a found number, these are candidates instead of the whole run. Its potentials are log-linear and trained on the corpus, with the base labels as the
 teacher: how often a shape of candidate bears a label, which labels follow each other, and how
 far candidates with the same key agree (the last seven digits, or the normalised address).
 A loose candidate that shares a key with a base span is counted under the label of that span.
@@ -26,8 +27,9 @@ rows; an id may be null; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from dataclasses import dataclass
 from typing import NamedTuple
@@ -54,6 +56,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DIGIT = re.compile(r"[0-9]")
+GROUP = re.compile(r"[0-9]+")
 NUMBER_RUN = re.compile(r"[0-9][\x20().0-9/-]*")
 SPELLED_AT = re.compile(r"\x20?[(\[{]at[)\]}]\x20?")
 SPELLED_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\x20?(?:[(\[{]dot[)\]}]|\.)\x20?[A-Za-z0-9-]+)+")
@@ -134,6 +137,37 @@ def shape_and_key(text: str) -> tuple[str, str]:
     return f"digits {min(len(digits), MOST_DIGITS)} groups {min(groups, 5)}", digits[-KEY_DIGITS:]
 
 
+def _numbers(text: str, start: int, end: int, found: dict[str, list[str]]) -> list[tuple[int, int]]:
+    """Loose numbers in a stretch of groups; `found` has the reversed digits of base spans by
+    key, sorted, so the one that shares most with a number stands beside its place."""
+    groups = [m.span() for m in GROUP.finditer(text, start, end)]
+    if not groups:
+        return []
+    sizes = [b - a for a, b in groups]
+    digits = "".join(text[a:b] for a, b in groups)
+    whole = [(groups[0][0], groups[-1][1])] if LEAST_DIGITS <= len(digits) <= MOST_DIGITS else []
+    spans, low, at = [], 0, 0  # digits from `low` on are free
+    for i, size in enumerate(sizes):
+        at += size
+        key = digits[max(low, at - KEY_DIGITS) : at]
+        if len(key) < KEY_DIGITS or key not in found:
+            continue
+        if whole and i == len(sizes) - 1 and not spans:
+            return whole
+        # The fewest groups that hold all digits, from the last one back, that a found number shares.
+        own = digits[max(low, at - MOST_DIGITS) : at][::-1]
+        place = bisect_left(found[key], own)
+        shared = max(len(os.path.commonprefix([own, other])) for other in found[key][max(0, place - 1) : place + 1])
+        j, held = i, size
+        while held < shared:
+            j -= 1
+            held += sizes[j]
+        if held <= MOST_DIGITS:
+            spans.append((groups[j][0], groups[i][1]))
+            low = at
+    return spans or whole
+
+
 def candidates(text: str) -> list[Candidate]:
     """Base spans and looser matches that overlap none of them, by position."""
     found = base_spans(text)
@@ -149,10 +183,21 @@ def candidates(text: str) -> list[Candidate]:
         marks = ((m.start(), m.end()) for m in SPELLED_AT.finditer(text))
         loose += _addresses(text, marks, SPELLED_DOMAIN)
     if DIGIT.search(text):
+        known: dict[str, set[str]] = {}
+        for start, kind, end in found:
+            if kind:
+                digits = digits_of(text[start:end])
+                known.setdefault(digits[-KEY_DIGITS:], set()).add(digits[-MOST_DIGITS:][::-1])
+        by_key = {key: sorted(held) for key, held in known.items()}
         for m in NUMBER_RUN.finditer(text):
-            end = m.start() + len(m[0].rstrip(" ()./-"))
-            if end - m.start() >= LEAST_DIGITS and LEAST_DIGITS <= len(digits_of(m[0])) <= MOST_DIGITS:
-                loose.append((m.start(), end))
+            start = m.start()
+            if m.end() - start < LEAST_DIGITS:
+                continue
+            # Between the base spans that reach into the run.
+            for k in range(bisect_right(ends, start), bisect_left(starts, m.end())):
+                loose += _numbers(text, start, max(start, starts[k]), by_key)
+                start = max(start, min(ends[k], m.end()))
+            loose += _numbers(text, start, m.end(), by_key)
     loose = [(start, OTHER, end) for start, end in loose if free(start, end)]
     return [Candidate(*span, *shape_and_key(text[span[0] : span[2]])) for span in sorted(found + loose)]
 

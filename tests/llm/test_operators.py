@@ -239,6 +239,28 @@ def test_every_repeat_in_a_document_is_found():
             assert len(nodes) == 1 + 2 * repeats and field.labels(nodes) == [3] * len(nodes)
 
 
+def test_numbers_inside_a_run_are_candidates():
+    found = "+1 (017) 555-7713"
+    for rest, repeats in {
+        "017 555 7713 017 555 7713": ["017 555 7713"] * 2,
+        "10.0.0.5 017 555 7713": ["017 555 7713"],
+        "017 555 7713 10.0.0.5": ["017 555 7713"],
+        "017 555 7713 (2024)": ["017 555 7713"],
+        "1 017 555 7713 12": ["1 017 555 7713"],
+        "017 555 7713 " * 40: ["017 555 7713"] * 40,
+        "017 555 7713": ["017 555 7713"],
+        "0175557713 / 99 / 017.555.7713 / 2024": ["0175557713", "017.555.7713"],
+        "9" * 1000 + "5557713 555 7713 1": ["555 7713"],
+        "12 3456789": ["12 3456789"],
+    }.items():
+        text = f"{found}, {rest}"
+        nodes = pii.candidates(text)
+        assert [text[n.start : n.end] for n in nodes if n.kind == pii.OTHER] == repeats
+        assert pii.base_spans(text) == [(n.start, n.kind, n.end) for n in nodes if n.kind != pii.OTHER]
+        keys = {n.key for n in nodes if n.kind == pii.OTHER}
+        assert keys == ({"3456789"} if "3456789" in rest else {"5557713"})
+
+
 def test_bpe_equals_the_library(docs, none):
     library = Tokenizer.from_file(queries.WORD_BPE)
     found = by_id(bpe.encoded(docs, queries.WORD_BPE))
