@@ -10,7 +10,8 @@ coordinates estimate the Jaccard similarity with the concentration of independen
 Bands of several coordinates give bucket keys. Their number and rows follow from the similarity
 asked for, so that two sets that just have it share no bucket with a probability of at most
 `MISS` (25 bands of 5 rows at 0.85, 28 of 4 at 0.80). Documents with equal sets are one class, and only the
-smallest id of a class goes on. Inside a bucket not all pairs are formed: the member with the
+smallest id of a class goes on, as a node named by half of the set's hash, since rows with other
+texts may share that id. Inside a bucket not all pairs are formed: the member with the
 fewest shingles of its own, the most central one, is compared with the others on full sets,
 and verified links join components. Where a bucket's members are still in different
 components, what may link them is found by their rarest shingles (`_sharing_rare`), which
@@ -140,21 +141,21 @@ def sketches(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """doc_id and shingles (binary, sorted 64-bit hashes)."""
+    """node (half of the set's hash) and shingles (binary, sorted 64-bit hashes)."""
 
     def run(batch, texts):
         keys, counts = shingle_sets(texts)
         held, ends = keys.astype("<u8").tobytes(), 8 * np.cumsum(counts)
         sets = [held[end - 8 * n : end] for end, n in zip(ends.tolist(), counts.tolist())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
+        yield pa.RecordBatch.from_arrays([pa.array(_set_hashes(keys, counts)[0]), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return map_texts(docs, "text", run, "doc_id long, shingles binary")
+    return map_texts(docs, "text", run, "node long, shingles binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
 
     def run(batches):
         for batch in batches:
@@ -173,16 +174,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _exploded(sets: DataFrame) -> DataFrame:
-    """doc_id, shingle: one row per element."""
+    """node, shingle: one row per element."""
 
     def explode(batches):
         for batch in batches:
             held = batch.column("shingles").to_pylist()
             counts = np.array([len(own) // 8 for own in held], np.int64)
-            owner = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(held)), counts)))
-            yield pa.RecordBatch.from_arrays([owner, pa.array(np.frombuffer(b"".join(held), "<i8"))], ["doc_id", "shingle"])
+            owner = batch.column("node").take(pa.array(np.repeat(np.arange(len(held)), counts)))
+            yield pa.RecordBatch.from_arrays([owner, pa.array(np.frombuffer(b"".join(held), "<i8"))], ["node", "shingle"])
 
-    return arrow_map(sets, explode, "doc_id long, shingle long")
+    return arrow_map(sets, explode, "node long, shingle long")
 
 
 def shared_sizes(sets: DataFrame) -> DataFrame:
@@ -190,14 +191,14 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
     alone = (
         _exploded(sets)
         .groupBy("shingle")
-        .agg(F.min("doc_id").alias("only"), F.count(F.lit(1)).alias("held"))
+        .agg(F.min("node").alias("only"), F.count(F.lit(1)).alias("held"))
         .filter("held = 1")
         .groupBy("only")
         .agg(F.count(F.lit(1)).alias("alone"))
     )
-    sizes = sets.groupBy("doc_id").agg(F.max(F.expr("length(shingles) div 8")).alias("n"))
-    joined = sizes.join(alone, F.col("doc_id") == F.col("only"), "left")
-    return staged(joined.select(F.col("doc_id").alias("rep"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")))
+    sizes = sets.groupBy("node").agg(F.max(F.expr("length(shingles) div 8")).alias("n"))
+    joined = sizes.join(alone, F.col("node") == F.col("only"), "left")
+    return staged(joined.select(F.col("node").alias("rep"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")))
 
 
 def _possible(percent: int):
@@ -207,12 +208,15 @@ def _possible(percent: int):
 
 
 def linked_components(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
-    """node, component over the links among bucket members (band, rep); None without buckets."""
+    """node, component over the links among bucket members (band, rep, holder); None without
+    buckets. `rep` is a node, `holder` the id of a document with its set."""
     shared = staged(members.groupBy("band").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("band"))
     candidates = staged(members.join(shared, "band"))
     if candidates.isEmpty():
         return None
-    wanted = staged(candidates.select(F.col("rep").alias("wanted")).distinct())
+    wanted = staged(candidates.select(F.col("holder").alias("wanted")).distinct())
+    candidates = candidates.drop("holder")
+    # Other texts of a wanted id come along: they have nodes of their own.
     sets = staged(full_sets(docs.join(wanted, F.col("doc_id") == F.col("wanted")).select("doc_id", "text")))
     # A set that has too few of its shingles in common with all others has no link.
     sizes = shared_sizes(sets).filter(100 * F.col("c") >= percent * F.col("n"))
@@ -265,18 +269,18 @@ def _sharing_rare(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFr
     their centre, near copies begin with shingles of their own changes, which few share. Of
     the sets that share a shingle, only those outside the most frequent component search.
     """
-    shingles = staged(_exploded(sets.join(unsettled, F.col("doc_id") == F.col("rep"), "left_semi")).distinct())
+    shingles = staged(_exploded(sets.join(unsettled, F.col("node") == F.col("rep"), "left_semi")).distinct())
     frequency = staged(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")))
     ordered = (
         shingles.join(frequency, "shingle")
-        .groupBy("doc_id")
+        .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("all"))
         .withColumn("n", F.size("all"))
         .withColumn("longest", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
     )
     prefixes = staged(
-        ordered.select("doc_id", "n", F.posexplode(F.slice("all", F.lit(1), F.col("longest"))).alias("pos", "entry"))
-        .select(F.col("doc_id").alias("rep"), "n", "pos", F.col("entry.shingle").alias("shingle"))
+        ordered.select("node", "n", F.posexplode(F.slice("all", F.lit(1), F.col("longest"))).alias("pos", "entry"))
+        .select(F.col("node").alias("rep"), "n", "pos", F.col("entry.shingle").alias("shingle"))
         .join(unsettled, "rep")
     )
     parts = prefixes.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("held"))
@@ -318,17 +322,19 @@ def near_duplicates(
     members = (
         able.join(classes, ["s1", "s2"])
         .filter(F.col("doc_id") == F.col("rep"))
-        .select(F.explode("bands").alias("band"), "rep")
+        .select(F.explode("bands").alias("band"), F.col("s1").alias("rep"), F.col("doc_id").alias("holder"))
         .distinct()
     )
     found = linked_components(members, source, percent)
     rows = sketched.join(classes, ["s1", "s2"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep")
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep"), F.col("s1").alias("own")
     )
     if found is None:
         rows = rows.withColumn("component", F.lit(None).cast("long"))
     else:
-        rows = rows.join(found, F.col("rep") == F.col("node"), "left")
+        ids = found.join(classes, F.col("node") == F.col("s1")).groupBy("component").agg(F.min("rep").alias("smallest"))
+        named = found.join(staged(ids), "component").select("node", F.col("smallest").alias("component"))
+        rows = rows.join(named, F.col("own") == F.col("node"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))

@@ -156,6 +156,17 @@ def test_bands_follow_the_similarity(spark, percent):
     assert all(found[k]["component_id"] == k - k % 2 for k in texts)
 
 
+def test_an_id_with_different_texts_is_judged_by_each(spark):
+    """Id 1 has a text near 2, with more of its own in a second text, and a third near 3."""
+    own = prose(104, 21).split()
+    near = " ".join([*own[:101], "other", "last", "words"])
+    third = prose(200, 23)
+    rows = [(1, " ".join(own)), (1, prose(64, 22)), (2, near), (1, third), (3, third + " end"), (0, third + " end end")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = [(0, 197 + 1, 0), (1, 60, 1), (1, 100, 1), (1, 196, 0), (2, 100, 1), (3, 197, 0)]
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == sorted(expected)
+
+
 def test_sketch_estimates_similarity_and_fills():
     keys = minhash.mix(np.arange(1, 2000, dtype=np.uint64))
     both = np.concatenate([keys[:1000], keys[200:1200], keys[:2]])
