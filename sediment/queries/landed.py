@@ -151,7 +151,7 @@ def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes landed per day, summed from the file manifest of the whole landed table."""
+    """Bytes landed per day, summed from the file manifest of three order columns (see README)."""
     root = scratch_dir(spark)
     slim = conform.orders(spark, sf_dir).select("order_id", "status", "order_date")
     land_days(slim, root, F.col("order_date"), ("order_date",))
