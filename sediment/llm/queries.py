@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import binary_output, bpe, minhash, packing, pii, quality, recompression, topk, warc
+from sediment.llm import binary_output, bpe, collocations, itq, lloyd, minhash, packing, pii, quality, recompression
+from sediment.llm import topk, warc
 from sediment.llm import line_dedup as lines
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +82,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = lloyd.coded(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("codes", lambda code: F.lower(F.lpad(F.hex(code), 2, "0")))
+    return lloyd.with_label_errors(result.rows).select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(result.digest()).alias("codebooks_sha256"),
+    )
+
+
 OP2_SQL = r"""
 WITH payloads AS (
     SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -159,6 +180,142 @@ SELECT split.doc_id, len(words) AS n_words, count(*) FILTER (gone = 1) AS n_remo
 FROM split LEFT JOIN marked ON split.doc_id = marked.doc_id GROUP BY split.doc_id, len(words)
 """
 
+OP11_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+split AS (
+    SELECT lang, row_number() OVER () AS piece_id,
+           [w FOR w IN string_split_regex(piece, '[\x20\x09]+') IF w <> ''] AS words
+    FROM pieces
+),
+occurrences AS MATERIALIZED (
+    SELECT lang, piece_id, unnest(words) AS w1, unnest(range(len(words))) AS position FROM split
+),
+runs AS MATERIALIZED (
+    SELECT lang, w1, lead(w1, 1) OVER own AS w2, lead(w1, 2) OVER own AS w3, lead(w1, 3) OVER own AS w4
+    FROM occurrences WINDOW own AS (PARTITION BY piece_id ORDER BY position)
+),
+totals AS (
+    SELECT lang, count(*) AS n FROM occurrences GROUP BY lang
+),
+counted AS MATERIALIZED (
+    SELECT lang, [w1] AS words, count(*) AS f FROM runs GROUP BY ALL
+    UNION ALL SELECT lang, [w1, w2], count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+    UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+    UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM runs WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+),
+candidates AS MATERIALIZED (
+    SELECT lang, words, f FROM counted WHERE len(words) >= 2
+),
+held AS (
+    SELECT lang, f, words[i.i:i.i + k.k - 1] AS inner_words
+    FROM candidates, range(1, 4) i(i), range(2, 4) k(k)
+    WHERE k.k < len(words) AND i.i + k.k - 1 <= len(words)
+),
+absorbed AS (
+    SELECT c.lang, c.words FROM candidates c JOIN held h ON h.lang = c.lang AND h.inner_words = c.words
+    GROUP BY c.lang, c.words, c.f HAVING 100 * max(h.f) >= 80 * c.f
+),
+cuts AS (
+    SELECT c.lang, c.words, c.f AS a, k.k, left_side.f AS l, right_side.f AS r,
+           (2000000::HUGEINT * c.f) // (left_side.f + right_side.f) AS score
+    FROM candidates c ANTI JOIN absorbed USING (lang, words), range(1, 4) k(k), counted left_side, counted right_side
+    WHERE k.k < len(c.words)
+      AND left_side.lang = c.lang AND left_side.words = c.words[1:k.k]
+      AND right_side.lang = c.lang AND right_side.words = c.words[k.k + 1:]
+),
+lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+),
+ranked AS (
+    SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score FROM lowest
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+OP12_SQL = r"""
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0
+),
+links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reached(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT reached.vec_id, links.b FROM reached JOIN links ON links.a = reached.other
+),
+named AS (
+    SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+),
+numbers AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM named LEFT JOIN numbers USING (vec_id)
+"""
+
+
+def op13_sql(rounds: int = 4) -> str:
+    """The rounds one after another, each assignment a full scan of the codebook."""
+    assigned = """
+assigned{0} AS MATERIALIZED (
+    SELECT p.vec_id, p.label, p.part, p.x, arg_min(e.entry, {{'d': {1}, 'e': e.entry}}) AS entry, min({1}) AS distance
+    FROM parts p JOIN entries{0} e ON e.part = p.part GROUP BY p.vec_id, p.label, p.part, p.x
+)"""
+    moved = """
+entries{1} AS MATERIALIZED (
+    SELECT old.part, old.entry, coalesce(new.c, old.c) AS c
+    FROM entries{0} old LEFT JOIN (
+        SELECT part, entry, list(floor(total / members) ORDER BY position) AS c
+        FROM (
+            SELECT part, entry, position, sum(value) AS total, count(*) AS members
+            FROM (SELECT part, entry, unnest(x) AS value, unnest(range(len(x))) AS position FROM assigned{0})
+            GROUP BY part, entry, position
+        )
+        GROUP BY part, entry
+    ) new ON new.part = old.part AND new.entry = old.entry
+)"""
+    distance = "(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, e.c) + list_inner_product(e.c, e.c))"
+    steps = [assigned.format(0, distance)]
+    for number in range(rounds):
+        steps += [moved.format(number, number + 1), assigned.format(number + 1, distance)]
+    return f"""
+WITH vectors AS (
+    SELECT vec_id, label, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+parts AS MATERIALIZED (
+    SELECT vec_id, label, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] AS x FROM vectors, range(4) parts(part)
+),
+entries0 AS MATERIALIZED (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c
+    FROM parts QUALIFY entry < 256
+),{','.join(steps)},
+books AS (
+    SELECT sha256(string_agg(value::BIGINT::VARCHAR, ',' ORDER BY part, entry, position)) AS codebooks_sha256
+    FROM (SELECT part, entry, unnest(c) AS value, unnest(range(len(c))) AS position FROM entries{rounds})
+),
+codes AS (
+    SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+           sum(distance)::BIGINT AS error
+    FROM assigned{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes, books
+"""
+
+
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_warc": op2_warc,
@@ -170,6 +327,9 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_binary_output": op9_binary_output,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_near_vectors": op12_near_vectors,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES = {
@@ -177,4 +337,7 @@ ORACLES = {
     "op3_exact_top_k": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op11_collocations": OP11_SQL,
+    "op12_near_vectors": OP12_SQL,
+    "op13_vector_codes": op13_sql(),
 }

@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, oracle, name):
 
 
 def test_every_dealt_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, tmp_path):
