@@ -6,8 +6,8 @@ between pieces. A code is local to the part; beside the array lie the part's dis
 (code -> word, or the pair of shorter phrases) and how often each occurs. One length is mined
 like this:
 
-1. group-count: the entries of all parts are grouped and their counts summed. A hot phrase has
-   one row per part, so no group is large.
+1. group-count: the entries of all parts are dealt and sorted by group and their counts summed.
+   A hot phrase has one row per part, so no group is large.
 2. semi-join: entries of frequent groups return to their part with the name of the group.
 3. merge-join: in each part, neighbours in the sorted array that are both frequent are joined
    into the phrase that is one word longer (its first and its last words overlap), which gives
@@ -45,8 +45,9 @@ from sediment.sinks.staging import staged
 UNKNOWN = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
-PART_BYTES = 8 << 20
-HELD_BYTES = 32 << 20
+PART_BYTES = 16 << 20
+HELD_BYTES = 48 << 20
+NAMES_AT_ONCE = 1 << 18
 COUNTER_BITS = 13  # parts of one task
 CODE_BITS = 28  # distinct entries of one part
 FIRST = "part long, lang string, words long, symbols binary, code int, word binary, held long"
@@ -177,26 +178,69 @@ def _parts(docs: DataFrame) -> DataFrame:
     return staged(arrow_map(docs, run, FIRST))
 
 
-def _name(part: str = "part", code: str = "code"):
-    return F.shiftleft(F.col(part), CODE_BITS) + F.col(code)
+def _name():
+    return F.shiftleft("part", CODE_BITS) + F.col("code")
 
 
 def _frequent(entries: DataFrame, keys: list[str], min_count: int) -> DataFrame:
-    """part, code, keys, held, id, f: the entries of frequent groups, with the name of their group.
+    """name, id: the entries of frequent groups and their group; keys and f stand where both are equal.
 
-    The entries are shuffled once; counting and the semi-join read the same exchange, which
-    needs both to read the same columns.
+    Counting and the semi-join are one pass over the entries dealt and sorted by their group,
+    which has a row per part at most.
     """
-    dealt = entries.select("part", "code", "held", *keys).repartition(*keys)
-    groups = (
-        dealt.groupBy(*keys)
-        .agg(F.sum("held").alias("f"), F.min(_name()).alias("id"))
-        .filter(F.col("f") >= min_count)
+    group = Window.partitionBy(*keys)
+    counted = entries.select(_name().alias("name"), "held", *keys).withColumns(
+        {"f": F.sum("held").over(group), "id": F.min("name").over(group)}
     )
-    return staged(dealt.join(groups, keys).select("part", "code", "held", *keys, "id", "f"))
+    first = F.col("name") == F.col("id")
+    return staged(
+        counted.filter(F.col("f") >= min_count).select(
+            "name", "id", *[F.when(first, F.col(column)).alias(column) for column in (*keys, "f")]
+        )
+    )
+
+
+def _groups(found: DataFrame) -> DataFrame:
+    return found.filter("name = id")
+
+
+def _names_by_part(found: DataFrame) -> DataFrame:
+    """part, codes, ids: names of entries packed by part, which makes few rows to shuffle."""
+
+    def packed_rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        name, ids = (table.column(column).to_numpy() for column in ("name", "id"))
+        order = np.argsort(name)
+        name, ids = name[order], ids[order]
+        part = name >> CODE_BITS
+        code = (name & ((1 << CODE_BITS) - 1)).astype("<i4")
+        starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        ends = [*starts[1:].tolist(), len(part)]
+        bounds = list(zip(starts.tolist(), ends))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(part[starts]),
+                pa.array([code[a:b].tobytes() for a, b in bounds], pa.binary()),
+                pa.array([ids[a:b].tobytes() for a, b in bounds], pa.binary()),
+            ],
+            ["part", "codes", "ids"],
+        )
+
+    def run(batches):
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count >= NAMES_AT_ONCE:
+                yield packed_rows(held)
+                held, count = [], 0
+        if count:
+            yield packed_rows(held)
+
+    return arrow_map(found.select("name", "id"), run, "part long, codes binary, ids binary")
 
 
-def _extended(states: DataFrame, frequent: DataFrame) -> DataFrame:
+def _extended(states: DataFrame, found: DataFrame) -> DataFrame:
     """NEXT: the relation of phrases that are longer by one word, and its entries."""
 
     def run(state: pa.Table, names: pa.Table) -> pa.Table:
@@ -206,7 +250,8 @@ def _extended(states: DataFrame, frequent: DataFrame) -> DataFrame:
         symbols = np.frombuffer(state.column("symbols")[0].as_py(), "<i4")
         part = state.column("part")[0].as_py()
         ids = np.full(int(symbols.max(initial=0)) + 2, -1, np.int64)
-        ids[names.column("code").to_numpy()] = names.column("id").to_numpy()
+        for codes, own in zip(names.column("codes").to_pylist(), names.column("ids").to_pylist(), strict=True):
+            ids[np.frombuffer(codes, "<i4")] = np.frombuffer(own, "<i8")
         longer, pairs, held = joined(np.where((symbols >= 0) & (ids[symbols] >= 0), symbols, -1))
         n = len(held)
         if not n:
@@ -221,7 +266,7 @@ def _extended(states: DataFrame, frequent: DataFrame) -> DataFrame:
         return pa.Table.from_batches([_state(part, longer, {}, NEXT), _rows(NEXT, n, entries)])
 
     ship(states.sparkSession)
-    wanted = frequent.select("part", "code", "id").groupBy("part")
+    wanted = _names_by_part(found).groupBy("part")
     return staged(states.select("part", "symbols").groupBy("part").cogroup(wanted).applyInArrow(run, NEXT))
 
 
@@ -285,7 +330,7 @@ def collocations(
     text = F.col("word").cast("string")
     described = [
         staged(
-            found.filter(_name() == F.col("id")).select(
+            _groups(found).select(
                 "id", "lang", text.alias("text"), text.alias("last"), "f", empty.alias("heads"), empty.alias("tails")
             )
         )
@@ -295,7 +340,7 @@ def collocations(
         states, entries = longer.filter("symbols is not null"), longer.filter("code is not null")
         if size < max_words:
             found = _frequent(entries, ["first", "second"], min_count)
-            groups = found.filter(_name() == F.col("id")).select("id", "first", "second", "f")
+            groups = _groups(found)
         else:  # nothing is extended any more: no entry needs its group's name
             groups = (
                 entries.groupBy("first", "second")
