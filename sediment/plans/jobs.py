@@ -9,47 +9,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment import schemas
+from sediment.functions.parsing import parse_timestamps
 from sediment.operators import gold, prices
+from sediment.operators.fold import fold_days
 from sediment.plans import tables
 from sediment.sinks.staging import staged
-from sediment.sinks.tables import create_namespace, create_or_append, create_table, in_values, upsert
-from sediment.sources.landing import read_feed, read_snapshot_texts
+from sediment.sinks.tables import TableSpec, create_namespace, create_or_append, create_table, in_values, upsert
+from sediment.sources.landing import LANDED, read_feed_days, read_snapshot, read_snapshot_texts
 
+# In the order of tables.SILVER.
+FEEDS = (schemas.CUSTOMERS_FEED, schemas.PRODUCTS_FEED, schemas.ORDERS_FEED, schemas.ORDER_ITEMS_FEED)
 
-def day_of_insert(df: DataFrame, spec, run_date: datetime.date) -> DataFrame:
-    """Fill the folder column that plain parquet tables have in addition."""
+
+def folder_filled(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Fill the folder column that plain parquet tables have in addition; needs `LANDED`."""
     if spec is tables.ORDERS:
         return df.withColumn("order_day", F.to_date("order_date"))
     if spec is tables.ORDER_ITEMS:
-        return df.withColumn("landed_day", F.lit(run_date))
+        return df.withColumn("landed_day", F.col(LANDED))
     return df
 
 
+def open_feeds(
+    spark: SparkSession, landing: str, dates: Sequence[datetime.date], provider: str = "parquet"
+) -> list[tuple[TableSpec, DataFrame]]:
+    """The four feeds as sources of an upsert each: two snapshots, and the days of orders and items.
+
+    Several days are folded into one source, with the effect of merging them in date order.
+    """
+    opened = []
+    for feed, spec in zip(FEEDS, tables.SILVER, strict=True):
+        if feed.daily:
+            rows = read_feed_days(spark, landing, feed, dates)
+            rows = folder_filled(rows, spec) if provider == "parquet" else rows
+        else:
+            rows = parse_timestamps(read_snapshot(spark, f"{landing}/{feed.path}", feed.schema), *feed.timestamps)
+        opened.append((spec, feed.daily, rows))
+    if len(set(dates)) == 1:  # a day is merged as it was delivered
+        return [(spec, rows.drop(LANDED)) for spec, _, rows in opened]
+    return [(spec, fold_days(staged(rows), LANDED, spec.merge) if daily else rows) for spec, daily, rows in opened]
+
+
 def bronze_to_silver(
     spark: SparkSession,
     landing: str,
     namespace: str,
-    run_date: datetime.date,
+    run_date: datetime.date | Sequence[datetime.date],
     provider: str = "parquet",
 ) -> set[datetime.date | None] | None:
-    """Merge the customer and product snapshots and one day of orders and items into silver.
+    """Merge the customer and product snapshots and one or more days of orders and items into silver.
 
-    All four feeds are opened before the first table changes, so a missing feed stops the
-    run early. A day without files merges nothing. Returns the order days whose orders may
-    have changed, or None where the table format does not tell.
+    Several days take one upsert per table. All four feeds are opened before the first table
+    changes, so a missing feed stops the run early. A day without files merges nothing. Returns
+    the order days whose orders may have changed, or None where the table format does not tell.
     """
     create_namespace(spark, namespace)
-    feeds = (
-        (schemas.CUSTOMERS_FEED, tables.CUSTOMERS),
-        (schemas.PRODUCTS_FEED, tables.PRODUCTS),
-        (schemas.ORDERS_FEED, tables.ORDERS),
-        (schemas.ORDER_ITEMS_FEED, tables.ORDER_ITEMS),
-    )
+    dates = [run_date] if isinstance(run_date, datetime.date) else list(run_date)
     order_days = None
-    opened = [(read_feed(spark, landing, feed, run_date), spec) for feed, spec in feeds]
-    for rows, spec in opened:
-        if provider == "parquet":
-            rows = day_of_insert(rows, spec, run_date)
+    for spec, rows in open_feeds(spark, landing, dates, provider):
         changed = upsert(spark, create_table(spark, namespace, spec, provider), rows, spec)
         if spec is tables.ORDERS:
             order_days = changed
@@ -126,8 +143,13 @@ def backfill(
     provider: str = "parquet",
     changed_days_only: bool = False,
 ) -> None:
-    """Daily runs in date order; `run_ts` gives the timestamp stamped on each run's gold rows."""
-    for run_date in sorted(dates):
-        order_days = bronze_to_silver(spark, landing, namespace, run_date, provider)
-        only = order_days if changed_days_only else None
-        silver_to_gold(spark, namespace, run_ts(run_date), provider, only)
+    """Catch up on several days at once, with the result of daily runs in date order.
+
+    Silver takes one upsert per table and gold is computed once; `run_ts` gives the timestamp of
+    the last day, which is stamped on the gold rows.
+    """
+    days = sorted(set(dates))
+    if not days:
+        return
+    order_days = bronze_to_silver(spark, landing, namespace, days, provider)
+    silver_to_gold(spark, namespace, run_ts(days[-1]), provider, order_days if changed_days_only else None)

@@ -61,5 +61,10 @@ GOLD_CATEGORY_PERFORMANCE = TableSpec(
     MergeSpec("category", ("units_sold", "revenue_generated", "updated_at")),
 )
 
+# What gold is computed from when it takes changes (see sediment.operators.parts).
+DAILY_PARTS = TableSpec("gold_daily_parts", schemas.DAILY_PARTS, MergeSpec("order_date", ()))
+CUSTOMER_PARTS = TableSpec("gold_customer_parts", schemas.CUSTOMER_PARTS, MergeSpec("customer_id", ()))
+PRODUCT_PARTS = TableSpec("gold_product_parts", schemas.PRODUCT_PARTS, MergeSpec("product_id", ()))
+
 SILVER = (CUSTOMERS, PRODUCTS, ORDERS, ORDER_ITEMS)
 GOLD = (GOLD_DAILY_SALES, GOLD_CUSTOMER_METRICS, GOLD_CATEGORY_PERFORMANCE)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sediment.queries import aggregates, landed, merges, price_feed, runs
+from sediment.queries import aggregates, arrivals, landed, merges, price_feed, runs
 
-MODULES = (aggregates, merges, landed, price_feed, runs)
+MODULES = (aggregates, merges, landed, price_feed, runs, arrivals)
 
 
 def all_queries() -> dict:

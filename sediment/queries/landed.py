@@ -11,15 +11,16 @@ from sediment import schemas
 from sediment.functions.parsing import parse_timestamps
 from sediment.queries import shapes
 from sediment.session import scratch_dir
+from sediment.sinks.staging import staged
 from sediment.sinks.landing import append_payloads, land_days, land_snapshot, with_ingest_metadata
 from sediment.sources import conform
 from sediment.sources.landing import (
     DAY_COLUMNS,
     is_json_object,
-    manifest,
     read_days,
     read_feed,
 )
+from sediment.sources.manifest import manifest, manifest_changes
 
 RUN_DATE = datetime.date(1998, 3, 22)
 INGESTED_AT = "2026-06-10 06:30:00"
@@ -80,12 +81,15 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(read_feed(spark, landing, feed, RUN_DATE))
 
 
-def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days, with the folder each order lies in."""
+def landed_orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = schemas.ORDERS_FEED
     landing = _land_days(landing_orders(spark, sf_dir), feed, "order_date")
-    rows = read_days(spark, f"{landing}/{feed.path}", feed.schema)
-    return without_zone(parse_timestamps(rows, *feed.timestamps))
+    return parse_timestamps(read_days(spark, f"{landing}/{feed.path}", feed.schema), *feed.timestamps)
+
+
+def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days, with the folder each order lies in."""
+    return without_zone(landed_orders_by_day(spark, sf_dir))
 
 
 def bronze_orders_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,17 +154,38 @@ def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _landed_day():
+    """The day of a manifest's folder."""
+    digits = F.regexp_extract_all("folder", F.lit(r"=(\d+)"), F.lit(1))
+    return F.to_date(F.array_join(digits, "-"))
+
+
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes landed per day, summed from the file manifest of three order columns (see README)."""
-    root = scratch_dir(spark)
-    slim = conform.orders(spark, sf_dir).select("order_id", "status", "order_date")
-    land_days(slim, root, F.col("order_date"), ("order_date",))
-    day = F.regexp_extract_all("path", F.lit(r"=(\d+)/"), F.lit(1))
-    return (
-        manifest(spark, root)
-        .groupBy(F.to_date(F.array_join(day, "-")).alias("landed_day"))
-        .agg(F.sum("length").alias("bytes"))
+    """Rows, bytes and digest of the landed lines of each day, all order columns."""
+    feed = schemas.ORDERS_FEED
+    landing = _land_days(landing_orders(spark, sf_dir), feed, "order_date")
+    return manifest(spark, f"{landing}/{feed.path}").select(_landed_day().alias("landed_day"), "rows", "bytes", "digest")
+
+
+def landing_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose orders differ between two deliveries of the whole history.
+
+    The second one has new statuses in May 1998, lacks 1996 before July, and has days after 2000
+    that the first one lacks; all its other rows land again in other files and another order.
+    """
+    feed = schemas.ORDERS_FEED
+    orders = landing_orders(spark, sf_dir)
+    first = orders.filter(F.year("order_date") <= 2000)
+    month = F.date_format("order_date", "yyyy-MM")
+    second = (
+        orders.filter(~month.between("1996-01", "1996-06"))
+        .withColumn("status", F.when(month == "1998-05", "Returned").otherwise(F.col("status")))
+        .orderBy(F.desc("order_id"))
     )
+    before, after = (
+        staged(manifest(spark, f"{_land_days(rows, feed, 'order_date')}/{feed.path}")) for rows in (first, second)
+    )
+    return manifest_changes(before, after).select(_landed_day().alias("landed_day"), "change", "rows_before", "rows_after")
 
 
 QUERIES = {
@@ -173,6 +198,7 @@ QUERIES = {
     "land_with_metadata": land_with_metadata,
     "reject_split": reject_split,
     "landing_manifest": landing_manifest,
+    "manifest_changes": landing_changes,
 }
 
 _ORDERS_SQL = f"""
@@ -185,6 +211,15 @@ _ITEMS_SQL = f"""
   from ({shapes.ORDER_ITEMS}) i join ({shapes.ORDERS}) o on i.order_id = o.order_id"""
 _FOLDERS = """cast(extract(year from {0}) as int) as year, cast(extract(month from {0}) as int) as month,
          cast(extract(day from {0}) as int) as day"""
+# The JSON line of an order, as the landing writes it.
+_LINES_SQL = f"""
+  select order_date, '{{"order_id":' || order_id || ',"customer_id":' || customer_id || ',"order_date":"'
+         || strftime(order_date, '%Y-%m-%d %H:%M:%S') || '","total_amount":' || total_amount || ',"status":"' || status
+         || '","updated_at":"' || strftime(updated_at, '%Y-%m-%d %H:%M:%S') || '"}}' as line
+  from ({_ORDERS_SQL})"""
+_DIGEST_SQL = " || '-' || ".join(
+    f"sum(('0x' || substr(md5(line), {8 * i + 1}, 8))::hugeint)::varchar" for i in range(4)
+)
 _ON_RUN_DATE = f"= date '{RUN_DATE}'"
 
 ORACLES = {
@@ -214,8 +249,22 @@ ORACLES = {
         union all select 'documents', doc_id, text from documents
         union all select 'pages', page_id, html from pages)""",
     "landing_manifest": f"""
-  select cast(order_date as date) as landed_day,
-         cast(sum(length('{{"order_id":' || order_id || ',"status":"' || status
-              || '","order_date":"' || strftime(order_date, '%Y-%m-%d %H:%M:%S') || '"}}') + 1) as bigint) as bytes
-  from ({shapes.ORDERS}) group by 1""",
+  select cast(order_date as date) as landed_day, count(*) as rows, cast(sum(octet_length(encode(line)) + 1) as bigint) as bytes,
+         {_DIGEST_SQL} as digest
+  from ({_LINES_SQL}) group by 1""",
+    "manifest_changes": f"""
+  with lines as ({_LINES_SQL}),
+  before as (
+    select cast(order_date as date) as day, count(*) as n from lines where year(order_date) <= 2000 group by 1
+  ),
+  after as (
+    select cast(order_date as date) as day, count(*) as n,
+           bool_or(strftime(order_date, '%Y-%m') = '1998-05') as edited
+    from lines where strftime(order_date, '%Y-%m') not between '1996-01' and '1996-06' group by 1
+  )
+  select coalesce(b.day, a.day) as landed_day,
+         case when b.n is null then 'added' when a.n is null then 'removed' else 'changed' end as change,
+         b.n as rows_before, a.n as rows_after
+  from before b full join after a on a.day = b.day
+  where b.n is null or a.n is null or a.edited""",
 }

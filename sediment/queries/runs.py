@@ -7,13 +7,15 @@ Orders and their items are delivered by age on three run dates. The orders of De
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment import schemas
 from sediment.plans import tables
-from sediment.plans.jobs import backfill
+from sediment.plans.deltas import run_by_deltas
+from sediment.plans.jobs import backfill, bronze_to_silver
 from sediment.queries import shapes
 from sediment.queries.landed import (
     landing_customers,
@@ -37,7 +39,7 @@ def _delivery(day: str) -> Column:
     return F.when(date < "1997-05-01", first).when(date < "1999-07-01", second).otherwise(third)
 
 
-def _land_orders(spark: SparkSession, sf_dir: str, landing: str) -> None:
+def land_orders(spark: SparkSession, sf_dir: str, landing: str) -> None:
     orders = landing_orders(spark, sf_dir).withColumn("delivered", _delivery("order_date"))
     again = orders.filter(F.date_format("order_date", "yyyy-MM") == "1997-12").withColumns(
         {
@@ -70,7 +72,7 @@ def _land(spark: SparkSession, sf_dir: str) -> str:
         (schemas.PRODUCTS_FEED, landing_products(spark, sf_dir)),
     ):
         land_snapshot(rows.select(feed.schema.names), f"{landing}/{feed.path}", feed.timestamps)
-    _land_orders(spark, sf_dir, landing)
+    land_orders(spark, sf_dir, landing)
     feed = schemas.ORDER_ITEMS_FEED
     items = landing_order_items(spark, sf_dir).withColumn("delivered", _delivery("updated_at"))
     land_days(
@@ -115,10 +117,47 @@ def backfill_three_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _all_columns(spark: SparkSession, namespace: str, specs) -> DataFrame:
+    """Every row and column of the tables, one under the other; columns a table lacks are NULL."""
+    frames = [
+        without_zone(spark.table(f"{namespace}.{spec.name}").select(spec.schema.names)).withColumn(
+            "table_name", F.lit(spec.name)
+        )
+        for spec in specs
+    ]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)
+
+
+def _run_at(day: datetime.date) -> datetime.datetime:
+    return datetime.datetime.combine(day, datetime.time(6))
+
+
+def silver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four silver tables, all columns, after one run over the three deliveries."""
+    namespace = _fresh_namespace(spark)
+    bronze_to_silver(spark, _land(spark, sf_dir), namespace, RUN_DATES)
+    return _all_columns(spark, namespace, tables.SILVER)
+
+
+def gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three gold tables, all columns, computed in full after the backfill."""
+    namespace = _fresh_namespace(spark)
+    backfill(spark, _land(spark, sf_dir), namespace, RUN_DATES, run_ts=_run_at)
+    return _all_columns(spark, namespace, tables.GOLD)
+
+
+def gold_by_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tables after three runs that add each delivery's changes to the stored parts."""
+    namespace, landing = _fresh_namespace(spark), _land(spark, sf_dir)
+    for day in RUN_DATES:
+        run_by_deltas(spark, landing, namespace, [day], _run_at(day))
+    return _all_columns(spark, namespace, tables.GOLD)
+
+
 def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver orders after one stream run over the three deliveries."""
     namespace, landing = _fresh_namespace(spark), scratch_dir(spark)
-    _land_orders(spark, sf_dir, landing)
+    land_orders(spark, sf_dir, landing)
     merge_new_days(
         spark, landing, schemas.ORDERS_FEED, namespace, tables.ORDERS, scratch_dir(spark)
     ).awaitTermination()
@@ -137,32 +176,70 @@ def orders_by_day_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "backfill_three_days": backfill_three_days,
+    "silver_tables": silver_tables,
+    "gold_tables": gold_tables,
+    "gold_by_deltas": gold_by_deltas,
     "incremental_orders": incremental_orders,
     "orders_by_day_partition": orders_by_day_partition,
 }
 
 _AGAIN = "strftime(order_date, '%Y-%m') = '1997-12'"
-_FINAL_ORDERS = f"""
+FINAL_ORDERS_SQL = f"""
   select order_id, customer_id, order_date,
          case when {_AGAIN} then total_amount + 1 else total_amount end as total_amount,
          case when {_AGAIN} then 'Returned' else status end as status
   from ({shapes.ORDERS})"""
 
+
+# The orders as the last run date delivers them: new ones, and those delivered again with another customer.
+LAST_DELIVERY_SQL = f"""
+  select order_id, customer_id from ({shapes.ORDERS}) where cast(order_date as date) >= date '1999-07-01'
+  union all
+  select order_id, customer_id + 1 from ({shapes.ORDERS}) where {_AGAIN}"""
+_RUN_AT_SQL = f"timestamp '{_run_at(RUN_DATES[-1])}' as updated_at"
+_GOLD_SQL = f"""
+  select 'gold_daily_sales' as table_name, *, {_RUN_AT_SQL} from ({shapes.daily_sales(FINAL_ORDERS_SQL)})
+  union all by name
+  select 'gold_customer_metrics' as table_name, * replace (cast(customer_id as varchar) as customer_id), {_RUN_AT_SQL}
+  from ({shapes.customer_metrics(FINAL_ORDERS_SQL)})
+  union all by name
+  select 'gold_category_performance' as table_name, *, {_RUN_AT_SQL}
+  from ({shapes.category_performance(shapes.ORDER_ITEMS)})"""
+
 ORACLES = {
+    "silver_tables": f"""
+  select 'customers' as table_name, cast(customer_id as varchar) as customer_id, name, email, country,
+         timestamp '2020-01-01 00:07:00' + to_hours(cast(customer_id as int)) as signup_date,
+         timestamp '2026-06-10' as updated_at
+  from ({shapes.CUSTOMERS})
+  union all by name
+  select 'products' as table_name, cast(product_id as varchar) as product_id, name, category, price, inventory_count,
+         timestamp '2026-06-10' as updated_at
+  from ({shapes.PRODUCTS})
+  union all by name
+  select 'orders' as table_name, cast(order_id as varchar) as order_id, cast(customer_id as varchar) as customer_id,
+         order_date, total_amount, status, order_date as updated_at
+  from ({FINAL_ORDERS_SQL})
+  union all by name
+  select 'order_items' as table_name, order_item_id, cast(i.order_id as varchar) as order_id,
+         cast(product_id as varchar) as product_id, quantity, unit_price, o.order_date as updated_at
+  from ({shapes.ORDER_ITEMS}) i join ({shapes.ORDERS}) o on i.order_id = o.order_id""",
+    "gold_tables": _GOLD_SQL,
+    "gold_by_deltas": _GOLD_SQL,
     "backfill_three_days": f"""
   select 'gold_daily_sales' as table_name, cast(order_date as varchar) as group_key,
          total_revenue as amount, cancelled_orders_count as quantity
-  from ({shapes.daily_sales(_FINAL_ORDERS)})
+  from ({shapes.daily_sales(FINAL_ORDERS_SQL)})
   union all
   select 'gold_customer_metrics', cast(customer_id as varchar), total_spent, total_orders
-  from ({shapes.customer_metrics(_FINAL_ORDERS)})
+  from ({shapes.customer_metrics(FINAL_ORDERS_SQL)})
   union all
   select 'gold_category_performance', category, revenue_generated, units_sold
   from ({shapes.category_performance(shapes.ORDER_ITEMS)})""",
     "incremental_orders": f"""
   select cast(order_id as varchar) as order_id, cast(customer_id as varchar) as customer_id, order_date,
          total_amount, status, order_date as updated_at
-  from ({_FINAL_ORDERS})""",
+  from ({FINAL_ORDERS_SQL})""",
     "orders_by_day_partition": f"""
   select cast(order_id as varchar) as order_id, cast(customer_id as varchar) as customer_id, order_date,
          total_amount, status, order_date as updated_at, cast(order_date as date) as order_day

@@ -116,6 +116,18 @@ GOLD_CATEGORY_PERFORMANCE = _columns(
     updated_at="timestamp",
 )
 
+_MONEY_PARTS = {"high": "long", "middle": "long", "low": "long", "rest": "double", "cents": "long", "rests": "long"}
+DAILY_PARTS = _columns(order_date="date", **_MONEY_PARTS, orders_count="long", cancelled="long", held="long")
+CUSTOMER_PARTS = _columns(
+    customer_id="string",
+    **_MONEY_PARTS,
+    total_orders="long",
+    first_order_date="timestamp",
+    last_order_date="timestamp",
+    held="long",
+)
+PRODUCT_PARTS = _columns(product_id="string", **_MONEY_PARTS, units="long", quantities="long", held="long")
+
 
 @dataclass(frozen=True)
 class Feed:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sediment.operators.keys import quoted, unseen
+from sediment.operators.keys import key_filter, quoted
 from sediment.operators.upsert import (
     MergePlan,
     MergeSpec,
@@ -61,6 +61,10 @@ def _described(spark: SparkSession, statement: str) -> dict[str, str]:
     return {row[0]: row[1] for row in spark.sql(statement).collect()}
 
 
+def namespace_location(spark: SparkSession, namespace: str) -> str:
+    return _described(spark, f"DESCRIBE NAMESPACE EXTENDED {namespace}")["Location"].rstrip("/")
+
+
 def create_table(spark: SparkSession, namespace: str, spec: TableSpec, provider: str = "parquet") -> str:
     """Create the table if it is absent and return its full name."""
     table = f"{namespace}.{spec.name}"
@@ -69,11 +73,11 @@ def create_table(spark: SparkSession, namespace: str, spec: TableSpec, provider:
     columns = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in spec.schema.fields]
     layout = ""
     if provider == "parquet":
-        root = _described(spark, f"DESCRIBE NAMESPACE EXTENDED {namespace}")["Location"]
+        root = namespace_location(spark, namespace)
         if spec.partitioning:
             columns.append(f"{quoted(spec.partitioning.column)} {spec.partitioning.data_type}")
             layout = f" PARTITIONED BY ({quoted(spec.partitioning.column)})"
-        layout += f" LOCATION '{root.rstrip('/')}/{spec.name}/{uuid.uuid4().hex}'"
+        layout += f" LOCATION '{root}/{spec.name}/{uuid.uuid4().hex}'"
     elif spec.transform:
         layout = f" PARTITIONED BY ({spec.transform})"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING {provider}{layout}")
@@ -94,15 +98,24 @@ def _next_location(spark: SparkSession, table: str) -> str:
     return f"{current.rsplit('/', 1)[0]}/{uuid.uuid4().hex}"
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Write the frame as the table's new content; it may be computed from the old content."""
+def replace_table(df: DataFrame, table: str, mark: str = "") -> None:
+    """Write the frame as the table's new content; it may be computed from the old content.
+
+    `mark` becomes part of the new folder's name, so that content and mark change in one step.
+    """
     spark = df.sparkSession
-    location = _next_location(spark, table)
+    location = _next_location(spark, table) + (f"-{mark}" if mark else "")
     df.write.parquet(location)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     spark.catalog.refreshTable(table)
 
 
+def mark_of(spark: SparkSession, table: str) -> str:
+    """The mark that the table's content was written with, or an empty text."""
+    folder = _described(spark, f"DESCRIBE TABLE EXTENDED {table}")["Location"].rstrip("/").rsplit("/", 1)[1]
+    return folder.partition("-")[2]
+
+
 def replace_partitions(df: DataFrame, table: str, column: str, values: Collection) -> None:
     """Write new content for the listed partitions; all other partitions are untouched."""
     spark = df.sparkSession
@@ -144,35 +157,89 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, spec: TableSpec)
         spark.sql(merge_statement(table, view, spec.merge))
         spark.catalog.dropTempView(view)
         return None
-    target = spark.table(table)
-    incoming = staged(aligned(source, target))
     if spec.partitioning is None:
         # Snapshots and gold results: the source is about as large as the table and its key
         # is the table's primary key, so one pass over both is the shortest plan.
+        target = spark.table(table)
+        incoming = staged(aligned(source, target))
         replace_table(merge_upsert(target, incoming, spec.merge, MergePlan.ONE_PASS), table)
         return None
-    return _upsert_partitions(spark, table, incoming, spec)
+    return PartitionMerge(spark, table, source, spec).apply()
+
+
+SIGN = "sign"
 
 
-def _upsert_partitions(spark: SparkSession, table: str, incoming: DataFrame, spec: TableSpec) -> set:
-    """Rewrite the partitions that hold matched rows, then append the new rows.
+class PartitionMerge:
+    """An upsert into a table with folders: looked up in one scan of the table, then applied.
 
-    Both steps may be repeated after a failure between them: the first writes the same
-    values again, and the second finds the rows already appended, also those of a new key
-    that the source holds more than once. Rows without a key are appended again.
+    The scan reads the key and the folder (with `whole_rows` all columns) of rows whose key lies
+    in the batch's range and in its Bloom filter; only these are shuffled to meet the batch, and
+    what matches is written out once. The folders to rewrite, the rows to insert and the images
+    all come from that small frame.
     """
-    key, column = spec.merge.key, spec.partitioning.column
-    target = spark.table(table)
-    unique, inserts = split_source(target, incoming, spec.merge, repeatable=True)
-    matched = target.select(key, column).join(unique.select(key), key, "left_semi")
-    touched = _partition_values(matched, column)
-    if touched:
-        rewritten = update_matched(target.filter(in_values(column, touched)), unique, spec.merge)
-        replace_partitions(rewritten, table, column, touched)
-    stored = spark.table(table)
-    fresh = unseen(unique, stored, [key], small_source=True).unionAll(inserts)
-    fresh.select(stored.columns).hint("rebalance", column).write.insertInto(table)
-    return touched | _partition_values(incoming, column)
+
+    def __init__(
+        self, spark: SparkSession, table: str, source: DataFrame, spec: TableSpec, whole_rows: bool = False
+    ) -> None:
+        self.spark, self.table, self.spec = spark, table, spec
+        target = spark.table(table)
+        self.columns = target.columns
+        self.incoming = staged(aligned(source, target))
+        self.unique, self.inserts = split_source(target, self.incoming, spec.merge, repeatable=True)
+        self.matched = staged(self.lookup(target, whole_rows))
+
+    def lookup(self, target: DataFrame, whole_rows: bool) -> DataFrame:
+        """The matched rows of the table, with key and folder or with all columns."""
+        key = self.spec.merge.key
+        names = self.columns if whole_rows else [key, self.spec.partitioning.column]
+        held = target.select([F.col(quoted(name)) for name in names])
+        asked = key_filter(self.unique, key)
+        if asked is None:
+            return held.limit(0)
+        return asked.applied(held).join(self.unique.select(F.col(quoted(key))), key, "left_semi").select(names)
+
+    def fresh(self) -> DataFrame:
+        """The rows to insert: keys that the table does not hold, and what was set aside."""
+        key = self.spec.merge.key
+        seen = self.matched.select(F.col(quoted(key))).distinct()
+        new = self.unique.join(seen, key, "left_anti").select(self.columns)
+        return new.unionAll(self.inserts.select(self.columns))
+
+    def images(self) -> DataFrame:
+        """Rows that the upsert takes away (sign -1: as they were) and adds (sign 1: as they will
+        be). A matched row that stays as it is has none. Needs `whole_rows`, before `apply`."""
+        merge = self.spec.merge
+        incoming = self.unique.select(
+            F.col(quoted(merge.key)), *[F.col(quoted(name)).alias(f"__new_{name}") for name in merge.update]
+        )
+        met = self.matched.join(incoming, merge.key)
+        changed = F.lit(False)
+        for name in merge.update:
+            changed = changed | ~F.col(quoted(name)).eqNullSafe(F.col(quoted(f"__new_{name}")))
+
+        def image(sign: int) -> Column:
+            after = [f"__new_{name}" if sign > 0 and name in merge.update else name for name in self.columns]
+            held = [F.col(quoted(source)).alias(name) for source, name in zip(after, self.columns)]
+            return F.struct(*held, F.lit(sign).alias(SIGN))
+
+        both = met.filter(changed).select(F.explode(F.array(image(-1), image(1))).alias("image")).select("image.*")
+        return both.unionAll(self.fresh().withColumn(SIGN, F.lit(1)))
+
+    def apply(self) -> set:
+        """Rewrite the partitions that hold matched rows, then append the new rows.
+
+        Both steps may be repeated after a failure between them: the first writes the same
+        values again, and a new lookup finds the rows already appended, also those of a new key
+        that the source holds more than once. Rows without a key are appended again.
+        """
+        column = self.spec.partitioning.column
+        touched = _partition_values(self.matched, column)
+        if touched:
+            old = self.spark.table(self.table).filter(in_values(column, touched))
+            replace_partitions(update_matched(old, self.unique, self.spec.merge), self.table, column, touched)
+        self.fresh().hint("rebalance", column).write.insertInto(self.table)
+        return touched | _partition_values(self.incoming, column)
 
 
 def _partition_values(df: DataFrame, column: str) -> set:

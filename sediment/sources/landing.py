@@ -1,8 +1,9 @@
-"""Readers of the landing area: JSON snapshots, JSON by day, payload text, file manifest."""
+"""Readers of the landing area: JSON snapshots, JSON by day, payload text."""
 
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from sediment.schemas import Feed
 # Folder names of one day below a feed's root.
 DAY_FOLDERS = "year={0:%Y}/month={0:%m}/day={0:%d}"
 DAY_COLUMNS = ("year", "month", "day")
+LANDED = "__landed"  # the day a row landed under, where rows of several days come together
 
 
 def parse_run_date(text: str) -> datetime.date:
@@ -52,6 +54,31 @@ def read_day(
     return read_days(spark, root, schema).filter(F.lit(False)).drop(*DAY_COLUMNS)
 
 
+def with_landed_day(df: DataFrame) -> DataFrame:
+    """The three folder columns as one date, `LANDED`."""
+    return df.withColumn(LANDED, F.make_date(*DAY_COLUMNS)).drop(*DAY_COLUMNS)
+
+
+def read_feed_days(spark: SparkSession, landing: str, feed: Feed, dates: Iterable[datetime.date]) -> DataFrame:
+    """Typed rows of several days of a feed with the day they landed under (`LANDED`).
+
+    Only the folders of these days are listed; days without files hold no rows, and a missing
+    feed is an error.
+    """
+    root = f"{landing}/{feed.path}"
+    columns = StructType([*feed.schema.fields])
+    for name in DAY_COLUMNS:
+        columns = columns.add(name, "integer")
+    folders = ",".join(DAY_FOLDERS.format(day) for day in sorted(set(dates)))
+    try:
+        raw = spark.read.schema(columns).option("basePath", root).json(f"{root}/{{{folders}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = read_days(spark, root, feed.schema).filter(F.lit(False))
+    return with_landed_day(parse_timestamps(raw, *feed.timestamps))
+
+
 def read_feed(spark: SparkSession, landing: str, feed: Feed, run_date: datetime.date) -> DataFrame:
     """A feed as typed rows: snapshot or one day, text timestamps parsed."""
     path = f"{landing}/{feed.path}"
@@ -125,21 +152,3 @@ def parse_payloads(accepted: DataFrame, schema: StructType | str, column: str =
     others = [c for c in accepted.columns if c != column]
     parsed = accepted.withColumn(column, F.from_json(F.col(column), schema))
     return parsed.select(*others, f"{column}.*")
-
-
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and content hash of every file below `path`."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
-
-
-def manifest_changes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Files added, changed or removed between two manifests."""
-    old = before.select("path", F.col("sha256").alias("old_sha256"))
-    new = after.select("path", F.col("sha256").alias("new_sha256"))
-    change = (
-        F.when(F.col("old_sha256").isNull(), "added")
-        .when(F.col("new_sha256").isNull(), "removed")
-        .when(F.col("old_sha256") != F.col("new_sha256"), "changed")
-    )
-    return old.join(new, "path", "full").select("path", change.alias("change")).dropna()

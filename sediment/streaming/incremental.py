@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sediment.functions.parsing import parse_timestamps
+from sediment.operators.fold import fold_days
 from sediment.operators.prices import flatten_text
-from sediment.plans.jobs import day_of_insert, store_prices
+from sediment.plans.jobs import folder_filled, store_prices
 from sediment.schemas import Feed
 from sediment.sinks.staging import staged
 from sediment.sinks.tables import TableSpec, create_namespace, create_table, upsert
-from sediment.sources.landing import DAY_COLUMNS
+from sediment.sources.landing import DAY_COLUMNS, LANDED, with_landed_day
 
 
 def read_feed_stream(spark: SparkSession, landing: str, feed: Feed) -> DataFrame:
@@ -39,10 +38,10 @@ def merge_new_days(
 ) -> StreamingQuery:
     """Start a run over all files not seen before; it stops when they are merged.
 
-    Days inside a batch are merged one after the other in date order, as in a backfill: an
-    order delivered again on a later day updates the earlier one. Finished days are noted
-    beside the stream's progress, and a batch repeated after a failure goes on with the first
-    day not noted; of that day, rows without a key may be inserted again.
+    The days of a batch are folded into one source, with the effect of merging them in date
+    order, as in a backfill: an order delivered again on a later day updates the earlier one.
+    The table is looked up once per batch. A batch repeated after a failure merges the same
+    rows again; rows without a key may then be inserted twice.
     """
     create_namespace(spark, namespace)
     table = create_table(spark, namespace, spec, provider)
@@ -50,23 +49,9 @@ def merge_new_days(
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         # The batch belongs to a clone of the session. Tables are read and written through
         # the caller's session, whose file listings a write then refreshes.
-        rows = staged(batch, spark)
-        # One row per landed day: bounded by the calendar, not by the data.
-        days = sorted(tuple(row) for row in rows.select(*DAY_COLUMNS).distinct().collect())
-        notes = f"{checkpoint}/finished_days/{batch_id}"
-        spark.createDataFrame([], "day date").write.mode("append").parquet(notes)
-        finished = {row[0] for row in spark.read.parquet(notes).collect()}
-        for year, month, day in days:
-            run_date = datetime.date(year, month, day)
-            if run_date in finished:
-                continue
-            of_day = rows.filter(
-                (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-            ).drop(*DAY_COLUMNS)
-            if provider == "parquet":
-                of_day = day_of_insert(of_day, spec, run_date)
-            upsert(spark, table, of_day, spec)
-            spark.createDataFrame([(run_date,)], "day date").coalesce(1).write.mode("append").parquet(notes)
+        dated = with_landed_day(staged(batch, spark))
+        rows = folder_filled(dated, spec) if provider == "parquet" else dated
+        upsert(spark, table, fold_days(rows, LANDED, spec.merge), spec)
 
     return (
         read_feed_stream(spark, landing, feed)

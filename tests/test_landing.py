@@ -8,23 +8,24 @@ from pyspark.sql.types import StructType
 
 from sediment import schemas
 from sediment.functions.parsing import parse_timestamp
-from sediment.operators.coverage import coverage, missing
+from sediment.operators.coverage import coverage, gaps, missing
 from sediment.sinks.landing import append_payloads, land_days, land_snapshot, with_ingest_metadata
 from sediment.sinks.staging import staged
 from sediment.sources.landing import (
+    LANDED,
     is_json_object,
-    manifest,
-    manifest_changes,
     parse_payloads,
     parse_run_date,
     read_day,
     read_days,
     read_feed,
+    read_feed_days,
     read_payloads,
     read_snapshot,
     read_snapshots,
     split_payloads,
 )
+from sediment.sources.manifest import manifest, manifest_changes
 from tests.conftest import plan, rows
 
 DAY = datetime.date(2026, 6, 10)
@@ -155,15 +156,52 @@ def test_metadata_and_append(spark, tmp_path):
 
 
 def test_manifest_changes(spark, tmp_path):
-    write(tmp_path / "x" / "same.json", "1")
-    write(tmp_path / "x" / "edited.json", "1")
-    gone = spark.createDataFrame([("x/gone.json", 1, "00")], "path string, length long, sha256 string")
-    before = staged(manifest(spark, str(tmp_path / "x")).unionAll(gone))
-    write(tmp_path / "x" / "edited.json", "2")
-    write(tmp_path / "x" / "y" / "fresh.json", "1")
-    after = manifest(spark, str(tmp_path / "x"))
-    found = {r.path.rsplit("/", 1)[1]: r.change for r in manifest_changes(before, after).collect()}
-    assert found == {"edited.json": "changed", "fresh.json": "added", "gone.json": "removed"}
+    root = tmp_path / "x"
+    for name in ("year=2026/month=06/day=09", "year=2026/month=06/day=10", "year=2026/month=06/day=11"):
+        write(root / name / "one.json", "1\n2\n2\n")
+    before = staged(manifest(spark, str(root)))
+    assert {(r.folder, r.rows, r.bytes) for r in before.collect()} == {
+        (f"year=2026/month=06/day={day}", 3, 6) for day in ("09", "10", "11")
+    }
+    assert len({r.digest for r in before.collect()}) == 1
+    again = tmp_path / "y"
+    write(again / "year=2026/month=06/day=09" / "a.json", "2\n1")  # the same lines in two files
+    write(again / "year=2026/month=06/day=09" / "b.json", "2")
+    write(again / "year=2026/month=06/day=10" / "one.json", "1\n1\n2\n")  # another multiset of equal size
+    write(again / "year=2026/month=06/day=12" / "one.json", "")
+    write(again / "plain.json", "é")
+    assert rows(manifest_changes(before, manifest(spark, str(again)))) == [
+        ("", "added", None, 1),
+        ("year=2026/month=06/day=10", "changed", 3, 3),
+        ("year=2026/month=06/day=11", "removed", 3, None),
+    ]
+
+
+def test_gaps(spark):
+    days = lambda *numbers: [datetime.date(2026, 6, number) for number in numbers]
+    landed = [("london", d) for d in days(1, 2, 2, 5, 9, 30)] + [("oslo", d) for d in days(3)] + [(None, days(4)[0]), ("paris", None)]
+    expected = spark.createDataFrame([("london",), ("paris",), ("london",)], "city string")
+    landed = spark.createDataFrame(landed, "city string, at date")
+    first, last = days(1, 10)
+    assert rows(gaps(expected, landed, "city", "at", first, last)) == [
+        ("london", *days(3, 4), 2),
+        ("london", *days(6, 8), 3),
+        ("london", *days(10, 10), 1),
+        ("paris", *days(1, 10), 10),
+    ]
+    assert rows(gaps(expected.limit(0), landed, "city", "at", first, last)) == []
+
+
+def test_days_are_read_together_with_the_day_they_landed_under(spark, tmp_path):
+    root = f"{tmp_path}/{ORDERS.path}"
+    land_days(orders(spark, ("a", 9), ("b", 10), ("c", 12)), root, F.col("order_date"), ORDERS.timestamps)
+    dates = [datetime.date(2026, 6, day) for day in (9, 10, 11)]
+    found = read_feed_days(spark, str(tmp_path), ORDERS, dates)
+    assert rows(found.select("order_id", LANDED)) == [("a", dates[0]), ("b", dates[1])]
+    assert all("day=12" not in path for path in found.inputFiles())
+    assert read_feed_days(spark, str(tmp_path), ORDERS, dates[2:]).isEmpty()
+    with pytest.raises(AnalysisException):
+        read_feed_days(spark, f"{tmp_path}/nothing", ORDERS, dates)
 
 
 def test_coverage(spark):

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from sediment.operators import report
-from sediment.operators.keys import seen_keys
+from sediment.operators.keys import KeyFilter, key_filter, seen_keys
 from sediment.operators.upsert import MergePlan, MergeSpec, merge_upsert
+from sediment.plans import tables
+from sediment.queries.landed import landing_orders
+from sediment.sinks.tables import PartitionMerge, create_table, upsert
 from sediment.sources import conform
 from tests.conftest import SF_DIR, plan, rows
 
@@ -124,6 +127,37 @@ def test_hot_target_key_is_split_over_tasks(spark, small_partitions):
     assert "SortMergeJoin(skew=true)" in plan(merged, "simple")
 
 
+def test_upsert_looks_a_table_up_in_one_scan(spark, without_broadcast, namespace):
+    """One scan of key and folder, cut to the batch's range in the file; one exchange of its rows."""
+    table = create_table(spark, namespace, tables.ORDERS)
+    orders = landing_orders(spark, SF_DIR).withColumn("order_day", F.to_date("order_date"))
+    orders = orders.withColumn("order_id", F.col("order_id").cast("string"))
+    upsert(spark, table, orders, tables.ORDERS)
+    batch = orders.filter(F.col("order_id").between("200", "299")).withColumn("status", F.lit("x"))
+    merge = PartitionMerge(spark, table, batch, tables.ORDERS)
+    text = plan(merge.lookup(spark.table(table), whole_rows=False))
+    scans = [part for part in text.split("\n\n") if "Scan parquet" in part and "__default" not in part]
+    of_table = [part for part in scans if "order_day" in part and "Batched" in part and "PushedFilters" in part and namespace in part]
+    assert len(of_table) == 1
+    assert "GreaterThanOrEqual(order_id,2" in of_table[0] and "LessThanOrEqual(order_id,299)" in of_table[0]
+    assert "ReadSchema: struct<order_id:string>" in of_table[0]
+    assert "SortMergeJoin" in text and text.count("BroadcastExchange\n") == 1  # the words of the filter
+    assert merge.matched.count() == batch.count() > 0
+
+
+def test_key_filter_keeps_all_and_drops_most(spark):
+    every = spark.range(200_000).select(F.col("id").cast("string").alias("k"))
+    batch = every.filter("cast(k as int) % 40 = 0")
+    for source in (batch, batch.limit(1), spark.createDataFrame([("7",), (None,)], "k string")):
+        asked = key_filter(source, "k")
+        passed = asked.applied(every)
+        assert source.dropna().join(passed, "k", "left_anti").isEmpty()
+        assert passed.count() < 1.5 * source.count() + 0.03 * every.count()
+    assert key_filter(batch.filter("false"), "k") is None
+    bare = KeyFilter("k", "0", "~", None, 0)
+    assert bare.applied(every).count() == every.count()
+
+
 def test_merge_result_is_the_same_without_broadcast(spark, without_broadcast):
     target = spark.range(0, 300).select(F.col("id").alias("k"), F.lit(0).alias("v"))
     source = spark.range(200, 400).select(F.col("id").alias("k"), F.lit(1).alias("v"))
