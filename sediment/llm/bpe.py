@@ -15,7 +15,8 @@ corpus.
 
 Defined results: a null or empty text has no tokens and decodes to the empty string; special
 tokens written in a text become their ids, as in the library; repeated rows give equal rows;
-an id may be null.
+an id may be null; an empty table gives an empty result. A tokenizer file of another kind
+(`fits`) is left to the tokenizers library, without speculation. A text is held whole by one task.
 """
 
 from __future__ import annotations
@@ -33,6 +34,31 @@ from tokenizers import Tokenizer
 from sediment.llm.common import LARGE_CHUNK_BYTES, map_texts, narrowed, ranges, split_words, starts_of, sums
 
 REMEMBERED = 1_000_000
+
+# What a tokenizer file must say for words to be cut and joined as here.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_SPLIT = {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+FITTING = {
+    "normalizer": {"type": "Sequence", "normalizers": _NORMALIZERS},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]},
+    "post_processor": None,
+    "decoder": None,
+}
+FITTING_MODEL = {
+    "type": "BPE",
+    "dropout": None,
+    "unk_token": None,
+    "continuing_subword_prefix": None,
+    "byte_fallback": False,
+    "ignore_merges": False,
+}
+FITTING_SPECIAL = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
 NEVER = np.iinfo(np.int64).max
 
 
@@ -267,10 +293,8 @@ class Encoder:
         if len(self.words) > REMEMBERED:
             self.forget()
         found = split_words(texts)
-        _, first, chunk_of = np.unique(found.hashes, return_index=True, return_inverse=True)
-        buffer = found.buffer.tobytes()
-        bounds = zip(found.starts[first].tolist(), found.ends[first].tolist(), strict=True)
-        cut = self.cut([buffer[start:end] for start, end in bounds])
+        chunk_of = found.codes
+        cut = self.cut(found.distinct)
         flat = [word for words in cut for word in words]
         unknown = sorted(set(flat) - self.words.keys())
         if unknown:
@@ -291,14 +315,41 @@ class Encoder:
         return result
 
 
-_ENCODERS: dict[str, Encoder] = {}
+def fits(spec: dict) -> bool:
+    """Whether the file cuts and joins words as `Encoder` does, and has all bytes as tokens."""
+    suffix = spec["model"].get("end_of_word_suffix") or ""
+    return (
+        all(spec.get(name) == value for name, value in FITTING.items())
+        and all(spec["model"].get(name) == value for name, value in FITTING_MODEL.items())
+        and all(token[name] == value for token in spec["added_tokens"] for name, value in FITTING_SPECIAL.items())
+        and len(spec["added_tokens"]) > 0
+        and bool(suffix)
+        and all(c in spec["model"]["vocab"] and c + suffix in spec["model"]["vocab"] for c in byte_alphabet().values())
+    )
+
+
+class LibraryEncoder:
+    """Any other tokenizer file is left to the tokenizers library."""
+
+    def __init__(self, source: str) -> None:
+        self.library = Tokenizer.from_str(source)
+        self.library.no_padding()
+        self.library.no_truncation()
+
+    def encode_batch(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
+        found = self.library.encode_batch([text.decode("utf-8", "replace") for text in texts], add_special_tokens=False)
+        decoded = self.library.decode_batch([own.ids for own in found], skip_special_tokens=False)
+        return [(np.array(own.ids, "<u4").tobytes(), text.encode()) for own, text in zip(found, decoded, strict=True)]
+
+
+_ENCODERS: dict[str, Encoder | LibraryEncoder] = {}
 
 
-def encoder(source: str) -> Encoder:
+def encoder(source: str) -> Encoder | LibraryEncoder:
     """One encoder per worker process and tokenizer file."""
     key = hashlib.sha256(source.encode()).hexdigest()
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(source)
+        _ENCODERS[key] = Encoder(source) if fits(json.loads(source)) else LibraryEncoder(source)
     return _ENCODERS[key]
 
 

@@ -14,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,8 +92,11 @@ def map_texts(
 
 @dataclass
 class Words:
-    """The words of several texts: hash, place in the joined buffer, number per text."""
+    """The words of several texts: number among the distinct words, hash, place in the joined
+    buffer, number per text. Equal numbers mean equal bytes."""
 
+    codes: np.ndarray
+    distinct: list[bytes]
     hashes: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
@@ -107,7 +111,6 @@ class Words:
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(WHITESPACE)] = True
-_BYTE_VALUES = np.random.default_rng(20).integers(1, 2**63, 256, np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -126,19 +129,23 @@ def split_words(texts: Sequence[bytes]) -> Words:
     starts, ends = edges[::2], edges[1::2]
     text_ends = np.cumsum([len(text) + 1 for text in texts]) if texts else np.zeros(0, np.int64)
     counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
-    if not len(starts):
-        return Words(np.zeros(0, np.uint64), starts, ends, counts, buffer)
-    return Words(range_hashes(buffer, starts, ends), starts, ends, counts, buffer)
+    codes, distinct = coded_ranges(buffer, starts, ends)
+    return Words(codes, distinct, hashes_of(distinct)[codes], starts, ends, counts, buffer)
 
 
-def range_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range; ranges are in order, apart from each other and not empty."""
+def coded_ranges(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Number of each byte range among the distinct ones, and these; compared byte by byte."""
     lengths = ends - starts
-    held = buffer[ranges(starts, lengths)] if len(starts) else buffer[:0]
-    if not len(held):
-        return np.zeros(0, np.uint64)
-    values = _BYTE_VALUES[held] * powers(int(lengths.max()))[ranges(np.zeros(len(starts), np.int64), lengths)]
-    return mix(np.add.reduceat(values, starts_of(lengths)) + lengths.astype(np.uint64))
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+    held = np.ascontiguousarray(buffer[ranges(starts, lengths)]) if len(starts) else buffer[:0]
+    values = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """64-bit XXH3 of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def repeated(keys: np.ndarray) -> np.ndarray:

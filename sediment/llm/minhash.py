@@ -28,14 +28,15 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sediment.llm.common import arrow_map, grams, map_texts, mix, narrowed, split_words, starts_of
+from sediment.llm.common import arrow_map, grams, map_texts, mix, narrowed, quoted, split_words, starts_of
 from sediment.llm.components import components
 from sediment.sinks.staging import staged
 
@@ -43,7 +44,7 @@ SHINGLE = 5
 BINS = 128
 MISS = 4.3e-7
 EMPTY = np.uint64(2**64 - 1)
-SKETCHES = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
+SKETCHES = "doc_id long, row string, n_shingles long, s1 long, s2 long, bands array<long>"
 
 
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +126,7 @@ def _set_hashes(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def sketches(docs: DataFrame, percent: int) -> DataFrame:
-    """SKETCHES for a frame with doc_id and text."""
+    """SKETCHES for a frame with doc_id and text; `row` is the MD5 of the text."""
     rows, bands_held = banding(percent)
     size = max(BINS, rows * bands_held)
 
@@ -134,7 +135,8 @@ def sketches(docs: DataFrame, percent: int) -> DataFrame:
         s1, s2 = _set_hashes(keys, counts)
         bands = bucket_keys(similarity_sketches(keys, counts, size), rows, bands_held).view(np.int64)
         bands = pa.array([own if n else None for own, n in zip(list(bands), counts.tolist())], pa.list_(pa.int64()))
-        columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(s1), pa.array(s2), bands]
+        digests = pa.array([hashlib.md5(text).hexdigest() for text in texts])
+        columns = [batch.column(0), digests, pa.array(counts, pa.int64()), pa.array(s1), pa.array(s2), bands]
         yield pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in SKETCHES.split(", ")])
 
     return map_texts(docs, "text", run, SKETCHES)
@@ -311,11 +313,8 @@ def _sharing_rare(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFr
     )
 
 
-def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 85
-) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable by links), kept."""
-    source = narrowed(docs, doc_id=id_column, text=text_column)
+def _grouped(source: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Sketches, node -> component (None without buckets), and the classes of equal sets."""
     sketched = staged(sketches(source, percent))
     able = sketched.filter("n_shingles > 0 and doc_id is not null")
     classes = staged(able.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
@@ -325,7 +324,15 @@ def near_duplicates(
         .select(F.explode("bands").alias("band"), F.col("s1").alias("rep"), F.col("doc_id").alias("holder"))
         .distinct()
     )
-    found = linked_components(members, source, percent)
+    return sketched, linked_components(members, source.select("doc_id", "text"), percent), classes
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 85
+) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id reachable by links), kept."""
+    source = narrowed(docs, doc_id=id_column, text=text_column)
+    sketched, found, classes = _grouped(source, percent)
     rows = sketched.join(classes, ["s1", "s2"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep"), F.col("s1").alias("own")
     )
@@ -339,3 +346,32 @@ def near_duplicates(
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def one_of_each_group(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of `docs` (doc_id, text and others) that stay when one of each group of near
+    duplicates does, with all their columns.
+
+    Of a group the row with the smallest id stays, then with the smallest digest of its text, then
+    the first in order of its other columns, so also of rows that repeat id and text one stays.
+    Rows without an id or without a word are in no group and stay.
+    """
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    alone = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    dealt = docs.filter(~alone).withColumn("__digest", digest)
+    source = dealt.select("doc_id", "text")
+    sketched, found, _ = _grouped(source, percent)
+    node = F.col("s1")
+    if found is None:
+        groups = sketched.select("doc_id", "row", node.alias("group"))
+    else:
+        groups = sketched.join(found, node == F.col("node"), "left").select(
+            "doc_id", "row", F.coalesce("component", node).alias("group")
+        )
+    first = groups.groupBy("group").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    staying = first.select(F.col("first.doc_id").alias("__id"), F.col("first.row").alias("__row")).distinct()
+    met = dealt.join(staying, (F.col("doc_id") == F.col("__id")) & (F.col("__digest") == F.col("__row")), "left_semi")
+    others = [F.col(quoted(name)) for name in docs.columns if name not in ("doc_id", "text")]
+    rank = Window.partitionBy("doc_id", "__digest").orderBy(*(others or [F.lit(0)]))
+    one = met.withColumn("__rank", F.row_number().over(rank)).filter("__rank = 1").select(docs.columns)
+    return one.unionAll(docs.filter(alone))

@@ -14,7 +14,9 @@ forest, so what reaches the driver is bounded.
 
 Defined results: a null or empty text has no words and fails the word-count rule; without any
 labelled row of either kind, or when no threshold separates, the forests reject nothing;
-repeated rows are judged alike; labels of unknown documents and null labels are ignored.
+repeated rows are judged alike, and rows that share an id each by their own text; a null id is
+judged like any other and has no label; labels of unknown documents and null labels are ignored;
+an empty table gives an empty result. A text is held whole by one task.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import Words, arrow_map, map_texts, mix, narrowed, repeated, split_words
+from sediment.llm.common import Words, arrow_map, map_texts, mix, narrowed, quoted, repeated, split_words
 from sediment.sinks.staging import staged
 
 SYMBOLS = b"#*$%&|<>"
@@ -50,21 +52,27 @@ def repeated_words(words: Words) -> np.ndarray:
     return np.bincount(text[covered], minlength=len(words.counts)).astype(np.int64)
 
 
+def text_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
+    """The COUNTS of each text."""
+    words = split_words(texts)
+    lines = [[line for line in text.split(b"\n") if line.strip()] for text in texts]
+    columns = [
+        words.counts.astype(np.int64),
+        np.array([len(text.translate(None, NOT_COUNTED)) for text in texts], np.int64),
+        np.array([len(text) - len(text.translate(None, SYMBOLS)) for text in texts], np.int64),
+        np.array([len(own) for own in lines], np.int64),
+        np.array([len(own) - len(set(own)) for own in lines], np.int64),
+        repeated_words(words),
+    ]
+    return dict(zip(COUNTS, columns, strict=True))
+
+
 def rule_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id and the COUNTS of every row; n_lines counts lines with a word."""
 
     def measure(batch, texts):
-        words = split_words(texts)
-        lines = [[line for line in text.split(b"\n") if line.strip()] for text in texts]
-        columns = [
-            words.counts.astype(np.int64),
-            np.array([len(text.translate(None, NOT_COUNTED)) for text in texts], np.int64),
-            np.array([len(text) - len(text.translate(None, SYMBOLS)) for text in texts], np.int64),
-            np.array([len(own) for own in lines], np.int64),
-            np.array([len(own) - len(set(own)) for own in lines], np.int64),
-            repeated_words(words),
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], ["doc_id", *COUNTS])
+        counts = text_counts(texts)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(counts[name]) for name in COUNTS]], ["doc_id", *COUNTS])
 
     schema = "doc_id long, " + ", ".join(f"{name} long" for name in COUNTS)
     return map_texts(narrowed(docs, doc_id=id_column, text=text_column), "text", measure, schema)
@@ -223,17 +231,50 @@ def judged(
     `labels` has doc_id and quality (1 good, 0 bad). The forests are grown from documents that
     pass the base rules: what is rare among those is what they should find.
     """
+    return fitted(docs, labels, id_column, text_column, sample_rows, max_good_rejected, min_ratio).scored
+
+
+@dataclass
+class Fitted:
+    """The verdict on every document, and what it takes to judge a row again."""
+
+    scored: DataFrame
+    forests: list[IsolationForest]
+    thresholds: list[float]
+
+
+def sampled(statistics: DataFrame, rows: int) -> np.ndarray:
+    """COUNTS of at most `rows` documents that pass the base rules, those with the least hashes.
+
+    Only rows whose hash lies below a bound for about twice as many take part, and executors
+    put these in order, so what is sorted and what the driver gets do not grow with the table.
+    """
+    passed = statistics.filter("not base_failed")
+    total = passed.count()
+    if not total:
+        return np.zeros((0, len(COUNTS)))
+    share = min(1.0, 2 * (rows + 64) / total)
+    hashed = F.xxhash64("doc_id")
+    near = passed.filter(hashed <= F.lit(min(2**63 - 1, -(2**63) + int(share * 2**64))))
+    chosen = staged(near.orderBy(hashed, *COUNTS).limit(rows).select("doc_id", *COUNTS))
+    found = sorted(tuple(row)[1:] for row in chosen.collect())
+    return np.array(found, np.float64).reshape(-1, len(COUNTS))
+
+
+def fitted(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    sample_rows: int = 8192,
+    max_good_rejected: float = 0.002,
+    min_ratio: float = 200.0,
+) -> Fitted:
     statistics = staged(rule_statistics(docs, id_column, text_column).withColumn("base_failed", base_failed()))
-    sample = (
-        statistics.filter("not base_failed")
-        .orderBy(F.xxhash64("doc_id"), *COUNTS)
-        .limit(sample_rows)
-        .select(*COUNTS)
-        .collect()  # sample_rows rows of numbers
-    )
+    sample = sampled(statistics, sample_rows)
     forests = []
-    if sample:
-        points = features(dict(zip(COUNTS, np.array([tuple(row) for row in sample], np.float64).T, strict=True)))
+    if len(sample):
+        points = features(dict(zip(COUNTS, sample.T, strict=True)))
         forests = [IsolationForest.grown(points, trees=60)]
         forests += [IsolationForest.grown(points, only, trees=20) for only in range(points.shape[1])]
     scored = staged(forest_scores(statistics, forests))
@@ -241,4 +282,25 @@ def judged(
     anomalous = F.lit(False)
     for i, threshold in enumerate(thresholds):
         anomalous = anomalous | (F.col("scores")[i] >= threshold)
-    return scored.withColumn("kept", ~F.col("base_failed") & ~anomalous)
+    return Fitted(scored.withColumn("kept", ~F.col("base_failed") & ~anomalous), forests, thresholds)
+
+
+def kept_rows(docs: DataFrame, labels: DataFrame, text_column: str = "text", **options) -> DataFrame:
+    """The rows of `docs` that are kept, each judged by its own text, with all their columns.
+
+    Statistics and scores are computed again where the row lies, so no text is shuffled.
+    """
+    known = fitted(docs, labels, text_column=text_column, **options)
+    forests, thresholds = known.forests, np.array(known.thresholds)
+
+    def keep(batch, texts):
+        counts = text_counts(texts)
+        kept = (counts["n_words"] >= 50) & (100 * counts["n_repeat_words"] <= 50 * counts["n_words"])
+        if forests:
+            points = features(counts)
+            scores = np.column_stack([forest.scores(points) for forest in forests])
+            kept &= ~(scores >= thresholds).any(axis=1)
+        yield batch.filter(pa.array(kept))
+
+    schema = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema)
+    return map_texts(docs, text_column, keep, schema)

@@ -15,7 +15,7 @@ its windows cover.
 1. Anchors that one document alone holds are dropped; no window of theirs repeats elsewhere.
 2. A stretch that a document with a smaller id holds too is removed as a whole.
 3. For anchors with stretches that are alike only in part, the windows of one copy of each
-   distinct stretch are compared by 128-bit hashes: this is the verification word by word.
+   distinct stretch are compared by 128-bit hashes: this is the verification.
 4. Removed words are taken out of the documents, judged on the input.
 
 Counts and joins move hashes; hot names are combined on the map side or split by adaptive
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,7 +145,7 @@ def anchors(hashes: np.ndarray, counts: np.ndarray, window: int, rounds: int) ->
 
 
 class RangeHashes:
-    """128-bit hashes of any ranges of words."""
+    """128-bit hashes of short ranges of words: symbols and windows."""
 
     def __init__(self, hashes: np.ndarray) -> None:
         n = len(hashes) + 1
@@ -161,6 +162,15 @@ class RangeHashes:
         return tuple(mix((s[end] - s[start]) * self.inverse[start] + size).view(np.int64) for s in self.sums)
 
 
+def stretch_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two halves of the 128-bit XXH3 of each range of words. Stretches may be long, where sums of
+    powers modulo 2 ** 64 can be made to collide."""
+    held = memoryview(np.ascontiguousarray(hashes)).cast("B")
+    digests = [xxhash.xxh3_128_digest(held[a:b]) for a, b in zip((8 * start).tolist(), (8 * end).tolist(), strict=True)]
+    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+    return np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
+
+
 def anchor_rows(docs: DataFrame, window: int, rounds: int) -> DataFrame:
     """ANCHORS of a frame with doc_id, version and text: windows lo..hi share the anchor sym."""
 
@@ -175,7 +185,7 @@ def anchor_rows(docs: DataFrame, window: int, rounds: int) -> DataFrame:
         hashed = RangeHashes(words.hashes)
         start = (_START_BITS - (top[heads] & _START_BITS)).astype(np.int64)
         sym, _ = hashed.of(start, start + (top[heads] >> np.uint64(58)).astype(np.int64))
-        e1, e2 = hashed.of(lo, hi + window)
+        e1, e2 = stretch_hashes(words.hashes, lo, hi + window)
         which = pa.array(text[heads])
         columns = [
             batch.column(0).take(which),

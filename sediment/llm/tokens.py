@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
 from sediment.llm.bpe import MergeTable, byte_alphabet
-from sediment.llm.common import WHITESPACE, range_hashes, ranges, starts_of, sums
+from sediment.llm.common import WHITESPACE, coded_ranges, ranges, starts_of, sums
 
 # Fixed value: the pattern by which byte-level BPE cuts texts.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -77,9 +77,9 @@ class ByteLevelTokenizer:
         owner = np.searchsorted(text_ends, starts, side="right")
         ends = np.minimum(np.append(starts[1:], len(buffer))[: len(starts)], text_ends[owner])
         counts = np.bincount(owner, minlength=len(texts))
-        _, first, piece_of = np.unique(range_hashes(buffer, starts, ends), return_index=True, return_inverse=True)
-        piece_bytes = ends[first] - starts[first]
-        found = self.ids(buffer[ranges(starts[first], piece_bytes)].tobytes())
+        piece_of, pieces = coded_ranges(buffer, starts, ends)
+        piece_bytes = np.array([len(piece) for piece in pieces], np.int64)
+        found = self.ids(b"".join(pieces))
         piece_ends = np.searchsorted(np.cumsum(self.widths[found]), np.cumsum(piece_bytes)) + 1
         piece_starts = np.concatenate(([0], piece_ends))[:-1]
         widths = (piece_ends - piece_starts)[piece_of]
