@@ -1,17 +1,18 @@
 """From raw documents to packed sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir), where docs is what its predecessor kept, with the
-columns of `documents`, and returns what it keeps in the same columns; the last returns the
-pieces of documents with their places in sequences.
+columns of `documents` (others are left out), and returns what it keeps in the same columns; the
+last returns the pieces of documents with their places in sequences. An empty table gives an empty
+result in every stage.
 """
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.llm import line_dedup, minhash, packing, pii, quality
+from sediment.llm.queries import BYTE_BPE
 from sediment.sinks.staging import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,31 +25,42 @@ def _documents(rows: DataFrame, text: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules and the isolation forests."""
+    """Rows that pass the rules and the isolation forests, each judged by its own text.
+
+    A null text fails; repeated rows stay or go together; a null id is judged like any other.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    kept = quality.judged(docs, labels).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    return quality.kept_rows(docs.select(*COLUMNS), labels)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier document holds."""
-    return _documents(line_dedup.line_dedup(docs, carry=CARRIED), "kept_text")
+    """All documents, without the lines that an earlier document holds.
+
+    Null texts become empty; rows with a null id stay as they are; rows that share an id count as
+    one document and stay.
+    """
+    return _documents(line_dedup.line_dedup(docs.select(*COLUMNS), carry=CARRIED), "kept_text")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, linked from 0.8 on."""
-    kept = minhash.near_duplicates(docs, percent=80).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    """One row of each group of near duplicates, linked from 0.8 on: the one with the smallest id.
+
+    Of rows that repeat id and text one stays; rows with a null id or without a word all stay.
+    """
+    return minhash.one_of_each_group(docs.select(*COLUMNS), percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by the name of its kind."""
-    return _documents(pii.personal_data(docs, carry=CARRIED), "clean_text")
+    """All documents, with personal data replaced by the name of its kind; null texts become empty."""
+    return _documents(pii.personal_data(docs.select(*COLUMNS), carry=CARRIED), "clean_text")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their ids and places: doc_id, piece, start, length, ids, sequence_id, offset."""
-    return packing.best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Pieces of documents with their ids and places: doc_id, piece, start, length, ids, sequence_id, offset.
+
+    Null and empty texts give one piece, the end token; every row has pieces of its own.
+    """
+    return packing.best_fit_packing(docs.select(*COLUMNS), BYTE_BPE)
 
 
 STAGES = [
