@@ -41,6 +41,7 @@ from sediment.sinks.tables import (
 
 Aggregate = Callable[..., DataFrame]
 BEFORE_ALL_RUNS = "0"
+FACTS = (tables.ORDERS, tables.ORDER_ITEMS)
 OF_ORDERS = ((tables.DAILY_PARTS, parts.daily_parts), (tables.CUSTOMER_PARTS, parts.customer_parts))
 OF_ITEMS = ((tables.PRODUCT_PARTS, parts.product_parts),)
 
@@ -162,11 +163,11 @@ def run_by_deltas(
     merges = {
         spec.name: PartitionMerge(spark, full[spec.name], rows, spec, whole_rows=True)
         for spec, rows in sources
-        if spec.partitioning
+        if spec in FACTS
     }
     images = noted_images(spark, f"{namespace_location(spark, namespace)}/__images/{run}", merges)
     for spec, rows in sources:
-        if spec.partitioning:
+        if spec in FACTS:
             merges[spec.name].apply()
         else:
             upsert(spark, full[spec.name], rows, spec)

@@ -17,6 +17,8 @@ from sediment.sinks.staging import staged
 from sediment.sinks.tables import TableSpec, create_namespace, create_or_append, create_table, in_values, upsert
 from sediment.sources.landing import LANDED, read_feed_days, read_snapshot, read_snapshot_texts
 
+PRICE_DAY = "price_day"
+
 # In the order of tables.SILVER.
 FEEDS = (schemas.CUSTOMERS_FEED, schemas.PRODUCTS_FEED, schemas.ORDERS_FEED, schemas.ORDER_ITEMS_FEED)
 
@@ -123,15 +125,30 @@ def load_prices(
 
 
 def store_prices(
-    flat: DataFrame, table: str, skip_stored: bool = True, provider: str = "parquet"
+    flat: DataFrame, table: str, skip_stored: bool = True, provider: str = "parquet", by_day: bool = False
 ) -> None:
-    """Deduplicate flat price rows and append them to the price table."""
+    """Deduplicate flat price rows and append them to the price table.
+
+    `by_day` keeps the table in folders by the day of `timestamp` (column `price_day`). Rows
+    that are stored already are then looked for in the folders of the batch's days only, so a
+    batch of new prices meets a day of the table, and a late row the day it belongs to.
+    """
     spark = flat.sparkSession
     batch = prices.dedup(flat)
     create_namespace(spark, table.rsplit(".", 1)[0])
+    if by_day:
+        batch = batch.withColumn(PRICE_DAY, F.to_date("timestamp"))
     if skip_stored and spark.catalog.tableExists(table):
-        batch = prices.not_yet_stored(staged(batch), spark.table(table))
-    create_or_append(batch, table, provider)
+        batch = staged(batch)
+        stored = stored_days(spark, table, batch) if by_day else spark.table(table)
+        batch = prices.not_yet_stored(batch, stored)
+    create_or_append(batch, table, provider, PRICE_DAY if by_day else None)
+
+
+def stored_days(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame:
+    """The price table's folders for the days of a batch, which are few: bounded by the calendar."""
+    days = [row[0] for row in batch.select(PRICE_DAY).distinct().collect()]
+    return spark.table(table).filter(in_values(PRICE_DAY, days))
 
 
 def backfill(

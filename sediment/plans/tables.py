@@ -6,16 +6,21 @@ from sediment import schemas
 from sediment.operators.upsert import MergeSpec
 from sediment.sinks.tables import Partitioning, TableSpec
 
+# Folders of the dimension tables.
+BUCKETS = 32
+
 # Columns that are not listed keep the value of the first insert.
 CUSTOMERS = TableSpec(
     "customers",
     schemas.SILVER_CUSTOMERS,
     MergeSpec("customer_id", ("name", "email", "country", "updated_at")),
+    Partitioning.by_key("customer_bucket", BUCKETS),
 )
 PRODUCTS = TableSpec(
     "products",
     schemas.SILVER_PRODUCTS,
     MergeSpec("product_id", ("name", "category", "price", "inventory_count", "updated_at")),
+    Partitioning.by_key("product_bucket", BUCKETS),
 )
 ORDERS = TableSpec(
     "orders",

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sediment.operators import gold, report
 from sediment.queries import shapes
+from sediment.session import scratch_dir
+from sediment.sinks.tables import create_namespace, write_bucketed
 from sediment.sources import conform
 
 TOP = 20
+REPORT_BUCKETS = 16
 
 
 def gold_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +40,23 @@ def top_country_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.profile(
-        {name: conform.table(spark, sf_dir, name) for name in conform.TABLE_SCHEMAS}
+    """Counts from the file footers of all tables."""
+    return report.profile_files(spark, {name: f"{sf_dir}/{name}.parquet" for name in conform.TABLE_SCHEMAS})
+
+
+def country_category_copartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue report over copies of orders and items in buckets of order_id."""
+    root = scratch_dir(spark)
+    namespace = f"report_{root.rsplit('/', 1)[1]}"
+    create_namespace(spark, namespace, root)
+    copies = {"orders": conform.orders(spark, sf_dir), "order_items": conform.order_items(spark, sf_dir)}
+    for name, rows in copies.items():
+        write_bucketed(rows, f"{namespace}.{name}", "order_id", REPORT_BUCKETS, f"{root}/{name}")
+    return report.country_category_copartitioned(
+        spark.table(f"{namespace}.order_items"),
+        spark.table(f"{namespace}.orders"),
+        conform.customers(spark, sf_dir),
+        conform.products(spark, sf_dir),
     )
 
 
@@ -66,6 +84,7 @@ QUERIES = {
     "country_category_revenue": country_category_revenue,
     "top_country_category": top_country_category,
     "table_profile": table_profile,
+    "country_category_copartitioned": country_category_copartitioned,
 }
 
 ORACLES = {
@@ -73,6 +92,7 @@ ORACLES = {
     "gold_customer_metrics": shapes.customer_metrics(shapes.ORDERS),
     "gold_category_performance": shapes.category_performance(shapes.ORDER_ITEMS),
     "country_category_revenue": REVENUE_SQL,
+    "country_category_copartitioned": REVENUE_SQL,
     "top_country_category": f"""{REVENUE_SQL}
   order by total_revenue desc, total_units_sold desc, country, category limit {TOP}""",
     "table_profile": " union all ".join(

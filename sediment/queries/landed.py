@@ -6,13 +6,14 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sediment import schemas
 from sediment.functions.parsing import parse_timestamps
 from sediment.queries import shapes
 from sediment.session import scratch_dir
 from sediment.sinks.staging import staged
-from sediment.sinks.landing import append_payloads, land_days, land_snapshot, with_ingest_metadata
+from sediment.sinks.landing import append_payloads, land_days, land_snapshot, quarantine, with_ingest_metadata
 from sediment.sources import conform
 from sediment.sources.landing import (
     DAY_COLUMNS,
@@ -21,6 +22,7 @@ from sediment.sources.landing import (
     read_feed,
 )
 from sediment.sources.manifest import manifest, manifest_changes
+from sediment.sources.rescue import read_rescued
 
 RUN_DATE = datetime.date(1998, 3, 22)
 INGESTED_AT = "2026-06-10 06:30:00"
@@ -154,6 +156,43 @@ def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quarantined_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payloads as they lie in quarantine, with the rows of their verdict that the write counted."""
+    root = scratch_dir(spark)
+    counts = quarantine(payload_texts(spark, sf_dir), root)
+    counted = F.when(F.col("verdict") == "accepted", counts["accepted"]).otherwise(counts["rejected"])
+    return spark.read.parquet(root).select(
+        "feed", "id", F.length("payload").cast("bigint").alias("characters"), "verdict", counted.cast("bigint").alias("counted")
+    )
+
+
+RESCUE_SCHEMA = StructType().add("event_id", "long").add("event_type", "string").add("value", "double").add("at", "timestamp")
+
+
+def rescued_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as text lines with faults: wrong types, unknown fields, lines cut off, blank lines."""
+    number = F.col("event_id") % 10
+    whole = F.to_json(
+        F.struct(
+            "event_id",
+            F.when(number == 1, F.lit(None)).otherwise(F.col("event_type")).alias("event_type"),
+            F.when(number == 2, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"),
+            F.when(number == 3, F.col("user_id")).alias("user id"),
+        )
+    )
+    # Numbers stand unquoted, as a feed would write them.
+    plain = F.regexp_replace(whole, r'"value":"([0-9.eE+-]+)"', r'"value":$1')
+    line = F.when(number == 4, F.substring(plain, 1, 20)).when(number == 5, F.concat(plain, F.lit(" {}"))).otherwise(plain)
+    root = scratch_dir(spark)
+    conform.table(spark, sf_dir, "events").select(
+        F.concat(line, F.when(number == 6, "\n \t").otherwise("")).alias("value")
+    ).write.text(root)
+    rows = read_rescued(spark, root, RESCUE_SCHEMA)
+    entries = F.transform(F.map_entries("rescued"), lambda held: F.concat(held["key"], F.lit("="), held["value"]))
+    return without_zone(rows.withColumn("rescued", F.array_join(F.array_sort(entries), ";")))
+
+
 def _landed_day():
     """The day of a manifest's folder."""
     digits = F.regexp_extract_all("folder", F.lit(r"=(\d+)"), F.lit(1))
@@ -199,6 +238,8 @@ QUERIES = {
     "reject_split": reject_split,
     "landing_manifest": landing_manifest,
     "manifest_changes": landing_changes,
+    "quarantined_payloads": quarantined_payloads,
+    "rescued_events": rescued_events,
 }
 
 _ORDERS_SQL = f"""
@@ -248,6 +289,28 @@ ORACLES = {
   from (select 'events' as feed, event_id as id, props as payload from events
         union all select 'documents', doc_id, text from documents
         union all select 'pages', page_id, html from pages)""",
+    "quarantined_payloads": """
+  select feed, id, length(payload) as characters, verdict, count(*) over (partition by verdict) as counted
+  from (select feed, id, payload,
+               case when payload is not null and json_valid(payload) and json_type(payload) = 'OBJECT'
+                    then 'accepted' else 'rejected' end as verdict
+        from (select 'events' as feed, event_id as id, props as payload from events
+              union all select 'documents', doc_id, text from documents
+              union all select 'pages', page_id, html from pages))""",
+    "rescued_events": """
+  with lines as (
+    select event_id, event_id % 10 as k, event_type, value, ts, user_id,
+           '{"event_id":' || event_id || case when event_id % 10 = 1 then '' else ',"event_type":"' || event_type || '"' end
+           || ',"value":' || value || ',"at":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"}' as plain
+    from events
+  )
+  select case when k not in (4, 5) then event_id end as event_id,
+         case when k not in (1, 4, 5) then event_type end as event_type,
+         case when k not in (2, 4, 5) then value end as value,
+         case when k not in (4, 5) then date_trunc('second', ts) end as at,
+         case k when 2 then 'value=n/a' when 3 then 'user id=' || user_id when 4 then '_line=' || substr(plain, 1, 20)
+                when 5 then '_line=' || plain || ' {}' end as rescued
+  from lines""",
     "landing_manifest": f"""
   select cast(order_date as date) as landed_day, count(*) as rows, cast(sum(octet_length(encode(line)) + 1) as bigint) as bytes,
          {_DIGEST_SQL} as digest

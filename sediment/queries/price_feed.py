@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.operators import prices
-from sediment.plans.jobs import load_prices, store_prices
+from sediment.plans.jobs import PRICE_DAY, load_prices, store_prices
 from sediment.queries.landed import without_zone
 from sediment.session import scratch_dir
 from sediment.sinks.tables import create_namespace, create_or_append
 from sediment.sources import conform
 from sediment.sources.landing import read_snapshots
+from sediment.streaming.incremental import append_new_snapshots
 
 # The coins that prices_flatten_known states; its feed holds no others.
 ENTITIES = ("click", "error", "purchase", "signup", "view")
@@ -34,12 +35,16 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.groupBy("ts").pivot("event_type").agg(F.max(metrics))
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> str:
-    root = scratch_dir(spark)
+def _land(spark: SparkSession, sf_dir: str, root: str, condition: Column) -> None:
     day = {"year": "yyyy", "month": "MM", "day": "dd"}
-    wide = snapshots(spark, sf_dir)
+    wide = snapshots(spark, sf_dir).filter(condition)
     folders = wide.withColumns({name: F.date_format("ts", text) for name, text in day.items()})
-    folders.drop("ts").hint("rebalance", *day).write.partitionBy(*day).json(root)
+    folders.drop("ts").hint("rebalance", *day).write.mode("append").partitionBy(*day).json(root)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_dir(spark)
+    _land(spark, sf_dir, root, F.lit(True))
     return root
 
 
@@ -64,6 +69,22 @@ def prices_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(spark.table(f"{namespace}.crypto_prices"))
 
 
+def prices_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price table, in folders by day, after two runs of the stream.
+
+    The first run finds the days before 2024-01-16. Then all days land, the early ones again, and
+    the second run meets late rows that it must not store a second time.
+    """
+    root, home = scratch_dir(spark), scratch_dir(spark)
+    namespace = f"prices_{home.rsplit('/', 1)[1]}"
+    create_namespace(spark, namespace, home)
+    table, progress = f"{namespace}.crypto_prices", scratch_dir(spark)
+    for early_only in (True, False):
+        _land(spark, sf_dir, root, F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz") if early_only else F.lit(True))
+        append_new_snapshots(spark, root, table, ENTITIES, progress, by_day=True).awaitTermination()
+    return without_zone(spark.table(table).drop(PRICE_DAY))
+
+
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = conform.table(spark, sf_dir, "events")
     return events.select(
@@ -118,6 +139,7 @@ QUERIES = {
     "prices_flatten": prices_flatten,
     "prices_flatten_known": prices_flatten_known,
     "prices_job": prices_job,
+    "prices_stream": prices_stream,
     "prices_dedup": prices_dedup,
     "create_or_append_prices": create_or_append_prices,
     "append_new_prices": append_new_prices,
@@ -149,14 +171,17 @@ def _first_sql(where: str, order: str) -> str:
 
 _EARLY, _LATE = "ts < timestamp '2024-01-20'", "ts >= timestamp '2024-01-10'"
 
-ORACLES = {
-    "prices_flatten": _FLAT_SQL,
-    "prices_flatten_known": f"select * from ({_FLAT_SQL}) where timestamp is not null",
-    "prices_job": f"""
+_JOB_SQL = f"""
   select * from ({_FLAT_SQL})
   qualify row_number() over (
     partition by coin_id, timestamp
-    order by price_usd nulls last, market_cap_usd nulls last, volume_24h_usd nulls last, change_24h_percent nulls last) = 1""",
+    order by price_usd nulls last, market_cap_usd nulls last, volume_24h_usd nulls last, change_24h_percent nulls last) = 1"""
+
+ORACLES = {
+    "prices_flatten": _FLAT_SQL,
+    "prices_flatten_known": f"select * from ({_FLAT_SQL}) where timestamp is not null",
+    "prices_job": _JOB_SQL,
+    "prices_stream": _JOB_SQL,
     "prices_dedup": _first_sql("true", "event_id"),
     "create_or_append_prices": f"""
   select * exclude (ts) from ({_HOURLY_SQL}) where {_EARLY}

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment import schemas
+from sediment.operators import report
 from sediment.plans import tables
 from sediment.plans.deltas import run_by_deltas
 from sediment.plans.jobs import backfill, bronze_to_silver
@@ -146,6 +147,14 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_columns(spark, namespace, tables.GOLD)
 
 
+def namespace_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table that the run leaves in its namespace; a temporary view is not among them."""
+    namespace = _fresh_namespace(spark)
+    bronze_to_silver(spark, _land(spark, sf_dir), namespace, RUN_DATES)
+    spark.table(f"{namespace}.orders").createOrReplaceTempView("orders_of_the_run")
+    return report.profile_namespace(spark, namespace).drop("column_count")
+
+
 def gold_by_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same tables after three runs that add each delivery's changes to the stored parts."""
     namespace, landing = _fresh_namespace(spark), _land(spark, sf_dir)
@@ -179,6 +188,7 @@ QUERIES = {
     "silver_tables": silver_tables,
     "gold_tables": gold_tables,
     "gold_by_deltas": gold_by_deltas,
+    "namespace_profile": namespace_profile,
     "incremental_orders": incremental_orders,
     "orders_by_day_partition": orders_by_day_partition,
 }
@@ -226,6 +236,11 @@ ORACLES = {
   from ({shapes.ORDER_ITEMS}) i join ({shapes.ORDERS}) o on i.order_id = o.order_id""",
     "gold_tables": _GOLD_SQL,
     "gold_by_deltas": _GOLD_SQL,
+    "namespace_profile": """
+  select 'customers' as table_name, count(*) as row_count from customer
+  union all select 'products', count(*) from part
+  union all select 'orders', count(*) from orders
+  union all select 'order_items', count(*) from lineitem""",
     "backfill_three_days": f"""
   select 'gold_daily_sales' as table_name, cast(order_date as varchar) as group_key,
          total_revenue as amount, cancelled_orders_count as quantity

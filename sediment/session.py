@@ -5,7 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +49,22 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(name, value)
 
 
+@contextmanager
+def configured(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings that hold inside the block only; what is planned and run in it sees them."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 @functools.cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="sediment-")

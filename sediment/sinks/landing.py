@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sediment.functions.parsing import print_timestamps
-from sediment.sources.landing import DAY_COLUMNS
+from sediment.operators.keys import quoted
+from sediment.sources.landing import DAY_COLUMNS, is_json_object
+
+VERDICT = "verdict"
 
 # Fixed value: text form of a snapshot's UTC time.
 SNAPSHOT_TIME_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
@@ -48,6 +51,22 @@ def append_payloads(df: DataFrame, root: str, taken_at: Column) -> None:
     _with_day_folders(marked, taken_at).write.mode("append").partitionBy(*DAY_COLUMNS).json(root)
 
 
+def quarantine(payloads: DataFrame, root: str, column: str = "payload") -> dict[str, int]:
+    """Append the payload rows below `root`, JSON objects in verdict=accepted, the rest in verdict=rejected.
+
+    One pass: every payload is parsed once, and the rows of each verdict are counted while they
+    are written. Returns these counts.
+    """
+    accepted = is_json_object(F.col(quoted(column)))
+    counts = Observation()
+    marked = payloads.withColumn(VERDICT, F.when(accepted, "accepted").otherwise("rejected"))
+    seen = marked.observe(
+        counts, *[F.count_if(F.col(VERDICT) == name).alias(name) for name in ("accepted", "rejected")]
+    )
+    seen.write.mode("append").partitionBy(VERDICT).parquet(root)
+    return counts.get
+
+
 def with_ingest_metadata(
     payloads: DataFrame, city: Column, ingested_at: Column, execution_date: datetime.date | Column
 ) -> DataFrame:

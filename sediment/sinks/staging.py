@@ -2,32 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 
-from sediment.session import scratch_dir
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
+from sediment.session import configured, scratch_dir
 
-@contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Writes inside drop their shuffle files as soon as they are committed.
-
-    Otherwise these stay on the executors' disks until the driver happens to collect its
-    garbage; a job of many staged steps would hold the shuffles of all of them at once.
-    """
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+# Writes drop their shuffle files as soon as they are committed. Otherwise these stay on the
+# executors' disks until the driver happens to collect its garbage, and a job of many staged
+# steps would hold the shuffles of all of them at once.
+FREED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def staged(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
@@ -38,6 +20,6 @@ def staged(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
     of the returned frame, by default that of the given one.
     """
     path = scratch_dir(df.sparkSession)
-    with shuffles_freed(df.sparkSession):
+    with configured(df.sparkSession, FREED):
         df.write.parquet(path)
     return (reader or df.sparkSession).read.schema(df.schema).parquet(path)

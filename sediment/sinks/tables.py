@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Collection
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +39,17 @@ class Partitioning:
 
     column: str
     data_type: str = "DATE"
+    buckets: int | None = None
+
+    @classmethod
+    def by_key(cls, column: str, buckets: int) -> Partitioning:
+        """Folders by the hash of the merge key, for tables that arrive as whole snapshots.
+
+        Each row carries a fingerprint of the columns that a match overwrites. An upsert first
+        compares keys and fingerprints, and only rows that are new or differ go on, so that the
+        folders without any of them stay as they are.
+        """
+        return cls(column, "INT", buckets)
 
 
 @dataclass(frozen=True)
@@ -74,6 +85,8 @@ def create_table(spark: SparkSession, namespace: str, spec: TableSpec, provider:
     layout = ""
     if provider == "parquet":
         root = namespace_location(spark, namespace)
+        if spec.partitioning and spec.partitioning.buckets:
+            columns.append(f"{FINGERPRINT} BINARY")
         if spec.partitioning:
             columns.append(f"{quoted(spec.partitioning.column)} {spec.partitioning.data_type}")
             layout = f" PARTITIONED BY ({quoted(spec.partitioning.column)})"
@@ -84,12 +97,17 @@ def create_table(spark: SparkSession, namespace: str, spec: TableSpec, provider:
     return table
 
 
-def create_or_append(df: DataFrame, table: str, provider: str = "parquet") -> None:
-    """Create the table from the frame's own schema, or append to it by column name."""
+def create_or_append(df: DataFrame, table: str, provider: str = "parquet", folder: str | None = None) -> None:
+    """Create the table from the frame's own schema, or append to it by column name.
+
+    `folder` names a column that the table is partitioned by.
+    """
     if df.sparkSession.catalog.tableExists(table):
-        df.write.format(provider).mode("append").saveAsTable(table)
+        writer = df.write.format(provider).mode("append")
+        (writer.partitionBy(folder) if folder else writer).saveAsTable(table)
     else:
-        df.writeTo(table).using(provider).tableProperty("write.format.default", "parquet").create()
+        new = df.writeTo(table).using(provider).tableProperty("write.format.default", "parquet")
+        (new.partitionedBy(F.col(quoted(folder))) if folder else new).create()
 
 
 def _next_location(spark: SparkSession, table: str) -> str:
@@ -116,6 +134,21 @@ def mark_of(spark: SparkSession, table: str) -> str:
     return folder.partition("-")[2]
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, location: str) -> None:
+    """A copy of the frame in buckets of the key, one sorted file per bucket.
+
+    Two tables with the same key and number of buckets are joined on it without a shuffle.
+    """
+    (
+        df.repartition(buckets, F.col(quoted(key)))
+        .write.bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", location)
+        .format("parquet")
+        .saveAsTable(table)
+    )
+
+
 def replace_partitions(df: DataFrame, table: str, column: str, values: Collection) -> None:
     """Write new content for the listed partitions; all other partitions are untouched."""
     spark = df.sparkSession
@@ -123,7 +156,7 @@ def replace_partitions(df: DataFrame, table: str, column: str, values: Collectio
     df.hint("rebalance", column).write.partitionBy(column).parquet(location)
     for value in values:
         folder = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-        literal = "null" if value is None else f"DATE '{value}'"
+        literal = "null" if value is None else str(value) if isinstance(value, int) else f"DATE '{value}'"
         spark.sql(
             f"ALTER TABLE {table} PARTITION ({quoted(column)} = {literal}) "
             f"SET LOCATION '{location}/{column}={folder}'"
@@ -158,8 +191,8 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, spec: TableSpec)
         spark.catalog.dropTempView(view)
         return None
     if spec.partitioning is None:
-        # Snapshots and gold results: the source is about as large as the table and its key
-        # is the table's primary key, so one pass over both is the shortest plan.
+        # Gold results: the source is about as large as the table, its key is the table's
+        # primary key and every row differs, so one pass over both is the shortest plan.
         target = spark.table(table)
         incoming = staged(aligned(source, target))
         replace_table(merge_upsert(target, incoming, spec.merge, MergePlan.ONE_PASS), table)
@@ -168,6 +201,18 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, spec: TableSpec)
 
 
 SIGN = "sign"
+FINGERPRINT = "row_fingerprint"
+
+
+def bucketed(source: DataFrame, spec: TableSpec) -> DataFrame:
+    """The source with the folder and the fingerprint of each row."""
+    key, held = F.col(quoted(spec.merge.key)), [F.col(quoted(name)) for name in spec.merge.update]
+    return source.withColumns(
+        {
+            spec.partitioning.column: F.pmod(F.xxhash64(key), F.lit(spec.partitioning.buckets)).cast("int"),
+            FINGERPRINT: F.unhex(F.md5(F.to_json(F.struct(*held)).cast("binary"))),
+        }
+    )
 
 
 class PartitionMerge:
@@ -182,16 +227,29 @@ class PartitionMerge:
     def __init__(
         self, spark: SparkSession, table: str, source: DataFrame, spec: TableSpec, whole_rows: bool = False
     ) -> None:
-        self.spark, self.table, self.spec = spark, table, spec
+        self.spark, self.table, self.spec, self.merge = spark, table, spec, spec.merge
         target = spark.table(table)
         self.columns = target.columns
+        if spec.partitioning.buckets:
+            self.merge = replace(spec.merge, update=(*spec.merge.update, FINGERPRINT))
+            source = bucketed(aligned(source, target.select(spec.schema.names)), spec)
         self.incoming = staged(aligned(source, target))
-        self.unique, self.inserts = split_source(target, self.incoming, spec.merge, repeatable=True)
+        self.unique, self.inserts = split_source(target, self.incoming, self.merge, repeatable=True)
+        if spec.partitioning.buckets:
+            self.unique = staged(self.differing(target))
         self.matched = staged(self.lookup(target, whole_rows))
 
+    def differing(self, target: DataFrame) -> DataFrame:
+        """Source rows that are new, or of which any stored row has another fingerprint."""
+        key, stamp = F.col(quoted(self.merge.key)), F.col(FINGERPRINT)
+        held = target.filter(key.isNotNull()).groupBy(key).agg(F.min(stamp).alias("least"), F.max(stamp).alias("most"))
+        same = (F.col("least") == stamp) & (F.col("most") == stamp)
+        alike = self.unique.join(held, self.merge.key).filter(same).select(key)
+        return self.unique.join(alike, self.merge.key, "left_anti").select(self.columns)
+
     def lookup(self, target: DataFrame, whole_rows: bool) -> DataFrame:
         """The matched rows of the table, with key and folder or with all columns."""
-        key = self.spec.merge.key
+        key = self.merge.key
         names = self.columns if whole_rows else [key, self.spec.partitioning.column]
         held = target.select([F.col(quoted(name)) for name in names])
         asked = key_filter(self.unique, key)
@@ -201,7 +259,7 @@ class PartitionMerge:
 
     def fresh(self) -> DataFrame:
         """The rows to insert: keys that the table does not hold, and what was set aside."""
-        key = self.spec.merge.key
+        key = self.merge.key
         seen = self.matched.select(F.col(quoted(key))).distinct()
         new = self.unique.join(seen, key, "left_anti").select(self.columns)
         return new.unionAll(self.inserts.select(self.columns))
@@ -209,7 +267,7 @@ class PartitionMerge:
     def images(self) -> DataFrame:
         """Rows that the upsert takes away (sign -1: as they were) and adds (sign 1: as they will
         be). A matched row that stays as it is has none. Needs `whole_rows`, before `apply`."""
-        merge = self.spec.merge
+        merge = self.merge
         incoming = self.unique.select(
             F.col(quoted(merge.key)), *[F.col(quoted(name)).alias(f"__new_{name}") for name in merge.update]
         )
@@ -237,9 +295,10 @@ class PartitionMerge:
         touched = _partition_values(self.matched, column)
         if touched:
             old = self.spark.table(self.table).filter(in_values(column, touched))
-            replace_partitions(update_matched(old, self.unique, self.spec.merge), self.table, column, touched)
+            replace_partitions(update_matched(old, self.unique, self.merge), self.table, column, touched)
         self.fresh().hint("rebalance", column).write.insertInto(self.table)
-        return touched | _partition_values(self.incoming, column)
+        changed = self.unique.unionAll(self.inserts.select(self.columns)) if self.spec.partitioning.buckets else self.incoming
+        return touched | _partition_values(changed, column)
 
 
 def _partition_values(df: DataFrame, column: str) -> set:

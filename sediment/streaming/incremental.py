@@ -70,16 +70,20 @@ def append_new_snapshots(
     checkpoint: str,
     one_object_per_file: bool = False,
     provider: str = "parquet",
+    by_day: bool = False,
 ) -> StreamingQuery:
     """Start a run that appends the prices of snapshot files not seen before, whatever their coins.
 
     A snapshot without one of `entities` gives a row of NULLs for it.
-    Prices the table already holds are left out, so a repeated batch appends nothing.
+    Prices the table already holds are left out, so a repeated batch appends nothing. With
+    `by_day` they are looked for in the folders of the batch's days, however old (`store_prices`).
     """
     snapshots = spark.readStream.option("wholetext", one_object_per_file).text(root)
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        store_prices(flatten_text(staged(batch.select("value"), spark), entities), table, provider=provider)
+        store_prices(
+            flatten_text(staged(batch.select("value"), spark), entities), table, provider=provider, by_day=by_day
+        )
 
     return (
         snapshots.writeStream.foreachBatch(append_batch)

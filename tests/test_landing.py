@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from sediment import schemas
 from sediment.functions.parsing import parse_timestamp
 from sediment.operators.coverage import coverage, gaps, missing
-from sediment.sinks.landing import append_payloads, land_days, land_snapshot, with_ingest_metadata
+from sediment.sinks.landing import append_payloads, land_days, land_snapshot, quarantine, with_ingest_metadata
 from sediment.sinks.staging import staged
 from sediment.sources.landing import (
     LANDED,
@@ -26,6 +26,7 @@ from sediment.sources.landing import (
     split_payloads,
 )
 from sediment.sources.manifest import manifest, manifest_changes
+from sediment.sources.rescue import read_rescued, with_rescued
 from tests.conftest import plan, rows
 
 DAY = datetime.date(2026, 6, 10)
@@ -177,6 +178,56 @@ def test_manifest_changes(spark, tmp_path):
     ]
 
 
+def test_quarantine_takes_one_job(spark, tmp_path):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(OBJECTS + OTHERS)], "n int, payload string").repartition(3)
+    tracker, group = spark.sparkContext.statusTracker(), f"quarantine {tmp_path}"
+    spark.sparkContext.setJobGroup(group, "one write")
+    try:
+        counts = quarantine(df, str(tmp_path / "q"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup(group)) <= 2  # the repartition's own stage may be a job of adaptive execution
+    assert counts == {"accepted": len(OBJECTS), "rejected": len(OTHERS)}
+    landed = spark.read.parquet(str(tmp_path / "q"))
+    assert {r["payload"] for r in landed.filter("verdict = 'accepted'").collect()} == set(OBJECTS)
+    assert landed.filter("verdict = 'rejected'").count() == len(OTHERS)
+    assert quarantine(df.limit(0), str(tmp_path / "none")) == {"accepted": 0, "rejected": 0}
+
+
+RESCUE = StructType().add("q", "integer").add("u", "double").add("t", "timestamp").add("o", StructType().add("x", "long")).add("a b", "string")
+
+
+@pytest.mark.parametrize(
+    "line, typed, rescued",
+    [
+        ('{"q":3,"u":1.5,"a b":"x"}', (3, 1.5, None, None, "x"), None),
+        ('{"q":"three","u":1}', (None, 1.0, None, None, None), {"q": "three"}),
+        ('{"q":2.7,"u":null,"new":{"k":[1,2]}}', (None, None, None, None, None), {"q": "2.7", "new": '{"k":[1,2]}'}),
+        ('{"t":"not a time","o":{"x":4}}', (None, None, None, (4,), None), {"t": "not a time"}),
+        ('{"o":[1]}', (None, None, None, None, None), {"o": "[1]"}),
+        ('{"Q":3}', (None, None, None, None, None), {"Q": "3"}),
+        ("{}", (None,) * 5, None),
+        ('{"q":3', (None,) * 5, {"_line": '{"q":3'}),
+        ('{"q":3} x', (None,) * 5, {"_line": '{"q":3} x'}),
+        ('[{"q":3}]', (None,) * 5, {"_line": '[{"q":3}]'}),
+        ("12", (None,) * 5, {"_line": "12"}),
+        ("é", (None,) * 5, {"_line": "é"}),
+    ],
+)
+def test_rescued_fields(spark, line, typed, rescued):
+    df = spark.createDataFrame([(7, line), (8, " \t"), (9, None)], "n int, value string")
+    (row,) = with_rescued(df, RESCUE).collect()
+    assert row[0] == 7 and tuple(row)[1:-1] == typed and row[-1] == rescued
+
+
+def test_rescued_rows_equal_the_permissive_reader(spark, tmp_path):
+    write(tmp_path / "day=1" / "f.json", '{"q":3,"u":"x"}\nnot json\n\n{"q":2.7,"u":1}\n{"q":3.0}\n')
+    schema = StructType().add("q", "integer").add("u", "double")
+    found = read_rescued(spark, str(tmp_path), schema)
+    assert found.columns == ["day", "q", "u", "rescued"]
+    assert rows(found.select("q", "u")) == rows(read_snapshot(spark, str(tmp_path), schema).select("q", "u"))
+
+
 def test_gaps(spark):
     days = lambda *numbers: [datetime.date(2026, 6, number) for number in numbers]
     landed = [("london", d) for d in days(1, 2, 2, 5, 9, 30)] + [("oslo", d) for d in days(3)] + [(None, days(4)[0]), ("paris", None)]

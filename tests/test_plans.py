@@ -9,6 +9,8 @@ from sediment.operators.keys import KeyFilter, key_filter, seen_keys
 from sediment.operators.upsert import MergePlan, MergeSpec, merge_upsert
 from sediment.plans import tables
 from sediment.queries.landed import landing_orders
+from sediment.session import configured
+from sediment.sinks.staging import staged
 from sediment.sinks.tables import PartitionMerge, create_table, upsert
 from sediment.sources import conform
 from tests.conftest import SF_DIR, plan, rows
@@ -145,6 +147,40 @@ def test_upsert_looks_a_table_up_in_one_scan(spark, without_broadcast, namespace
     assert merge.matched.count() == batch.count() > 0
 
 
+def test_copartitioned_lines_meet_their_orders_without_an_exchange(spark, without_broadcast):
+    lines = plan(entry.queries()["country_category_copartitioned"](spark, SF_DIR), "simple").split("\n")
+    (start,) = [n for n, line in enumerate(lines) if "SortMergeJoin [order_id" in line]
+    depth = lines[start].index("SortMergeJoin")
+    below = [line for line in lines[start + 1 :] if line.strip()]
+    own = below[: next((n for n, line in enumerate(below) if len(line) - len(line.lstrip(" :+-")) <= depth), len(below))]
+    assert sum("Bucketed: true" in line for line in own) == 2
+    assert not any("Exchange" in line for line in own)
+
+
+def test_profile_reads_footers_only(spark):
+    paths = {name: f"{SF_DIR}/{name}.parquet" for name in ("orders", "documents")}
+    with configured(spark, report.FROM_FOOTERS):
+        text = plan(report._counted_files(spark, paths))
+    assert text.count("PushedAggregation: [COUNT(*)]") == 2
+    assert "ReadSchema: struct<count(*):bigint>" in text
+    assert rows(report.profile_files(spark, paths)) == [
+        (name, spark.read.parquet(path).count(), len(spark.read.parquet(path).columns)) for name, path in sorted(paths.items())
+    ]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_staged_frames_leave_no_shuffle_files(spark, tmp_path):
+    import glob
+
+    shuffled = spark.range(200_000).repartition(5, "id")
+    count = lambda: len(glob.glob(f"{spark.conf.get('spark.local.dir', '/tmp')}/blockmgr-*/*/shuffle_*"))
+    before = count()
+    frame = staged(shuffled)
+    assert count() == before
+    assert frame.count() == 200_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def test_key_filter_keeps_all_and_drops_most(spark):
     every = spark.range(200_000).select(F.col("id").cast("string").alias("k"))
     batch = every.filter("cast(k as int) % 40 = 0")

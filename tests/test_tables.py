@@ -14,7 +14,7 @@ from sediment.operators import gold, report
 from sediment.operators.fold import fold_days
 from sediment.operators.upsert import MergeConflict, MergeSpec
 from sediment.plans import tables
-from sediment.plans.jobs import backfill, bronze_to_silver, silver_to_gold
+from sediment.plans.jobs import backfill, bronze_to_silver, silver_to_gold, store_prices, stored_days
 from sediment.sinks.tables import PartitionMerge, create_or_append, create_table, merge_statement, upsert
 from sediment.streaming import incremental
 from sediment.streaming.incremental import merge_new_days
@@ -355,6 +355,57 @@ def test_images_are_the_difference_that_an_upsert_makes(spark, namespace):
     assert len(images) == 4  # a: away and back; d and the row without a key: in; b stays
 
 
+def test_snapshot_rewrites_changed_buckets_only(spark, namespace):
+    """One in a hundred rows changes: files of buckets without such a row stay."""
+    table = create_table(spark, namespace, tables.CUSTOMERS)
+    schema = schemas.SILVER_CUSTOMERS
+    people = [(f"C{i}", f"n{i}", f"e{i}", "US", AT(2026, 1, 1), AT(2026, 6, 10)) for i in range(1000)]
+    upsert(spark, table, spark.createDataFrame(people, schema), tables.CUSTOMERS)
+
+    def files():
+        held = spark.table(table).select("customer_bucket", F.col("_metadata.file_path").alias("file")).distinct()
+        return {row[0]: row[1] for row in held.collect()}
+
+    before = files()
+    assert len(before) == tables.BUCKETS
+    changed = [(k, n, e, "FR" if i % 100 == 7 else c, AT(2026, 2, 2), u) for i, (k, n, e, c, _, u) in enumerate(people)]
+    new = ("C1000", "n", None, None, AT(2026, 2, 2), None)
+    touched = upsert(spark, table, spark.createDataFrame([*changed, new], schema), tables.CUSTOMERS)
+    held = spark.table(table).filter("country = 'FR' or customer_id = 'C1000'").select("customer_bucket").distinct()
+    assert touched == {row[0] for row in held.collect()} and len(touched) <= 11
+    old_files = {b: f for b, f in before.items() if b not in touched}
+    assert old_files.items() <= files().items() and len(old_files) >= tables.BUCKETS - 11
+    expected = [(*row[:3], "FR" if i % 100 == 7 else "US", row[4], row[5]) for i, row in enumerate(people)]  # first sign-up stays
+    assert rows(spark.table(table).select(schema.names)) == sorted([*expected, new])
+    assert upsert(spark, table, spark.createDataFrame([*changed, new], schema), tables.CUSTOMERS) == set()
+
+
+def test_snapshot_of_repeated_keys(spark, namespace):
+    """As in any upsert: inserted while the table lacks them, a conflict or a plain update later."""
+    table = create_table(spark, namespace, tables.PRODUCTS)
+    schema = schemas.SILVER_PRODUCTS
+    row = lambda key, name, price=1.0: (key, name, "c", price, 1, None)
+    upsert(spark, table, spark.createDataFrame([row("p", "one"), row("p", "two"), row(None, "x"), row("q", None)], schema), tables.PRODUCTS)
+    with pytest.raises(MergeConflict):
+        upsert(spark, table, spark.createDataFrame([row("p", "one"), row("p", "three")], schema), tables.PRODUCTS)
+    upsert(spark, table, spark.createDataFrame([row("p", "one"), row("q", None)], schema), tables.PRODUCTS)
+    found = spark.table(table).select("product_id", "name")
+    assert rows(found) == [(None, "x"), ("p", "one"), ("p", "one"), ("q", None)]
+
+
+def test_prices_are_looked_for_in_the_days_of_the_batch(spark, namespace):
+    schema = "coin_id string, price_usd double, timestamp timestamp"
+    table, at = f"{namespace}.prices", lambda day: AT(2026, 6, day, 3)
+    first = [("a", 1.0, at(1)), ("a", 2.0, at(2)), ("b", None, None), ("a", 9.0, at(2))]
+    store_prices(spark.createDataFrame(first, schema), table, by_day=True)
+    late = spark.createDataFrame([("a", 7.0, at(1)), ("b", 7.0, at(1)), ("a", 3.0, at(3)), ("b", 5.0, None)], schema)
+    days = stored_days(spark, table, late.withColumn("price_day", F.to_date("timestamp")))
+    assert all("price_day=2026-06-02" not in path for path in days.inputFiles()) and days.count() == 2
+    store_prices(late, table, by_day=True)
+    stored = [("a", 1.0, at(1)), ("a", 2.0, at(2)), ("a", 3.0, at(3)), ("b", None, None), ("b", 7.0, at(1))]
+    assert rows(spark.table(table).select("coin_id", "price_usd", "timestamp")) == sorted(stored, key=lambda r: (r[0], r[1] is not None, str(r[1])))
+
+
 def test_upsert_of_nothing(spark, namespace):
     table = create_table(spark, namespace, tables.ORDERS)
     schema = spark.table(table).schema
