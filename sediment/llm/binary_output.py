@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from sediment.llm.common import arrow_map, as_bytes, narrowed, slices
+from sediment.llm.common import arrow_map, as_bytes, byte_lengths, narrowed, slices
 from sediment.llm.tokens import piece_bounds, shared_source, tokenizer
 
 SCHEMA = (
@@ -137,9 +137,9 @@ def packed_rows(
         number = TaskContext.get().partitionId() << 32
         doc_ids, documents, held = [], [], 0
         for batch in batches:
-            texts, own_ids = as_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
-            for start, end in slices(texts):
-                found = tokenizer(source.value).encode_batch(texts[start:end], end_id)
+            texts, own_ids = batch.column("text"), batch.column("doc_id").to_pylist()
+            for start, end in slices(byte_lengths(texts)):
+                found = tokenizer(source.value).encode_batch(as_bytes(texts.slice(start, end - start)), end_id)
                 if not wide and max(int(own.max()) for own in found) >= 1 << 16:
                     raise ValueError("this vocabulary needs wide=True")
                 doc_ids += own_ids[start:end]

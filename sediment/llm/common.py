@@ -14,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,16 +38,20 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(texts: Sequence[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+def byte_lengths(column: pa.Array) -> list[int]:
+    return pc.fill_null(pc.binary_length(column), 0).to_pylist()
+
+
+def slices(lengths: Sequence[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges of about `limit` bytes, at least one text each."""
     start = held = 0
-    for i, text in enumerate(texts):
-        if i > start and held + len(text) > limit:
+    for i, length in enumerate(lengths):
+        if i > start and held + length > limit:
             yield start, i
             start, held = i, 0
-        held += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        held += length
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 _SHIPPED: set[str] = set()
@@ -79,13 +84,16 @@ def map_texts(
     schema: str,
     limit: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Run a function over the rows of a frame, about `limit` bytes of text at a time."""
+    """Run a function over the rows of a frame, about `limit` bytes of text at a time.
+
+    Only the texts of one slice become Python objects at once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column(column))
-            for start, end in slices(texts, limit):
-                yield from per_slice(batch.slice(start, end - start), texts[start:end])
+            for start, end in slices(byte_lengths(batch.column(column)), limit):
+                piece = batch.slice(start, end - start)
+                yield from per_slice(piece, as_bytes(piece.column(column)))
 
     return arrow_map(docs, run, schema)
 

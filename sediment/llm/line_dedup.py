@@ -70,8 +70,10 @@ def line_dedup(
 ) -> DataFrame:
     """doc_id, kept_text, n_lines (before), n_dropped, and the columns named by `carry`."""
     keys = staged(line_keys(docs, id_column, text_column, min_chars))
+    # Staged, so that both sides of the join are plain shuffles and a hot line can be split.
+    repeated = staged(repeated_keys(keys, min_documents))
     found = (
-        keys.join(repeated_keys(keys, min_documents), ["h1", "h2"])
+        keys.join(repeated, ["h1", "h2"])
         .filter("doc_id > first_doc")
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("h1", "h2")).alias("drops"))

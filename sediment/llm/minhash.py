@@ -15,7 +15,8 @@ texts may share that id. Inside a bucket not all pairs are formed: the member wi
 fewest shingles of its own, the most central one, is compared with the others on full sets,
 and verified links join components. Where a bucket's members are still in different
 components, what may link them is found by their rarest shingles (`_sharing_rare`), which
-loses no pair, and verified as well. So a large group of near copies needs about one
+loses no pair; signatures of 1024 bits rule out most of them before full sets are joined, and the
+rest is verified as well. So a large group of near copies needs about one
 comparison a member, and no link between components is lost.
 
 Shingles are 64-bit hashes; sets are compared by their hashes and classes by 128 bits.
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,7 @@ SHINGLE = 5
 BINS = 128
 MISS = 4.3e-7
 EMPTY = np.uint64(2**64 - 1)
+WORDS = 16  # 64-bit words of a set's signature
 SKETCHES = "doc_id long, row string, n_shingles long, s1 long, s2 long, bands array<long>"
 
 
@@ -143,15 +146,36 @@ def sketches(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """node (half of the set's hash) and shingles (binary, sorted 64-bit hashes)."""
+    """node (half of the set's hash), shingles (binary, sorted 64-bit hashes) and signature: one of
+    its bits is set for each shingle."""
 
     def run(batch, texts):
         keys, counts = shingle_sets(texts)
         held, ends = keys.astype("<u8").tobytes(), 8 * np.cumsum(counts)
         sets = [held[end - 8 * n : end] for end, n in zip(ends.tolist(), counts.tolist())]
-        yield pa.RecordBatch.from_arrays([pa.array(_set_hashes(keys, counts)[0]), pa.array(sets, pa.binary())], ["node", "shingles"])
+        bits = np.zeros((len(texts), 64 * WORDS), bool)
+        bits[np.repeat(np.arange(len(texts)), counts), (keys % np.uint64(64 * WORDS)).astype(np.int64)] = True
+        words = np.packbits(bits, axis=1).view(np.int64)
+        columns = [_set_hashes(keys, counts)[0], pa.array(sets, pa.binary()), pa.array(list(words), pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0]), *columns[1:]], ["node", "shingles", "signature"])
 
-    return map_texts(docs, "text", run, "node long, shingles binary")
+    return map_texts(docs, "text", run, "node long, shingles binary, signature array<long>")
+
+
+def still_possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signatures allow the similarity: a bit that only one signature has stands
+    for at least one shingle that only its set has. Spares most pairs the join of full sets."""
+    thin = sets.select("node", F.expr("length(shingles) div 8").alias("n"), "signature").dropDuplicates(["node"])
+    left = thin.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("bits_a"))
+    right = thin.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("bits_b"))
+
+    def alone(one: str, other: str):
+        parts = [F.bit_count(F.get(one, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(i))))) for i in range(WORDS)]
+        return reduce(lambda x, y: x + y, parts)
+
+    common = F.least(F.col("n_a") - alone("bits_a", "bits_b"), F.col("n_b") - alone("bits_b", "bits_a"))
+    joined = pairs.join(left, "a").join(right, "b").withColumn("most", common)
+    return joined.filter(100 * F.col("most") >= percent * (F.col("n_a") + F.col("n_b") - F.col("most"))).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -185,7 +209,7 @@ def _exploded(sets: DataFrame) -> DataFrame:
             owner = batch.column("node").take(pa.array(np.repeat(np.arange(len(held)), counts)))
             yield pa.RecordBatch.from_arrays([owner, pa.array(np.frombuffer(b"".join(held), "<i8"))], ["node", "shingle"])
 
-    return arrow_map(sets, explode, "node long, shingle long")
+    return arrow_map(sets.select("node", "shingles"), explode, "node long, shingle long")
 
 
 def shared_sizes(sets: DataFrame) -> DataFrame:
@@ -258,7 +282,8 @@ def linked_components(members: DataFrame, docs: DataFrame, percent: int) -> Data
     unsettled = staged(labelled.join(split, "band").select("rep", "component").distinct())
     if unsettled.isEmpty():
         return found
-    rest = staged(_sharing_rare(unsettled, sets, percent).join(pairs, ["a", "b"], "left_anti"))
+    rest = _sharing_rare(unsettled, sets, percent).join(pairs, ["a", "b"], "left_anti")
+    rest = staged(still_possible(rest, sets, percent))
     return components(links.union(verified(rest, sets, percent)))
 
 

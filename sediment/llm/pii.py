@@ -4,25 +4,34 @@ The base patterns find e-mail addresses, IP addresses, card numbers and phone nu
 field labels every candidate of a document: the base spans, whose labels are given, and looser
 matches (groups of 7 to 19 digits with any separators, addresses spelled with "(at)" and
 "(dot)"). A run of such groups is cut at base spans, and where groups inside it end with the
-digits of a found number, these are candidates instead of the whole run. Its potentials are log-linear and trained on the corpus, with the base labels as the
-teacher: how often a shape of candidate bears a label, which labels follow each other, and how
-far candidates with the same key agree (the last seven digits, or the normalised address).
-A loose candidate that shares a key with a base span is counted under the label of that span.
-What a shape says against a label is bounded below what one repeat says for it, so whether a
-repeat is found does not depend on how many documents there are.
-Neighbours in the text share the chain potential. Every loose candidate shares the skip
-potential with each base span of its key, however far apart and however many, and with one hub
-of its key, which the base spans inform as well and which makes the repeats agree. Message
-passing runs until the messages settle; a loose candidate that repeats something found becomes
-a span of its kind. Only candidates
-that share a key with a base span can: a number that merely repeats itself adds nothing.
+digits of a found number, these are candidates instead of the whole run. Its potentials are
+log-linear and trained on the corpus, with the base labels as the teacher: how often a shape of
+candidate bears a label, which labels follow each other, and how far candidates with the same
+key agree (the last seven digits, or the normalised address).
+
+How two candidates of one key are tied depends on how similar they are. A loose number repeats a
+base span if its digits before those that both share are none, or zeros (a trunk prefix), or
+two or three more than the whole base span has (a country code). Other digits contradict it: the
+two end alike by chance, and the potential speaks against the label, as strongly as base spans
+of one key rarely contradict each other.
+
+A loose candidate that repeats a base span is counted under the label of that span. What a
+shape says against a label is bounded below what one repeat says for it, so whether a repeat is
+found does not depend on how many documents there are. Neighbours in the text share the chain
+potential. Every loose candidate is tied to each base span of its key, however far apart and
+however many; those that repeat one also to one hub of the key, which the base spans inform as
+well and which makes the repeats agree. Message passing runs until the messages settle (a field
+that does not within MOST_ROUNDS raises an error); a loose candidate that repeats something
+found becomes a span of its kind. Only candidates that share a key with a base span can: a
+number that merely repeats itself adds nothing.
 
 Training counts over all documents; what reaches the driver is a table of shapes and labels.
 Texts are read twice and nothing is shuffled but those counts.
 
 Defined results: a null or empty text has no spans; base spans are returned whatever the field
-says, also where kinds overlap; added spans overlap no base span; repeated rows give equal
-rows; an id may be null; an empty table gives an empty result.
+says, also where kinds overlap; added spans overlap no base span; of kinds that share a key
+equally often the first in the order of KINDS counts; repeated rows give equal rows; an id may be
+null; an empty table gives an empty result. A text is held whole by one task.
 """
 
 from __future__ import annotations
@@ -48,6 +57,7 @@ MOST_ROUNDS, CLOSE = 500, 1e-4  # message passing ends when no message moves by
 CHAIN = 0.5  # largest chain potential: a neighbour moves the odds of two labels by twice that
 MARGIN = 0.5
 LEAST_DIGITS, MOST_DIGITS, KEY_DIGITS = 7, 19, 7
+COUNTRY_DIGITS = 3  # of the longest country code
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 # A match that fails from the first digit of a group fails from its others: start only there.
@@ -69,6 +79,7 @@ class Candidate(NamedTuple):
     end: int
     shape: str
     key: str
+    digits: str  # empty for an address
 
 
 def digits_of(text: str) -> str:
@@ -127,14 +138,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def shape_and_key(text: str) -> tuple[str, str]:
-    """What the field knows of a candidate: a coarse shape, and the key that repeats share."""
+def shape_and_key(text: str) -> tuple[str, str, str]:
+    """What the field knows of a candidate: a coarse shape, the key that repeats share, its digits."""
     digits = digits_of(text)
     if "@" in text or SPELLED_AT.search(text):
         address = SPELLED_DOT.sub(".", SPELLED_AT.sub("@", text)).lower()
-        return "address", "@" + address
+        return "address", "@" + address, ""
     groups = len(re.findall(r"[0-9]+", text))
-    return f"digits {min(len(digits), MOST_DIGITS)} groups {min(groups, 5)}", digits[-KEY_DIGITS:]
+    return f"digits {min(len(digits), MOST_DIGITS)} groups {min(groups, 5)}", digits[-KEY_DIGITS:], digits
+
+
+def repeats(loose: str, base: str) -> bool:
+    """Whether a loose number of the same key can be another way to write the base span."""
+    shared = len(os.path.commonprefix([loose[::-1], base[::-1]]))
+    before, base_before = loose[: len(loose) - shared], base[: len(base) - shared]
+    return not before.strip("0") or (not base_before and len(before) <= COUNTRY_DIGITS)
 
 
 def _numbers(text: str, start: int, end: int, found: dict[str, list[str]]) -> list[tuple[int, int]]:
@@ -203,22 +221,43 @@ def candidates(text: str) -> list[Candidate]:
 
 
 def key_groups(nodes: list[Candidate]) -> tuple[dict[str, Counter], dict[str, list[int]]]:
-    """By key: the kinds of its base spans, and the positions of its loose candidates."""
+    """By key: kind and digits of its base spans, and the positions of its loose candidates."""
     found: dict[str, Counter] = {}
     loose: dict[str, list[int]] = {}
     for i, node in enumerate(nodes):
         if node.kind == OTHER:
             loose.setdefault(node.key, []).append(i)
         else:
-            found.setdefault(node.key, Counter())[node.kind] += 1
+            found.setdefault(node.key, Counter())[node.kind, node.digits] += 1
     return found, loose
 
 
+def kinds_of(spans: Counter) -> Counter:
+    """How many base spans of each kind."""
+    kinds: Counter = Counter()
+    for (kind, _), held in spans.items():
+        kinds[kind] += held
+    return kinds
+
+
+def tied(node: Candidate, spans: Counter) -> tuple[Counter, Counter]:
+    """Of the base spans of a loose candidate's key, the kinds that it repeats and contradicts."""
+    alike = Counter({span: held for span, held in spans.items() if repeats(node.digits, span[1])})
+    return kinds_of(alike), kinds_of(spans - alike)
+
+
 def taught(nodes: list[Candidate]) -> list[int]:
     """The labels that training counts: of a loose candidate the most frequent kind of the base
-    spans with its key, or OTHER without one."""
-    main = {key: kinds.most_common(1)[0][0] for key, kinds in key_groups(nodes)[0].items()}
-    return [main.get(node.key, OTHER) if node.kind == OTHER else node.kind for node in nodes]
+    spans that it repeats, or OTHER without one."""
+    found = key_groups(nodes)[0]
+
+    def label(node: Candidate) -> int:
+        if node.kind != OTHER or node.key not in found:
+            return node.kind
+        alike, _ = tied(node, found[node.key])
+        return max(sorted(alike), key=alike.__getitem__) if alike else OTHER
+
+    return [label(node) for node in nodes]
 
 
 @dataclass
@@ -229,6 +268,7 @@ class Field:
     unseen: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    against: float = -3.0  # what a base span says for its own kind to a candidate that contradicts it
 
     def labels(self, nodes: list[Candidate]) -> list[int]:
         """The label of every candidate by loopy belief propagation; base labels are given."""
@@ -246,11 +286,20 @@ class Field:
         pairs = [(i, i + 1) for i in range(len(nodes) - 1)]
         spokes = []
         for hub, (key, own) in enumerate(loose.items(), len(nodes)):
-            for kind, held in found.get(key, {}).items():
-                unary[[*own, hub]] += held * self.skip[kind]
-            spokes += [(i, hub) for i in own]
+            spans = found.get(key, Counter())
+            for kind, held in kinds_of(spans).items():
+                unary[hub] += held * self.skip[kind]
+            for i in own:
+                alike, contrary = tied(nodes[i], spans)
+                for kind, held in alike.items():
+                    unary[i] += held * self.skip[kind]
+                if alike or not spans:
+                    spokes.append((i, hub))
+                else:
+                    for kind in contrary:
+                        unary[i, kind] += self.against
         potentials = np.concatenate([np.tile(self.chain, (len(pairs), 1, 1)), np.tile(self.skip, (len(spokes), 1, 1))])
-        a, b = np.array(pairs + spokes, np.int64).T
+        a, b = np.array(pairs + spokes, np.int64).reshape(-1, 2).T
         # One message each way along every edge: sources, targets, potential from source to target.
         source, target = np.concatenate([a, b]), np.concatenate([b, a])
         potential = np.concatenate([potentials, potentials.transpose(0, 2, 1)])
@@ -262,9 +311,11 @@ class Field:
             before = belief[source] - messages[back]
             sent = np.logaddexp.reduce(before[:, :, None] + potential, axis=1)
             sent -= np.logaddexp.reduce(sent, axis=1, keepdims=True)
-            if np.abs(sent - messages).max() < CLOSE:
+            if np.abs(sent - messages).max(initial=0.0) < CLOSE:
                 break
             messages = 0.5 * messages + 0.5 * sent  # damped: the graph has loops
+        else:
+            raise ArithmeticError(f"messages did not settle in {MOST_ROUNDS} rounds")
         belief = unary.copy()
         np.add.at(belief, target, messages)
         best = belief[: len(nodes)].argmax(axis=1)
@@ -272,6 +323,12 @@ class Field:
         return kinds.tolist()
 
 
+def contradictions(spans: Counter) -> int:
+    """How many base spans contradict the most frequent one of their key and kind."""
+    (kind, digits), _ = max(spans.items(), key=lambda own: (own[1], own[0]))
+    return sum(n for (k, d), n in spans.items() if k == kind and not repeats(d, digits) and not repeats(digits, d))
+
+
 def trained(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Field:
     """Count shapes, neighbours and agreement of repeats over all documents."""
 
@@ -283,9 +340,12 @@ def trained(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
                 labels = taught(nodes)
                 counts.update(("shape", node.shape, label) for node, label in zip(nodes, labels))
                 counts.update(("chain", str(x), y) for x, y in zip(labels, labels[1:]))
-                for kinds in key_groups(nodes)[0].values():  # of base spans with one key
+                for spans in key_groups(nodes)[0].values():  # of base spans with one key
+                    kinds = kinds_of(spans)
                     counts["skip", "", 1] += max(kinds.values()) - 1
                     counts["skip", "", 0] += kinds.total() - max(kinds.values())
+                    counts["spelling", "", 1] += max(spans.values()) - 1
+                    counts["spelling", "", 0] += contradictions(spans)
         rows = [(*what, n) for what, n in counts.items()]
         columns = list(zip(*rows)) if rows else [[], [], [], []]
         types = [pa.string(), pa.string(), pa.int64(), pa.int64()]
@@ -297,14 +357,14 @@ def trained(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     partial = arrow_map(source, run, "part string, value string, label long, n long")
     rows = partial.groupBy("part", "value", "label").agg(F.sum("n").alias("n")).collect()  # shapes x labels
     shapes: dict[str, np.ndarray] = {}
-    chain, agreement = np.ones((LABELS, LABELS)), np.ones(2)
+    chain, agreement, spelling = np.ones((LABELS, LABELS)), np.ones(2), np.ones(2)
     for part, value, label, n in rows:
         if part == "shape":
             shapes.setdefault(value, np.ones(LABELS))[label] += n
         elif part == "chain":
             chain[int(value), label] += n
         else:
-            agreement[label] += n
+            (agreement if part == "skip" else spelling)[label] += n
     follows = np.log(chain / chain.sum(axis=1, keepdims=True)) - np.log(chain.sum(axis=0) / chain.sum())
     weight = float(np.clip(np.log(agreement[1] / agreement[0]), 3.0, 8.0))
     # Both neighbours and the shape together stay below one repeat.
@@ -314,6 +374,7 @@ def trained(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         np.log(np.full(LABELS, 1 / LABELS)),
         np.clip(follows, -CHAIN, CHAIN),
         weight * np.eye(LABELS),
+        float(np.clip(np.log(spelling[0] / spelling[1]), -8.0, -3.0)),
     )
 
 

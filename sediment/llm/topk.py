@@ -9,8 +9,9 @@ Equal scores go to the smaller id, so the walk goes on while the bound equals th
 The best k of each block and query meet in one ranking per query.
 
 Defined results: components are floor(scale * x) with x as double; vectors that are null or
-hold a null or non-finite component, and rows without an id, take no part; vectors are compared
-with those of the same length; rows that repeat id and vector count once; rows that share the
+hold a null or non-finite component, and rows without an id, take no part; components so large
+that a score could pass 64 bits raise OverflowError; vectors are compared with those of the same
+length; rows that repeat id and vector count once; rows that share the
 query's id are not its candidates; an empty table gives an empty result.
 """
 
@@ -104,7 +105,14 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score. `query_condition` is over the column vec_id."""
     rows = staged(integer_vectors(vectors, id_column, vector_column, scale))
-    total, asked = rows.agg(F.count(F.lit(1)), F.count_if(query_condition)).first()
+    total, asked, largest, longest = rows.agg(
+        F.count(F.lit(1)),
+        F.count_if(query_condition),
+        F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))),
+        F.max(F.size("v")),
+    ).first()
+    if longest and longest * (int(largest or 0) + 1) ** 2 >= 2**63:
+        raise OverflowError("components are too large for 64-bit scores")
     blocks, parts = max(1, -(-total // block_rows)), max(1, -(-asked // query_rows))
 
     def dealt(own: str, own_number: int, other: str, other_number: int, source: DataFrame) -> DataFrame:
@@ -130,7 +138,7 @@ def top_k(
                 found, score = lists.best(query_id, query, k)
                 query_ids += [query_id] * len(found)
                 ids += found.tolist()
-                scores += [max(min(int(x), 2**63 - 1), -(2**63)) for x in score]
+                scores += [int(x) for x in score]
         columns = [pa.array(column, pa.int64()) for column in (query_ids, ids, scores)]
         return pa.Table.from_arrays(columns, ["query_id", "vec_id", "score"])
 

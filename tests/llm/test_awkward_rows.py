@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sediment.llm import bpe, common, minhash, packing, quality, queries, recompression
+from sediment.llm import bpe, common, minhash, packing, pii, quality, queries, recompression
 from tests.conftest import SF_DIR
 from tests.llm import brute
 
@@ -191,3 +191,59 @@ def test_digest_of_texts_is_the_one_that_spark_computes(spark):
     found = {r["doc_id"]: r["row"] for r in minhash.sketches(docs.select("doc_id", "text"), 80).collect()}
     assert found == {1: hashlib.md5("é\x00x".encode()).hexdigest(), 2: hashlib.md5(b"").hexdigest()}
     assert docs.select(F.md5(F.col("text").cast("binary"))).collect()
+
+
+def test_digits_that_contradict_a_found_number_are_no_repeat(spark):
+    """Numbers that end like a found one by chance, beside numbers that are other ways to write it."""
+    text = "+1 (017) 555-7713 order 2026-00445557713, ref 88 5557713; 017 555 7713, 555 7713, 0017 5557713, 001 017 555 7713"
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    field = pii.trained(docs.union(spark.createDataFrame([(-1, text)], docs.schema)))
+    nodes = pii.candidates(text)
+    assert [text[n.start : n.end] for n in nodes][1:3] == ["2026-00445557713", "88 5557713"]
+    assert field.labels(nodes) == [3, pii.OTHER, pii.OTHER, 3, 3, 3, 3]
+    assert field.against <= -3
+    many = "+1 (017) 555-7713" + "; 88 5557713; 017 555 7713" * 40
+    assert field.labels(pii.candidates(many)) == [3, *[pii.OTHER, 3] * 40]
+
+
+@pytest.mark.parametrize(
+    "loose, base, same",
+    [
+        ("0175557713", "10175557713", True), ("5557713", "10175557713", True), ("0301234567", "49301234567", True),
+        ("0049301234567", "49301234567", True), ("49301234567", "301234567", True), ("885557713", "10175557713", False),
+        ("202649301234567", "49301234567", False), ("20260301234567", "301234567", False), ("", "", True),
+    ],
+)
+def test_ways_to_write_a_number(loose, base, same):
+    assert pii.repeats(loose, base) is same
+
+
+def test_form_letters_are_ruled_out_by_signatures(spark, monkeypatch):
+    """Letters of one form, hardly any pair linked: few pairs may reach the full comparison."""
+    made = np.random.default_rng(4)
+    form, choices = [f"w{i}" for i in range(200)], [f"c{i}" for i in range(4)]
+    letters = {}
+    for number in range(400):
+        own = list(form)
+        for slot in range(16):
+            own[6 + 12 * slot] = f"{choices[made.integers(4)]}s{slot}"
+        letters[number] = " ".join(own)
+    counted, verified = [], minhash.verified
+
+    def counting(pairs, sets, percent):
+        counted.append(pairs.count())
+        return verified(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "verified", counting)
+    docs = spark.createDataFrame(list(letters.items()), "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs).collect()}
+    assert found == brute.near_duplicates(letters)
+    assert sum(counted) < 20 * len(letters)
+
+
+def test_scores_beyond_64_bits_raise(spark):
+    from sediment.llm import topk
+
+    far = spark.createDataFrame([(0, [1e300]), (1, [2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(OverflowError):
+        topk.top_k(far, F.col("vec_id") == 0)
