@@ -133,6 +133,41 @@ ranked AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+OP5_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id,
+           [w FOR w IN string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x20\x09-\x0D]+') IF w <> ''] AS words
+    FROM documents
+),
+shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, md5(array_to_string(words[i.i:i.i + 4], ' ')) AS shingle
+    FROM split, LATERAL (SELECT unnest(range(1, greatest(len(words) - 3, least(len(words), 1) + 1))) AS i) i
+),
+sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS MATERIALIZED (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+),
+both_ways AS MATERIALIZED (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reached.doc_id, both_ways.b FROM reached JOIN both_ways ON both_ways.a = reached.other
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 OP7_SQL = r"""
 WITH lines AS (
     SELECT doc_id, position, line, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -335,6 +370,7 @@ QUERIES = {
 ORACLES = {
     "op2_warc": OP2_SQL,
     "op3_exact_top_k": OP3_SQL,
+    "op5_near_duplicates": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
     "op10_substring_dedup": OP10_SQL,
     "op11_collocations": OP11_SQL,
