@@ -119,13 +119,14 @@ def backfill_three_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_columns(spark: SparkSession, namespace: str, specs) -> DataFrame:
-    """Every row and column of the tables, one under the other; columns a table lacks are NULL."""
-    frames = [
-        without_zone(spark.table(f"{namespace}.{spec.name}").select(spec.schema.names)).withColumn(
-            "table_name", F.lit(spec.name)
-        )
-        for spec in specs
-    ]
+    """Every row and column of the tables, one under the other; columns a table lacks are NULL; dates as text."""
+
+    def rows(spec) -> DataFrame:
+        held = without_zone(spark.table(f"{namespace}.{spec.name}").select(spec.schema.names))
+        dates = {f.name: F.col(f.name).cast("string") for f in held.schema.fields if f.dataType.typeName() == "date"}
+        return held.withColumns({"table_name": F.lit(spec.name), **dates})
+
+    frames = [rows(spec) for spec in specs]
     return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), frames)
 
 
@@ -208,7 +209,8 @@ LAST_DELIVERY_SQL = f"""
   select order_id, customer_id + 1 from ({shapes.ORDERS}) where {_AGAIN}"""
 _RUN_AT_SQL = f"timestamp '{_run_at(RUN_DATES[-1])}' as updated_at"
 _GOLD_SQL = f"""
-  select 'gold_daily_sales' as table_name, *, {_RUN_AT_SQL} from ({shapes.daily_sales(FINAL_ORDERS_SQL)})
+  select 'gold_daily_sales' as table_name, * replace (cast(order_date as varchar) as order_date), {_RUN_AT_SQL}
+  from ({shapes.daily_sales(FINAL_ORDERS_SQL)})
   union all by name
   select 'gold_customer_metrics' as table_name, * replace (cast(customer_id as varchar) as customer_id), {_RUN_AT_SQL}
   from ({shapes.customer_metrics(FINAL_ORDERS_SQL)})
