@@ -41,7 +41,8 @@ def top_country_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts from the file footers of all tables."""
-    return report.profile_files(spark, {name: f"{sf_dir}/{name}.parquet" for name in conform.TABLE_SCHEMAS})
+    paths = {name: f"{sf_dir}/{name}.parquet" for name in conform.TABLE_SCHEMAS}
+    return report.profile_files(spark, paths, conform.TABLE_SCHEMAS)
 
 
 def country_category_copartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,7 +160,7 @@ def test_copartitioned_lines_meet_their_orders_without_an_exchange(spark, withou
 def test_profile_reads_footers_only(spark):
     paths = {name: f"{SF_DIR}/{name}.parquet" for name in ("orders", "documents")}
     with configured(spark, report.FROM_FOOTERS):
-        text = plan(report._counted_files(spark, paths))
+        text = plan(report._counted_files(spark, paths, {}))
     assert text.count("PushedAggregation: [COUNT(*)]") == 2
     assert "ReadSchema: struct<count(*):bigint>" in text
     assert rows(report.profile_files(spark, paths)) == [
