@@ -4,11 +4,15 @@ Lengths are whole numbers up to the capacity, so the histogram of lengths, at mo
 rows, holds all that a plan needs, whatever the size of the corpus:
 
 1. large lengths are ordered, cut into groups of equal cardinality and rounded up to the
-   largest of their group;
+   largest of their group; small ones are grouped too, by their mean, only to tell which rooms
+   are worth leaving for them;
 2. the few sizes that result are packed by configurations (which sizes share a sequence):
-   the linear program of cutting stock, solved by column generation, rounded down;
-3. actual documents take the places of the rounded ones, by rank within their length;
-4. what rounding left over and the small documents are placed best fit, longest first, into
+   the linear program of cutting stock, solved by column generation; a share of each
+   configuration's use, rounded down, is carried out;
+3. actual documents take the places of the rounded ones: the longest that is left and not longer
+   than the size, and in the last place of a sequence the longest that really fits, so that later
+   sequences get shorter documents than planned;
+4. the documents that are left, large and small, are placed best fit, longest first, into
    the room that is really free, then into new sequences.
 
 Everything in 3 and 4 happens to runs of equal sequences at once. The plan says, for ranges of
@@ -24,7 +28,7 @@ shorter; no token is lost.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -80,6 +84,7 @@ class Plan:
     sequences: int = 0
     free: list[list[tuple[int, int]]] = field(default_factory=list)  # by room: (sequence, count)
     rooms: list[int] = field(default_factory=list)  # the rooms that have sequences, ascending
+    configured: int = 0  # large pieces that configurations placed
 
     def __post_init__(self) -> None:
         self.free = [[] for _ in range(self.capacity + 1)]
@@ -110,8 +115,8 @@ class Plan:
             first, count = first + taken, count - taken
 
 
-def best_configuration(sizes: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
-    """The sizes (with repetition) that fit together and have the largest total value."""
+def best_values(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every room the largest total value of sizes (with repetition) that fit, and a size of that choice, or -1."""
     best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     order = np.argsort(sizes)
     sizes_up, values_up = sizes[order], values[order]
@@ -123,7 +128,12 @@ def best_configuration(sizes: np.ndarray, values: np.ndarray, capacity: int) ->
             top = int(totals.argmax())
             if totals[top] > best[room] + 1e-12:
                 best[room], choice[room] = totals[top], order[top]
-    counts, room = np.zeros(len(sizes), np.int64), capacity
+    return best, choice
+
+
+def configuration(sizes: np.ndarray, choice: np.ndarray, room: int) -> np.ndarray:
+    """How often each size is in the choice for a room."""
+    counts = np.zeros(len(sizes), np.int64)
     while room > 0:
         if choice[room] < 0:
             room -= 1
@@ -133,133 +143,179 @@ def best_configuration(sizes: np.ndarray, values: np.ndarray, capacity: int) ->
     return counts
 
 
-def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int) -> list[tuple[np.ndarray, int]]:
-    """Configurations and how often to use each: the linear program's solution, rounded down.
+def configurations(
+    sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, damping: float = 0.8
+) -> list[tuple[np.ndarray, float]]:
+    """Configurations and how often to use each: a solution of the linear program of cutting stock.
 
-    Column generation with an explicit basis inverse; there are as many rows as sizes. More
-    than `rounds` columns are not tried: the solution so far is a valid one.
+    Column generation with an explicit basis inverse. Sizes are priced by the program's values
+    damped towards their share of the capacity, the values at which only full sequences are
+    worth their cost, and each round tries the best configuration around every size. After
+    `rounds` rounds the solution so far, a valid one, is taken.
     """
-    m = len(sizes)
-    columns = np.diag(capacity // sizes).astype(np.float64)
-    inverse = np.diag(1.0 / np.diag(columns))
+    inverse = np.diag(1.0 / (capacity // sizes))
+    columns = np.diag(capacity // sizes)
     use = inverse @ demand
+    share, damped = sizes / capacity, damping
     for _ in range(rounds):
-        values = inverse.sum(axis=0)
-        column = best_configuration(sizes, np.maximum(values, 0), capacity)
-        if values @ column <= 1 + 1e-7:
+        prices = np.maximum(damped * share + (1 - damped) * inverse.sum(axis=0), 0)
+        best, choice = best_values(sizes, prices, capacity)
+        improved = False
+        for around in np.argsort(-(prices + best[capacity - sizes])).tolist():
+            column = configuration(sizes, choice, capacity - int(sizes[around]))
+            column[around] += 1
+            if inverse.sum(axis=0) @ column <= 1 + 1e-6:
+                continue
+            improved = True
+            direction = inverse @ column
+            ratio = np.where(direction > 1e-9, use / np.where(direction > 1e-9, direction, 1), np.inf)
+            leaving = int(ratio.argmin())
+            step = ratio[leaving]
+            use = np.maximum(use - step * direction, 0)
+            use[leaving] = step
+            inverse[leaving] /= direction[leaving]
+            direction[leaving] = 0
+            inverse -= np.outer(direction, inverse[leaving])
+            columns[:, leaving] = column
+        if improved:
+            damped = damping
+        elif damped == 0:
             break
-        direction = inverse @ column
-        ratio = np.where(direction > 1e-9, use / np.where(direction > 1e-9, direction, 1), np.inf)
-        leaving = int(ratio.argmin())
-        step = ratio[leaving]
-        use = np.maximum(use - step * direction, 0)
-        use[leaving] = step
-        inverse[leaving] /= direction[leaving]
-        others = np.arange(m) != leaving
-        inverse[others] -= np.outer(direction[others], inverse[leaving])
-        columns[:, leaving] = column
-    result, left = [], demand.astype(np.int64).copy()
-    for i in np.argsort(-use):
-        column = np.rint(columns[:, i]).astype(np.int64)
-        held = column > 0
-        times = min(int(use[i] + 1e-6), int((left[held] // column[held]).min()))
-        if times > 0:
-            left -= times * column
-            result.append((column, times))
-    return result
+        else:
+            damped = max(0.0, round(damped - damping / 4, 9))
+    return [(columns[:, i].copy(), float(use[i])) for i in np.flatnonzero(use > 1e-9).tolist()]
+
+
+def grouped(lengths: list[int], counts: dict[int, int], groups: int, by_mean: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and numbers of pieces: lengths, longest first, in groups of equal cardinality.
+
+    The size of a group is its longest length, or its mean. Groups of one size are one.
+    """
+    sizes: dict[int, int] = {}
+    held = np.array([counts[n] for n in lengths], np.int64)
+    ends = np.cumsum(held)
+    tokens = np.cumsum(held * np.array(lengths, np.int64))
+    total = int(held.sum())
+
+    def before(rank: int) -> int:
+        """Tokens of the first pieces."""
+        i = min(int(np.searchsorted(ends, rank, side="right")), len(lengths) - 1)
+        return int(tokens[i]) - (int(ends[i]) - rank) * lengths[i]
+
+    cuts = sorted({g * total // groups for g in range(groups)} | {total}) if total else []
+    for begin, end in zip(cuts, cuts[1:]):
+        longest = lengths[int(np.searchsorted(ends, begin, side="right"))]
+        size = max(1, round((before(end) - before(begin)) / (end - begin))) if by_mean else longest
+        sizes[size] = sizes.get(size, 0) + end - begin
+    return np.array(list(sizes), np.int64), np.array(list(sizes.values()), np.int64)
 
 
 class Grouping:
-    """Large lengths in groups of equal cardinality, and the configurations of their sizes."""
+    """Lengths in groups of equal cardinality, and the configurations of their sizes.
+
+    Small groups only say which rooms are worth leaving: small pieces are placed best fit.
+    """
 
     def __init__(self, counts: dict[int, int], capacity: int, groups: int, small_part: float, rounds: int) -> None:
-        self.counts, self.capacity, self.small = counts, capacity, small_part * capacity
-        self.large = sorted((n for n in counts if self.small < n < capacity), reverse=True)
-        held = [counts[n] for n in self.large]
-        self.ends = np.cumsum(held, dtype=np.int64)  # ranks over all large pieces, longest first
-        self.begins = self.ends - held
-        total = int(sum(held))
-        cuts = sorted({g * total // groups for g in range(groups)}) if total else []
-        size_at = [self.large[int(np.searchsorted(self.ends, rank, side="right"))] for rank in cuts]
-        # Groups that round to the same size are one.
-        heads = [i for i in range(len(cuts)) if i == 0 or size_at[i] != size_at[i - 1]]
-        self.group_begin = [cuts[i] for i in heads] + [total]
-        self.sizes = np.array([size_at[i] for i in heads], np.int64)
-        self.configurations = (
-            configurations(self.sizes, np.diff(self.group_begin), capacity, rounds) if total else []
-        )
-
-    def runs(self, rank: int, count: int) -> list[tuple[int, int, int]]:
-        """(length, rank within the length, count) of a range of ranks."""
-        found, i = [], int(np.searchsorted(self.ends, rank, side="right"))
-        while count:
-            part = min(count, int(self.ends[i]) - rank)
-            found.append((self.large[i], rank - int(self.begins[i]), part))
-            rank, count, i = rank + part, count - part, i + 1
-        return found
-
-    def plan(self, least_fill: float) -> Plan:
-        """Documents in place of the sizes of configurations that fill at least this part of a
-        sequence; all others best fit."""
+        self.counts, self.capacity = counts, capacity
+        descending = sorted((n for n in counts if n < capacity), reverse=True)
+        self.large = [n for n in descending if n > small_part * capacity]
+        self.small = [n for n in descending if n <= small_part * capacity]
+        self.sizes, demand = grouped(self.large, counts, groups, by_mean=False)
+        self.small_sizes, small_demand = grouped(self.small, counts, max(1, groups // 2), by_mean=True)
+        found = []
+        if len(self.sizes):
+            sizes = np.concatenate([self.sizes, self.small_sizes])
+            found = configurations(sizes, np.concatenate([demand, small_demand]), capacity, rounds)
+        # (large sizes of a sequence, longest first; room left for small pieces; use)
+        self.configurations = []
+        for column, use in found:
+            own = np.repeat(self.sizes, column[: len(self.sizes)]).tolist()
+            if own:
+                reserve = int(column[len(self.sizes) :] @ self.small_sizes)
+                self.configurations.append((sorted(own, reverse=True), reserve, use))
+        self.configurations.sort(key=lambda held: (held[0], held[1]), reverse=True)
+
+    def plan(self, share: float) -> Plan:
+        """Each configuration this share of its use, rounded down; all other pieces best fit.
+
+        With a share of 1, configurations are also used once for what rounding down left over.
+        """
         plan = Plan(self.capacity)
         full = self.counts.get(self.capacity, 0)
         if full:
             plan.rows.append((self.capacity, 0, full, 0, 0))
             plan.sequences = full
-        taken = np.array(self.group_begin[:-1], np.int64)  # next rank of each group
-        for column, times in self.configurations:
-            if self.sizes @ column < least_fill * self.capacity:
-                continue
-            places = []
-            for group in np.flatnonzero(column).tolist():
-                for _ in range(int(column[group])):
-                    places.append(self.runs(int(taken[group]), times))
-                    taken[group] += times
-            self.substitute(plan, places, times)
-        left = np.diff([*self.group_begin]) - (taken - self.group_begin[:-1])
-        rest = [run for rank, count in zip(taken.tolist(), left.tolist(), strict=True) for run in self.runs(rank, count)]
-        rest += [(n, 0, count) for n, count in self.counts.items() if n <= min(self.small, self.capacity - 1)]
+        left = {n: self.counts[n] for n in self.large}
+        whole = [int(share * use + 1e-6) for _, _, use in self.configurations]
+        for (sizes, reserve, _), times in zip(self.configurations, whole, strict=True):
+            self.substitute(plan, left, sizes, reserve, times)
+        if share == 1:
+            parts = [use - times for (_, _, use), times in zip(self.configurations, whole, strict=True)]
+            for i in np.argsort(-np.array(parts)).tolist():
+                if parts[i] > 0.05:
+                    self.substitute(plan, left, *self.configurations[i][:2], 1)
+        plan.configured = sum(self.counts[n] for n in self.large) - sum(left.values())
+        rest = [(n, self.counts[n] - count, count) for n, count in left.items()]
+        rest += [(n, 0, self.counts[n]) for n in self.small]
         for length, first, count in sorted(rest, reverse=True):
             plan.place(length, first, count)
         return plan
 
-    def substitute(self, plan: Plan, places: list[list[tuple[int, int, int]]], times: int) -> None:
-        """New sequences with one document of each place, as runs in which all lengths stay the same."""
-        ends = [np.cumsum([run[2] for run in own]) for own in places]
-        breaks = sorted({0, *(int(b) for own in ends for b in own)})
-        for begin, end in zip(breaks, breaks[1:]):
+    def substitute(self, plan: Plan, left: dict[int, int], sizes: list[int], reserve: int, times: int) -> None:
+        """New sequences with documents in place of a configuration's sizes, as runs of equal lengths.
+
+        A size takes the longest documents that are left and not longer; the last one of several
+        takes the longest that really fit beside the others and the reserve, so that what
+        rounding up added is not lost.
+        """
+        ascending = sorted(n for n, count in left.items() if count)
+        while times:
+            room, taken = self.capacity, []
+            for i, size in enumerate(sizes):
+                most = room - reserve if 0 < i == len(sizes) - 1 else size
+                at = bisect_right(ascending, most)
+                while at and left[ascending[at - 1]] <= taken.count(ascending[at - 1]):
+                    at -= 1
+                if not at:
+                    return  # no such document is left
+                taken.append(ascending[at - 1])
+                room -= taken[-1]
+            number = min(times, *(left[n] // taken.count(n) for n in taken))
             offset = 0
-            for own, own_ends in zip(places, ends, strict=True):
-                i = int(np.searchsorted(own_ends, begin, side="right"))
-                length, first, part = own[i]
-                rank = first + begin - (int(own_ends[i]) - part)
-                plan.rows.append((length, rank, rank + end - begin, plan.sequences + begin, offset))
+            for length in taken:
+                first = self.counts[length] - left[length]
+                plan.rows.append((length, first, first + number, plan.sequences, offset))
+                left[length] -= number
                 offset += length
-            plan.leave(self.capacity - offset, plan.sequences + begin, end - begin)
-        plan.sequences += times
+                if not left[length]:
+                    ascending.remove(length)
+            plan.leave(room, plan.sequences, number)
+            plan.sequences += number
+            times -= number
 
 
 def packing_plan(
     counts: dict[int, int],
     capacity: int,
-    groups: tuple[int, ...] = (32, 96),
-    small_parts: tuple[float, ...] = (0.25,),
-    least_fills: tuple[float, ...] = (0.0, 0.98, 0.99, 0.995, 0.998, 1.0),
-    rounds: int = 600,
+    groups: tuple[int, ...] = (32, 64),
+    small_part: float = 0.25,
+    shares: tuple[float, ...] = (1.0, 0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.6, 0.5),
+    rounds: int = 120,
 ) -> Plan:
     """The plan with the fewest sequences for a histogram of lengths from 1 to the capacity.
 
-    Finer groups round less but leave more to rounding down; so a few settings are tried, which
-    only costs work on the histogram.
+    Finer groups round less but leave more to rounding down, and best fit needs some pieces to
+    choose from; so a few settings are tried, which only costs work on the histogram. Of equal
+    plans the one with the largest share of configurations is kept.
     """
     best = None
-    for small_part in small_parts:
-        for number in groups:
-            grouping = Grouping(counts, capacity, number, small_part, rounds)
-            for least_fill in least_fills:
-                plan = grouping.plan(least_fill)
-                if best is None or plan.sequences < best.sequences:
-                    best = plan
+    for number in groups:
+        grouping = Grouping(counts, capacity, number, small_part, rounds)
+        for share in shares:
+            plan = grouping.plan(share)
+            if best is None or (plan.sequences, -plan.configured) < (best.sequences, -best.configured):
+                best = plan
     return best
 
 

@@ -334,8 +334,9 @@ def test_best_fit_packing(docs, none, odd):
 
 def test_plan_is_valid_and_close_to_the_bound():
     rng = np.random.default_rng(1)
-    for n in (1, 7, 5000, 60_000):
-        lengths = rng.integers(1, 1025, n)
+    uniform = [rng.integers(1, 1025, n) for n in (1, 7, 5000, 60_000)]
+    long_tailed = np.minimum(rng.lognormal(5.5, 1, 20_000).astype(np.int64) + 1, 1024)
+    for lengths in (*uniform, long_tailed, np.full(1000, 600), np.full(1000, 5)):
         counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
         plan = packing.packing_plan(counts, 1024)
         room = np.zeros(plan.sequences, np.int64)
@@ -345,7 +346,38 @@ def test_plan_is_valid_and_close_to_the_bound():
             room[sequence : sequence + last - first] += length
             ranks[length][first:last] += 1
         assert all((own == 1).all() for own in ranks.values()) and room.max() <= 1024
-        assert plan.sequences <= binary_output.best_fit_decreasing(lengths, 1024)[1] * 1.002 + 1
+        assert plan.sequences <= binary_output.best_fit_decreasing(lengths, 1024)[1] * 1.001 + 1
+        large = int(((lengths > 256) & (lengths < 1024)).sum())
+        assert plan.configured <= large
+        if len(lengths) >= 1000:  # the method places most of them, not best fit
+            assert 2 * plan.configured >= 0.98 * large
+
+
+def test_groups_have_equal_cardinality():
+    counts = {900: 2, 700: 3, 500: 1, 300: 6}
+    ordered = [900, 900, 700, 700, 700, 500, 300, 300, 300, 300, 300, 300]
+    for groups in (1, 2, 3, 4, 12, 50):
+        cuts = sorted({g * 12 // groups for g in range(groups)} | {12})
+        for by_mean in (False, True):
+            expected: dict[int, int] = {}
+            for a, b in zip(cuts, cuts[1:]):
+                size = round(sum(ordered[a:b]) / (b - a)) if by_mean else ordered[a]
+                expected[size] = expected.get(size, 0) + b - a
+            sizes, demand = packing.grouped(list(counts), counts, groups, by_mean)
+            assert dict(zip(sizes.tolist(), demand.tolist(), strict=True)) == expected
+    assert packing.grouped([], {}, 4, False)[0].size == 0
+
+
+def test_last_place_takes_what_really_fits():
+    counts = {620: 1, 600: 1, 424: 1, 404: 1}
+    grouping = packing.Grouping(counts, 1024, 1, 0.25, 10)
+    plan, left = packing.Plan(1024), dict(counts)
+    grouping.substitute(plan, left, [620, 400], 0, 1)
+    assert plan.rows == [(620, 0, 1, 0, 0), (404, 0, 1, 0, 620)] and left[404] == left[620] == 0
+    grouping.substitute(plan, left, [620, 400], 0, 1)
+    assert plan.rows[2:] == [(600, 0, 1, 1, 0), (424, 0, 1, 1, 600)] and not plan.rooms[1:]
+    grouping.substitute(plan, left, [620, 400], 0, 1)  # nothing is left
+    assert plan.sequences == 2
 
 
 def test_binary_rows(docs, none, odd, tmp_path):
