@@ -12,14 +12,14 @@ from sediment.session import configured, scratch_dir
 FREED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
-def staged(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
+def staged(df: DataFrame, reader: SparkSession | None = None, **options: str) -> DataFrame:
     """Write the frame as parquet to the shared scratch folder and read it back.
 
     Unlike a cache the copy survives the loss of executors, and its file sizes tell the
     planner how big it is, so a broadcast is decided on the real size. `reader` is the session
-    of the returned frame, by default that of the given one.
+    of the returned frame, by default that of the given one; `options` go to the parquet writer.
     """
     path = scratch_dir(df.sparkSession)
     with configured(df.sparkSession, FREED):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
