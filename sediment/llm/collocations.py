@@ -1,8 +1,8 @@
 """Phrase collocations by SETM: relational mining over sorted occurrence relations.
 
 The occurrence relation is persisted in parts: a part holds some megabytes of text of one
-language, its occurrences sorted by piece and position, packed as one array of codes with -1
-between pieces. A code is local to the part; beside the array lie the part's distinct entries
+language, its occurrences sorted by piece and position, packed as one compressed array of codes
+with -1 between pieces. A code is local to the part; beside the array lie the part's distinct entries
 (code -> word, or the pair of shorter phrases) and how often each occurs. One length is mined
 like this:
 
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +49,8 @@ BLANKS = b" \t"
 PART_BYTES = 16 << 20
 HELD_BYTES = 48 << 20
 NAMES_AT_ONCE = 1 << 18
+# Files of relations: codes and sorted ids are delta encoded, which the writer's version 1 does not do.
+DENSE = {"parquet.writer.version": "v2", "compression": "zstd"}
 COUNTER_BITS = 13  # parts of one task
 CODE_BITS = 28  # distinct entries of one part
 FIRST = "part long, lang string, words long, symbols binary, code int, word binary, held long"
@@ -109,9 +112,19 @@ def joined(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return result, np.column_stack([pairs // size, pairs % size]), held
 
 
+def pressed(symbols: np.ndarray) -> bytes:
+    """The codes byte plane by byte plane, compressed: their upper bytes are mostly alike."""
+    return zstandard.compress(symbols.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpressed(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def _state(part: int, symbols: np.ndarray, known: dict, schema: str) -> pa.RecordBatch:
     """The row that holds a part's relation."""
-    return _rows(schema, 1, {"part": [part], "symbols": [symbols.tobytes()], **known})
+    return _rows(schema, 1, {"part": [part], "symbols": [pressed(symbols)], **known})
 
 
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
@@ -175,7 +188,7 @@ def _parts(docs: DataFrame) -> DataFrame:
         for lang in list(waiting):
             yield from flushed(lang)
 
-    return staged(arrow_map(docs, run, FIRST))
+    return staged(arrow_map(docs, run, FIRST), **DENSE)
 
 
 def _name():
@@ -247,7 +260,7 @@ def _extended(states: DataFrame, found: DataFrame) -> DataFrame:
         schema = pa.schema([(name, _TYPES[kind]) for name, kind in (field.split() for field in NEXT.split(", "))])
         if not names.num_rows or not state.num_rows:
             return schema.empty_table()
-        symbols = np.frombuffer(state.column("symbols")[0].as_py(), "<i4")
+        symbols = unpressed(state.column("symbols")[0].as_py())
         part = state.column("part")[0].as_py()
         ids = np.full(int(symbols.max(initial=0)) + 2, -1, np.int64)
         for codes, own in zip(names.column("codes").to_pylist(), names.column("ids").to_pylist(), strict=True):
@@ -267,7 +280,7 @@ def _extended(states: DataFrame, found: DataFrame) -> DataFrame:
 
     ship(states.sparkSession)
     wanted = _names_by_part(found).groupBy("part")
-    return staged(states.select("part", "symbols").groupBy("part").cogroup(wanted).applyInArrow(run, NEXT))
+    return staged(states.select("part", "symbols").groupBy("part").cogroup(wanted).applyInArrow(run, NEXT), **DENSE)
 
 
 def _described(groups: DataFrame, shorter: DataFrame) -> DataFrame:
