@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sediment.llm.common import arrow_map, narrowed, ranges, ship
+from sediment.llm.common import arrow_map, narrowed, ship
 from sediment.sinks.staging import staged
 
 UNKNOWN = "und"
@@ -84,7 +84,7 @@ def packed(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     starts, ends = edges[::2], edges[1::2]
     lengths = ends - starts
     offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
-    data = buffer[ranges(starts, lengths)] if len(starts) else buffer[:0]
+    data = buffer[kind == 0]
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy()
