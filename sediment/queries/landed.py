@@ -54,9 +54,15 @@ def landing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items land under the day of their order, which they carry as updated_at."""
-    dates = conform.orders(spark, sf_dir).select("order_id", F.col("order_date").alias("updated_at"))
-    return conform.order_items(spark, sf_dir).drop("ship_date").join(dates, "order_id")
+    """Items land under the day of their order, which they carry as updated_at.
+
+    The lines meet their orders by their plain keys; the longer item id is made from them afterwards.
+    """
+    dates = conform.orders(spark, sf_dir).select(
+        F.col("order_id").alias("l_orderkey"), F.col("order_date").alias("updated_at")
+    )
+    lines = conform.table(spark, sf_dir, "lineitem").join(dates, "l_orderkey")
+    return lines.select(*conform.item_columns(), "updated_at").drop("ship_date")
 
 
 def _land_snapshot(rows: DataFrame, feed: schemas.Feed) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the mapping: one-letter order status -> status name, anything else is pending.
@@ -78,10 +78,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def item_columns() -> list[Column]:
     """(order, line) is not unique in the test tables; part, supplier and ship date complete the id."""
     price = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100
-    return table(spark, sf_dir, "lineitem").select(
+    return [
         F.concat_ws(
             "_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
         ).alias("order_item_id"),
@@ -90,4 +90,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         price.alias("unit_price"),
         F.col("l_shipdate").alias("ship_date"),
-    )
+    ]
+
+
+def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(*item_columns())

@@ -260,3 +260,20 @@ def test_coverage(spark):
     landed = spark.createDataFrame([("london",), ("london",), ("oslo",)], "city string")
     assert rows(missing(expected, landed, "city")) == [("paris",), ("tokyo",)]
     assert rows(coverage(expected, landed, "city")) == [(3, 1, 2)]
+
+
+def test_landed_lines_are_compressed_and_few_days_are_not_shuffled(spark, tmp_path):
+    from sediment.sinks.landing import _with_day_folders
+
+    landed = orders(spark, ("a", 9), ("b", 10), ("c", 12))
+    for gather in (True, False):
+        root = str(tmp_path / f"gather={gather}")
+        land_days(landed, root, F.col("order_date"), ORDERS.timestamps, gather=gather)
+        files = [file for file in (tmp_path / f"gather={gather}").rglob("part-*")]
+        assert files and all(file.name.endswith(".json.gz") for file in files)
+        assert sorted({r.day for r in read_days(spark, root, ORDERS.schema).select("day").collect()}) == [9, 10, 12]
+        exchange = "Exchange" in plan(_with_day_folders(landed, F.col("order_date"), gather))
+        assert exchange is gather
+    # The day alone decides where a row goes: its folder texts are made after the exchange.
+    text = plan(_with_day_folders(landed, F.col("order_date")), "simple")
+    assert "date_format" not in text[text.index("Exchange") :]
