@@ -13,7 +13,7 @@ from sediment.functions.parsing import parse_timestamps
 from sediment.operators import gold, prices
 from sediment.operators.fold import fold_days
 from sediment.plans import tables
-from sediment.sinks.staging import staged
+from sediment.sinks.staging import PACKED, staged
 from sediment.sinks.tables import TableSpec, create_namespace, create_or_append, create_table, in_values, upsert
 from sediment.sources.landing import LANDED, read_feed_days, read_snapshot, read_snapshot_texts
 
@@ -49,7 +49,7 @@ def open_feeds(
         opened.append((spec, feed.daily, rows))
     if len(set(dates)) == 1:  # a day is merged as it was delivered
         return [(spec, rows.drop(LANDED)) for spec, _, rows in opened]
-    return [(spec, fold_days(staged(rows), LANDED, spec.merge) if daily else rows) for spec, daily, rows in opened]
+    return [(spec, fold_days(staged(rows, **PACKED), LANDED, spec.merge) if daily else rows) for spec, daily, rows in opened]
 
 
 def bronze_to_silver(

@@ -57,6 +57,7 @@ def land_orders(spark: SparkSession, sf_dir: str, landing: str) -> None:
         f"{landing}/{feed.path}",
         F.to_date(F.concat_ws("-", "year", "month", "day")),
         feed.timestamps,
+        gather=False,  # as few days as RUN_DATES has
     )
 
 
@@ -81,6 +82,7 @@ def _land(spark: SparkSession, sf_dir: str) -> str:
         f"{landing}/{feed.path}",
         F.to_date(F.concat_ws("-", "year", "month", "day")),
         feed.timestamps,
+        gather=False,
     )
     return landing
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sediment.session import configured, scratch_dir
 
+# Option of the parquet writer for whole tables, which go to disk several times.
+PACKED = {"compression": "zstd"}
+
 # Writes drop their shuffle files as soon as they are committed. Otherwise these stay on the
 # executors' disks until the driver happens to collect its garbage, and a job of many staged
 # steps would hold the shuffles of all of them at once.

@@ -26,7 +26,15 @@ from sediment.operators.upsert import (
     split_source,
     update_matched,
 )
-from sediment.sinks.staging import staged
+from sediment.sinks.staging import PACKED, staged
+
+# A batch of that many rows in that few folders is appended without a shuffle: its tasks write few
+# files each, and large ones.
+FEW_FOLDERS = 4
+MANY_ROWS = 1_000_000
+
+MOST_MET = 1_000_000  # hashes of stored keys that a large batch meets, looked up before whole rows are shuffled
+_HASH = "__hash"
 
 
 @dataclass(frozen=True)
@@ -90,7 +98,7 @@ def create_table(spark: SparkSession, namespace: str, spec: TableSpec, provider:
         if spec.partitioning:
             columns.append(f"{quoted(spec.partitioning.column)} {spec.partitioning.data_type}")
             layout = f" PARTITIONED BY ({quoted(spec.partitioning.column)})"
-        layout += f" LOCATION '{root}/{spec.name}/{uuid.uuid4().hex}'"
+        layout += f" OPTIONS (compression '{PACKED['compression']}') LOCATION '{root}/{spec.name}/{uuid.uuid4().hex}'"
     elif spec.transform:
         layout = f" PARTITIONED BY ({spec.transform})"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING {provider}{layout}")
@@ -123,7 +131,7 @@ def replace_table(df: DataFrame, table: str, mark: str = "") -> None:
     """
     spark = df.sparkSession
     location = _next_location(spark, table) + (f"-{mark}" if mark else "")
-    df.write.parquet(location)
+    df.write.options(**PACKED).parquet(location)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     spark.catalog.refreshTable(table)
 
@@ -153,7 +161,7 @@ def replace_partitions(df: DataFrame, table: str, column: str, values: Collectio
     """Write new content for the listed partitions; all other partitions are untouched."""
     spark = df.sparkSession
     location = _next_location(spark, table)
-    df.hint("rebalance", column).write.partitionBy(column).parquet(location)
+    df.hint("rebalance", column).write.options(**PACKED).partitionBy(column).parquet(location)
     for value in values:
         folder = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
         literal = "null" if value is None else str(value) if isinstance(value, int) else f"DATE '{value}'"
@@ -194,7 +202,7 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, spec: TableSpec)
         # Gold results: the source is about as large as the table, its key is the table's
         # primary key and every row differs, so one pass over both is the shortest plan.
         target = spark.table(table)
-        incoming = staged(aligned(source, target))
+        incoming = staged(aligned(source, target), **PACKED)
         replace_table(merge_upsert(target, incoming, spec.merge, MergePlan.ONE_PASS), table)
         return None
     return PartitionMerge(spark, table, source, spec).apply()
@@ -233,11 +241,14 @@ class PartitionMerge:
         if spec.partitioning.buckets:
             self.merge = replace(spec.merge, update=(*spec.merge.update, FINGERPRINT))
             source = bucketed(aligned(source, target.select(spec.schema.names)), spec)
-        self.incoming = staged(aligned(source, target))
+        self.incoming = staged(aligned(source, target), **PACKED)
         self.unique, self.inserts = split_source(target, self.incoming, self.merge, repeatable=True)
+        if target.isEmpty():
+            self.matched = self.unique.limit(0)
+            return
         if spec.partitioning.buckets:
-            self.unique = staged(self.differing(target))
-        self.matched = staged(self.lookup(target, whole_rows))
+            self.unique = staged(self.differing(target), **PACKED)
+        self.matched = staged(self.lookup(target, whole_rows), **PACKED)
 
     def differing(self, target: DataFrame) -> DataFrame:
         """Source rows that are new, or of which any stored row has another fingerprint."""
@@ -255,7 +266,22 @@ class PartitionMerge:
         asked = key_filter(self.unique, key)
         if asked is None:
             return held.limit(0)
-        return asked.applied(held).join(self.unique.select(F.col(quoted(key))), key, "left_semi").select(names)
+        near = asked.applied(held)
+        if asked.words is None:  # the batch is too large for a filter: hashes tell what it meets
+            near = self.meeting(near)
+        return near.join(self.unique.select(F.col(quoted(key))), key, "left_semi").select(names)
+
+    def meeting(self, held: DataFrame) -> DataFrame:
+        """The rows whose key's hash the batch has. Hashes alone are shuffled; where they are many,
+        the rows are left to the join that follows."""
+        key = F.col(quoted(self.merge.key))
+        hashed = F.xxhash64(key).alias(_HASH)
+        wanted = self.unique.select(hashed)
+        met = staged(held.select(hashed).join(wanted, _HASH, "left_semi").distinct(), **PACKED)
+        number = met.count()
+        if not number:
+            return held.limit(0)
+        return held if number > MOST_MET else held.join(met, F.xxhash64(key) == F.col(_HASH), "left_semi")
 
     def fresh(self) -> DataFrame:
         """The rows to insert: keys that the table does not hold, and what was set aside."""
@@ -292,15 +318,19 @@ class PartitionMerge:
         that the source holds more than once. Rows without a key are appended again.
         """
         column = self.spec.partitioning.column
-        touched = _partition_values(self.matched, column)
+        touched = set(_partition_values(self.matched, column))
         if touched:
             old = self.spark.table(self.table).filter(in_values(column, touched))
             replace_partitions(update_matched(old, self.unique, self.merge), self.table, column, touched)
-        self.fresh().hint("rebalance", column).write.insertInto(self.table)
         changed = self.unique.unionAll(self.inserts.select(self.columns)) if self.spec.partitioning.buckets else self.incoming
-        return touched | _partition_values(changed, column)
+        folders = _partition_values(changed, column)
+        fresh = self.fresh()
+        if len(folders) > FEW_FOLDERS or sum(folders.values()) < MANY_ROWS:
+            fresh = fresh.hint("rebalance", column)
+        fresh.write.insertInto(self.table)
+        return touched | set(folders)
 
 
-def _partition_values(df: DataFrame, column: str) -> set:
-    """One value per folder of the table: bounded by the calendar, not by the data."""
-    return {row[0] for row in df.select(column).distinct().collect()}
+def _partition_values(df: DataFrame, column: str) -> dict:
+    """Each folder of the table and its rows: bounded by the calendar, not by the data."""
+    return {row[0]: row[1] for row in df.groupBy(quoted(column)).count().collect()}

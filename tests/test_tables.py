@@ -427,3 +427,65 @@ def test_command_line(spark, landing, namespace, capsys):
     assert spark.table(f"{namespace}.orders").count() == 3
     with pytest.raises(SystemExit):
         arguments(["silver", "--landing", "x", "--namespace", "y", "--date", "10.06.2026"])
+
+
+def test_fold_moves_only_keys_that_come_again(spark, monkeypatch):
+    """One key of a hundred comes on both days: the rows that are aggregated are its own."""
+    from sediment.operators import fold
+
+    schema, merge = "id string, kept string, status string, day date", MergeSpec("id", ("status",))
+    days = DAYS[:2]
+    first = [(f"k{i}", f"a{i}", "new", days[0]) for i in range(100)]
+    later = [("k7", "other", "done", days[1]), (None, "x", "y", days[1])]
+    written = []
+    original = fold.staged
+
+    def counted(df, *arguments, **named):
+        result = original(df, *arguments, **named)
+        written.append((result.columns, result.count()))
+        return result
+
+    monkeypatch.setattr(fold, "staged", counted)
+    result = fold.fold_days(spark.createDataFrame(first + later, schema), "day", merge)
+    assert sum(number for columns, number in written if "kept" in columns) == 2  # both rows of k7
+    expected = [(key, kept, "done" if key == "k7" else "new") for key, kept, _, _ in first] + [(None, "x", "y")]
+    assert rows(result) == sorted(expected, key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_a_batch_too_large_for_the_filter(spark, namespace, monkeypatch, most):
+    """Hashes tell which stored rows it meets; whole rows are shuffled for these alone."""
+    from sediment.operators import keys
+    from sediment.sinks import tables as sink
+
+    monkeypatch.setattr(keys, "MOST_WORDS", 0)
+    monkeypatch.setattr(sink, "MOST_MET", most)
+    table = create_table(spark, namespace, tables.ORDERS)
+    schema = spark.table(table).schema
+    row = lambda key, amount: (key, "c", AT(2026, 6, 10), amount, "x", None, DAYS[0])
+    upsert(spark, table, spark.createDataFrame([row(f"k{i}", 1.0) for i in range(50)], schema), tables.ORDERS)
+    batch = spark.createDataFrame([row(f"k{i}", 2.0) for i in range(48, 80)], schema)
+    merge = PartitionMerge(spark, table, batch, tables.ORDERS, whole_rows=True)
+    assert rows(merge.matched.select("order_id")) == [("k48",), ("k49",)]
+    far = spark.createDataFrame([row(f"k{i}a", 2.0) for i in range(32)], schema)
+    assert PartitionMerge(spark, table, far, tables.ORDERS).matched.isEmpty()
+    merge.apply()
+    assert spark.table(table).count() == 80 and spark.table(table).filter("total_amount = 2").count() == 32
+
+
+def test_a_large_batch_of_few_folders_is_appended_without_an_exchange(spark, namespace, monkeypatch):
+    from sediment.sinks import tables as sink
+
+    hints = []
+    original = type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, name, *by: hints.append(name) or original(df, name, *by))
+    table = create_table(spark, namespace, tables.ORDERS)
+    row = lambda key, day: (key, "c", AT(2026, 6, 10), 1.0, "x", None, day)
+    schema = spark.table(table).schema
+    batch = lambda start: spark.createDataFrame([row(f"k{start + i}", DAYS[i % 2]) for i in range(20)], schema)
+    upsert(spark, table, batch(0), tables.ORDERS)
+    assert hints == ["rebalance"]  # few rows: gathered into few files
+    monkeypatch.setattr(sink, "MANY_ROWS", 10)
+    upsert(spark, table, batch(100), tables.ORDERS)
+    assert hints == ["rebalance"]
+    assert spark.table(table).groupBy("order_day").count().select("count").collect() == [(20,), (20,)]
