@@ -80,8 +80,13 @@ def rest_removed(images: DataFrame, key: Column, name: str, parts: Sequence[Colu
 
 
 def date_removed(images: DataFrame, stored: DataFrame, sign: str) -> DataFrame:
-    """Customers that lose the last order of their earliest or latest date."""
-    net = images.groupBy("customer_id", "order_date").agg(F.sum(sign).alias("net")).filter("net < 0")
+    """Customers that lose the last order of their earliest or latest date.
+
+    Only dates that lose any order are added up; a run that takes none away shuffles no image.
+    """
+    lost = images.filter(F.col(sign) < 0).select("customer_id", "order_date").distinct()
+    touched = images.join(lost, ["customer_id", "order_date"], "left_semi")
+    net = touched.groupBy("customer_id", "order_date").agg(F.sum(sign).alias("net")).filter("net < 0")
     edge = stored.select("customer_id", "first_order_date", "last_order_date")
     at_edge = (F.col("order_date") <= F.col("first_order_date")) | (F.col("order_date") >= F.col("last_order_date"))
     return net.join(edge, "customer_id").filter(at_edge).select("customer_id").distinct()

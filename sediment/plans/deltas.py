@@ -25,7 +25,7 @@ from sediment.operators import parts
 from sediment.operators.gold import stamped
 from sediment.plans import tables
 from sediment.plans.jobs import open_feeds
-from sediment.sinks.staging import staged
+from sediment.sinks.staging import PACKED, staged
 from sediment.sinks.tables import (
     SIGN,
     PartitionMerge,
@@ -44,6 +44,11 @@ BEFORE_ALL_RUNS = "0"
 FACTS = (tables.ORDERS, tables.ORDER_ITEMS)
 OF_ORDERS = ((tables.DAILY_PARTS, parts.daily_parts), (tables.CUSTOMER_PARTS, parts.customer_parts))
 OF_ITEMS = ((tables.PRODUCT_PARTS, parts.product_parts),)
+# The columns of an image that the parts are computed from.
+NOTED = {
+    tables.ORDERS.name: ("order_id", "customer_id", "order_date", "total_amount", "status"),
+    tables.ORDER_ITEMS.name: ("product_id", "quantity", "unit_price"),
+}
 
 
 def _stored(path: str, spark: SparkSession) -> DataFrame | None:
@@ -66,12 +71,16 @@ def _parts_table(spark: SparkSession, namespace: str, spec: TableSpec, aggregate
 def noted_images(
     spark: SparkSession, folder: str, merges: dict[str, PartitionMerge]
 ) -> dict[str, DataFrame]:
-    """The images of a run: those of an earlier try, if it wrote them all, else written now."""
+    """The images of a run, in `NOTED` columns: those of an earlier try, if it wrote them all, else written now."""
     if _stored(f"{folder}/complete", spark) is None:
         for name, merge in merges.items():
-            merge.images().write.mode("overwrite").parquet(f"{folder}/{name}")
+            noted = merge.images().select(*NOTED[name], SIGN)
+            noted.write.mode("overwrite").options(**PACKED).parquet(f"{folder}/{name}")
         spark.range(1).write.mode("overwrite").parquet(f"{folder}/complete")
-    schemas = {name: merge.spark.table(merge.table).schema.add(SIGN, "integer") for name, merge in merges.items()}
+    schemas = {
+        name: merge.spark.table(merge.table).select(*NOTED[name]).schema.add(SIGN, "integer")
+        for name, merge in merges.items()
+    }
     return {name: spark.read.schema(schemas[name]).parquet(f"{folder}/{name}") for name in merges}
 
 
