@@ -155,3 +155,19 @@ def test_parts_are_updated_without_a_scan_of_the_silver_tables(spark, landing, n
     assert set(plans) == {spec.name for spec in (tables.DAILY_PARTS, tables.CUSTOMER_PARTS, tables.PRODUCT_PARTS)}
     for name, files in plans.items():
         assert files and all(f"/{name}/" in path or "/__images/" in path for path in files)
+
+
+def test_noted_images_hold_what_the_parts_need(spark, namespace, tmp_path):
+    """The long item id is not written again; the parts come out of the columns that are."""
+    from types import SimpleNamespace
+
+    from sediment.operators import parts
+    from sediment.sinks.tables import create_table
+
+    table = create_table(spark, namespace, tables.ORDER_ITEMS)
+    item_row = ("1_1", "1", "p", 2, 1.5, AT(2026, 6, 10), DAYS[0], 1)
+    images = spark.createDataFrame([item_row], spark.table(table).schema.add("sign", "integer"))
+    merge = SimpleNamespace(spark=spark, table=table, images=lambda: images)
+    noted = deltas.noted_images(spark, str(tmp_path / "images"), {tables.ORDER_ITEMS.name: merge})["order_items"]
+    assert noted.columns == ["product_id", "quantity", "unit_price", "sign"]
+    assert rows(parts.product_parts(noted, "sign")) == rows(parts.product_parts(images, "sign"))
