@@ -87,6 +87,52 @@ def test_extra_columns_and_parts_do_not_matter(spark):
     assert sorted(map(tuple, found.collect())) == plain_collocations([("en", t) for t in texts], 3, 2000)
 
 
+def test_pairs_travel_packed_and_not_as_rows(spark, monkeypatch):
+    made, staged, frames = np.random.default_rng(5), collocations.staged, []
+    texts = [" ".join(f"w{int(w)}" for w in made.integers(400, size=300) // made.integers(1, 9, size=300)) for _ in range(120)]
+    monkeypatch.setattr(collocations, "staged", lambda *args, **options: frames.append(staged(*args, **options)) or frames[-1])
+    docs = spark.createDataFrame([("en", text) for text in texts], "lang string, text string").repartition(4)
+    found = sorted(map(tuple, collocations.collocations(docs, min_count=5, top=50).collect()))
+    assert found == plain_collocations([("en", text) for text in texts], 5, 50)
+    pairs = len({pair for text in texts for pair in zip(text.split(), text.split()[1:])})
+    assert sum(frame.count() for frame in frames) < pairs / 2
+
+
+@pytest.mark.parametrize("least, words", [(1, 2 << 20), (1, 7), (300, 2 << 20)])
+def test_the_number_of_buckets_does_not_matter(spark, monkeypatch, least, words):
+    monkeypatch.setattr(collocations, "LEAST_BUCKETS", least)
+    monkeypatch.setattr(collocations, "BUCKET_WORDS", words)
+    rows = [(("en", None)[i % 2], text) for i, text in enumerate(random_texts(13, 12))]
+    assert mined(spark, rows, min_count=3, top=25) == plain_collocations(rows, 3, 25)
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 500])
+def test_joined_relations_equal_a_plain_join(buckets):
+    made = np.random.default_rng(buckets)
+    symbols = made.integers(-1, 12, 500).astype("<i4")
+    ids = made.permutation(np.arange(12) << 40)
+    ids[made.integers(12, size=3)] = -1
+    known = [int(ids[code]) if code >= 0 else -1 for code in symbols]
+    plain = [pair for pair in zip(known, known[1:]) if min(pair) >= 0]
+    kept, own = collocations.known_only(symbols, ids)
+    assert own.tolist() == sorted(own.tolist())
+    codes, first, second, held, sizes = collocations.joined(kept, own, buckets)
+    assert [(first[code], second[code]) for code in codes if code >= 0] == plain
+    assert dict(zip(zip(first.tolist(), second.tolist()), held.tolist())) == Counter(plain)
+    assert sizes.sum() == len(held) and len(sizes) == buckets
+    assert (collocations.unpressed_symbols(collocations.pressed_symbols(codes)) == codes).all()
+    for end in np.cumsum(sizes)[sizes > 0]:
+        part = slice(end - sizes[np.searchsorted(np.cumsum(sizes), end)], end)
+        back = collocations.unpressed_entries(collocations.pressed_entries(first[part], second[part], held[part]))
+        assert [x.tolist() for x in back] == [first[part].tolist(), second[part].tolist(), held[part].tolist()]
+
+
+def test_nothing_known_leaves_an_empty_relation():
+    for symbols, ids in (([0, 1, 0], [-1, -1]), ([0, 1, 0, -1, 0], [5, -1])):
+        kept, own = collocations.known_only(np.array(symbols, "<i4"), np.array(ids))
+        assert len(kept) == len(own) == 0
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     groups = spark.range(1).select(
         F.col("id"),
